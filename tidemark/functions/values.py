@@ -92,16 +92,12 @@ def _typed(value: Value, rules: dict, dtype: str) -> Column:
 def float_text(c: Column) -> Column:
     """A float as text with 14 significant digits: ``1``, ``0.3``, ``1.0E+25``."""
     sci = F.format_string("%.13e", c)
-    mantissa = F.regexp_extract(sci, r"^(-?[0-9])\.", 1)
-    digits = F.regexp_replace(F.regexp_extract(sci, r"\.([0-9]+)e", 1), "0+$", "")
-    exponent = F.regexp_extract(sci, r"e([+-][0-9]+)$", 1).try_cast("int")
-    long_form = F.concat(
-        mantissa, F.lit("."), F.when(digits == "", "0").otherwise(digits), F.lit("E"),
-        F.when(exponent < 0, "-").otherwise("+"), F.abs(exponent).cast("string"),
-    )
-    plain = F.regexp_replace(sci.try_cast("decimal(38,18)").cast("string"), r"\.?0+$", "")
-    short = F.when(exponent.between(-5, 14), F.when(c == 0, "0").otherwise(plain))
-    return F.when(exponent.between(-4, 14), short).otherwise(long_form)
+    rounded = sci.try_cast("double")
+    plain = F.regexp_replace(rounded.try_cast("decimal(38,18)").cast("string"), r"\.?0+$", "")
+    long_form = F.regexp_replace(F.regexp_replace(sci, "0+e", "e"), r"\.e", ".0e")
+    long_form = F.regexp_replace(F.regexp_replace(long_form, r"e\+0?", "E+"), "e-0?", "E-")
+    size = F.abs(rounded)
+    return F.when((size < 1e14) & ((size >= 1e-4) | (size == 0)), plain).otherwise(long_form)
 
 
 def _date_text(c: Column) -> Column:

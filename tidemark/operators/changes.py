@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
-from tidemark.operators.ranking import global_rank, take_first
+from tidemark.operators.ranking import bucketed_rank, take_first
 from tidemark.sources.schemas import JOB, JOB_KEY, SEEN, columns
 
 MIN_INTERVAL_SECONDS = 900
@@ -38,7 +38,7 @@ def should_run(last_run_at: str, now: str, min_seconds: int = MIN_INTERVAL_SECON
 # -- scan
 
 
-def _changed_levels() -> list[Column]:
+def changed_levels() -> list[Column]:
     # Days in a calendar, seconds in a day, 4096 id prefixes in a second.
     return [F.to_date("changed"), F.date_trunc("second", F.col("changed")), F.substring("uuid", 1, 3)]
 
@@ -64,7 +64,7 @@ def changed_entries(
         .join(types.select(F.col("id").alias("type_id"), F.col("alias").alias("type_alias")), "type_id")
         .select("uuid", "etag", "changed", "type_alias"))
     order = [F.col("changed"), F.col("uuid")]
-    return take_first(found, order, _changed_levels(), order, limit)
+    return take_first(found, order, changed_levels(), order, limit)
 
 
 def accepted_changes(scanned: DataFrame) -> DataFrame:
@@ -144,7 +144,7 @@ def new_jobs(jobs: DataFrame, requests: DataFrame, now: str) -> DataFrame:
     """
     fresh = requests.groupBy(*JOB_KEY).agg(F.min("changed").alias("changed"))
     fresh = fresh.join(jobs.select(*JOB_KEY), JOB_KEY, "left_anti")
-    ranked = global_rank(
+    ranked = bucketed_rank(
         fresh,
         [F.to_date("changed"), F.date_trunc("second", F.col("changed")), F.substring("source_uuid", 1, 3)],
         [F.col("changed"), F.col("source_uuid"), F.col("source_version"), F.col("collection_key"), F.col("job_type")])

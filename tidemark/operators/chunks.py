@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as t
+from tidemark.operators.enrich import merge_maps
+from tidemark.operators.ranking import bucketed_rank
 
 MAX_LENGTH = 2000
 MIN_LENGTH = 500
@@ -50,25 +52,19 @@ def chunk_rows(rows: DataFrame, text_col: str = "text", **limits: int) -> DataFr
         *kept, F.size("_chunks").alias("num_chunks"), F.posexplode("_chunks").alias("chunk_index", "text"))
 
 
-def number_chunks(rows: DataFrame, chunks_col: str = "chunks") -> DataFrame:
-    """Number chunks made elsewhere: an array of ``struct<text, meta map>`` per item.
+def number_chunks(rows: DataFrame, item: str, position: str) -> DataFrame:
+    """Number chunk rows made elsewhere: blank ones go, the rest get a dense index.
 
-    Item metadata, then parsed metadata, then chunk metadata are merged by the caller's
-    columns ``item_meta`` and ``parsed_meta``; later ones win.
+    An item may hold any share of the rows: positions are counted in ranges of 65,536,
+    so a long item is numbered by many tasks.
     """
-    from tidemark.operators.enrich import merge_maps
-
-    kept = [c for c in rows.columns if c not in (chunks_col, "item_meta", "parsed_meta")]
-    live = F.filter(chunks_col, lambda c: t.trim(F.coalesce(c["text"], F.lit(""))) != "")
-    listed = rows.withColumn("_live", live).select(
-        *kept, "item_meta", "parsed_meta", F.size("_live").alias("num_chunks"), F.posexplode("_live").alias("chunk_index", "_c"))
-    meta = merge_maps(merge_maps(F.col("item_meta"), F.col("parsed_meta")), F.col("_c.meta"))
-    return listed.select(*kept, "chunk_index", "num_chunks", F.col("_c.text").alias("text"), meta.alias("meta"))
-
-
-def content_text() -> Column:
-    """The text of an item: its text body when it has one, else its payload as JSON."""
-    payload = F.col("content.payload")
-    return F.coalesce(
-        F.when(F.col("parser") == "text", t.non_blank(F.try_variant_get(payload, "$.text", "string"))),
-        F.to_json(payload))
+    live = rows.filter(t.trim(F.coalesce("text", F.lit(""))) != "")
+    ranked = bucketed_rank(
+        live, [F.shiftright(position, 32), F.shiftright(position, 16)], [F.col(position)],
+        name="chunk_index", within=[item], total="num_chunks")
+    return ranked.withColumn("chunk_index", F.col("chunk_index") - 1)
+
+
+def merged_metadata(item: Column, parsed: Column, chunk: Column) -> Column:
+    """Item metadata, then parsed metadata, then the chunk's own; later keys win."""
+    return merge_maps(merge_maps(item, parsed), chunk)

@@ -7,104 +7,101 @@ usable value, and which is null itself when all fields are.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import dates, text
 from tidemark.functions import values as v
 from tidemark.functions.values import Value
+from tidemark.sources.payloads import PRIVATE_COLUMNS, is_safe_table
 
 Getter = Callable[[str], Value]
+Reader = Callable[[Value], Column]
+Columns = Callable[[str], Column]
 
 
-def _account(get: Getter) -> dict[str, Column]:
-    return {"accounttype": v.scalar_text(get("accounttype"))}
+@dataclass(frozen=True)
+class TypeRule:
+    """How one type is read: raw values out of the payload, then fields out of those.
 
+    The two steps become two projections, so that a value used in several places of a
+    rule is read once.
+    """
 
-def _address(get: Getter) -> dict[str, Column]:
-    lat, lng = v.number_or_null(get("lat")), v.number_or_null(get("lng"))
-    on_map = lat.between(-90, 90) & lng.between(-180, 180)
-    return {
-        "lat": F.when(on_map, lat), "lng": F.when(on_map, lng),
-        "city": v.string_text(get("city")), "country": v.string_text(get("country")),
-    }
+    reads: dict[str, Reader]
+    fields: Callable[[Columns], dict[str, Column]]
 
 
-def _contact(get: Getter) -> dict[str, Column]:
-    born = v.scalar_text(get("dateofbirth"))
-    return {
-        "firstname": v.scalar_text(get("firstname")), "lastname": v.scalar_text(get("lastname")),
-        "dateofbirth": dates.strict_date(born), "birth_ts": dates.strict_date_seconds(born),
-    }
+def _same(*names: str, **renamed: str) -> Callable[[Columns], dict[str, Column]]:
+    pairs = {**{n: n for n in names}, **renamed}
+    return lambda raw: {field: raw(name) for field, name in pairs.items()}
 
 
-def _date(get: Getter) -> dict[str, Column]:
+def _address(raw: Columns) -> dict[str, Column]:
+    on_map = raw("lat").between(-90, 90) & raw("lng").between(-180, 180)
     return {
-        "start_ts": dates.datetime_seconds(v.scalar_text(get("start"))),
-        "end_ts": dates.datetime_seconds(v.scalar_text(get("end"))),
-        "allday": v.flag_or_null(get("allday")),
+        "lat": F.when(on_map, raw("lat")), "lng": F.when(on_map, raw("lng")),
+        "city": raw("city"), "country": raw("country"),
     }
 
 
-def _file(get: Getter) -> dict[str, Column]:
+def _contact(raw: Columns) -> dict[str, Column]:
     return {
-        "mime_type": v.string_text(get("mime")), "filename": v.string_text(get("filename")),
-        "size": v.positive_int_or_null(get("size")), "url": v.string_text(get("url")),
+        "firstname": raw("firstname"), "lastname": raw("lastname"),
+        "dateofbirth": dates.strict_date(raw("dateofbirth")),
+        "birth_ts": dates.strict_date_seconds(raw("dateofbirth")),
     }
 
 
-def _product(get: Getter) -> dict[str, Column]:
-    return {"code": v.scalar_text(get("code")), "weight": v.int_or_null(get("weight"))}
-
-
-def _project(get: Getter) -> dict[str, Column]:
+def _date(raw: Columns) -> dict[str, Column]:
     return {
-        "projid": v.scalar_text(get("projid")), "alias": v.scalar_text(get("alias")),
-        "start_ts": dates.strict_date_seconds(v.scalar_text(get("start"))),
-        "deadline_ts": dates.strict_date_seconds(v.scalar_text(get("deadline"))),
+        "start_ts": dates.datetime_seconds(raw("start")), "end_ts": dates.datetime_seconds(raw("end")),
+        "allday": raw("allday"),
     }
 
 
-def _resource(get: Getter) -> dict[str, Column]:
-    return {"quota": v.int_or_null(get("quota")), "used": v.int_or_null(get("used"))}
-
-
-def _tag(get: Getter) -> dict[str, Column]:
-    return {"tag": v.scalar_text(get("tag"))}
-
-
-def _task(get: Getter) -> dict[str, Column]:
-    return {
-        "start_ts": dates.strict_date_seconds(v.scalar_text(get("start"))),
-        "deadline_ts": dates.strict_date_seconds(v.scalar_text(get("deadline"))),
-        "expense": v.int_or_null(get("expense")), "done": v.flag_or_null(get("done")),
+def _dated(*names: str) -> Callable[[Columns], dict[str, Column]]:
+    """The named fields as read, with strict start and deadline dates as seconds."""
+    return lambda raw: {
+        **{n: raw(n) for n in names},
+        "start_ts": dates.strict_date_seconds(raw("start")),
+        "deadline_ts": dates.strict_date_seconds(raw("deadline")),
     }
 
 
-def _text(get: Getter) -> dict[str, Column]:
-    return {"mime": v.scalar_text(get("mime"))}
-
-
-RULES: dict[str, Callable[[Getter], dict[str, Column]]] = {
-    "account": _account, "address": _address, "contact": _contact, "date": _date, "file": _file,
-    "product": _product, "project": _project, "resource": _resource, "tag": _tag, "task": _task,
-    "text": _text,
+RULES: dict[str, TypeRule] = {
+    "account": TypeRule({"accounttype": v.scalar_text}, _same("accounttype")),
+    "address": TypeRule(
+        {"lat": v.number_or_null, "lng": v.number_or_null, "city": v.string_text, "country": v.string_text}, _address),
+    "contact": TypeRule(
+        {"firstname": v.scalar_text, "lastname": v.scalar_text, "dateofbirth": v.scalar_text}, _contact),
+    "date": TypeRule({"start": v.scalar_text, "end": v.scalar_text, "allday": v.flag_or_null}, _date),
+    "file": TypeRule(
+        {"mime": v.string_text, "filename": v.string_text, "size": v.positive_int_or_null, "url": v.string_text},
+        _same("filename", "size", "url", mime_type="mime")),
+    "product": TypeRule({"code": v.scalar_text, "weight": v.int_or_null}, _same("code", "weight")),
+    "project": TypeRule(
+        {"projid": v.scalar_text, "alias": v.scalar_text, "start": v.scalar_text, "deadline": v.scalar_text},
+        _dated("projid", "alias")),
+    "resource": TypeRule({"quota": v.int_or_null, "used": v.int_or_null}, _same("quota", "used")),
+    "tag": TypeRule({"tag": v.scalar_text}, _same("tag")),
+    "task": TypeRule(
+        {"start": v.scalar_text, "deadline": v.scalar_text, "expense": v.int_or_null, "done": v.flag_or_null},
+        _dated("expense", "done")),
+    "text": TypeRule({"mime": v.scalar_text}, _same("mime")),
 }
 
 
-def fields(alias: str, get: Getter, existing: Column | None = None) -> dict[str, Column]:
-    """The fields of one namespace; a parsed value wins over an existing one."""
-    parsed = RULES[alias](get)
-    if existing is None:
-        return parsed
-    return {name: F.coalesce(col, existing[name]) for name, col in parsed.items()}
-
-
-def namespace(alias: str, get: Getter, existing: Column | None = None) -> Column:
-    cols = fields(alias, get, existing)
-    some = reduce(lambda a, b: a | b, [c.isNotNull() for c in cols.values()])
+def namespace(alias: str, raw: Columns, existing: Column | None = None) -> Column:
+    """The struct of one type; a parsed value wins over an existing one."""
+    cols = RULES[alias].fields(raw)
+    if existing is not None:
+        cols = {name: F.coalesce(col, existing[name]) for name, col in cols.items()}
+    some = F.coalesce(*[c.cast("string") for c in cols.values()]).isNotNull()
     return F.when(some, F.struct(*[c.alias(name) for name, c in cols.items()]))
 
 
@@ -124,24 +121,83 @@ def merge_maps(old: Column, new: Column) -> Column:
     return F.when(F.coalesce(F.size(new), F.lit(0)) <= 0, old).otherwise(F.map_concat(kept, new))
 
 
+def _read_table(rows: DataFrame, alias: str, keep: list[Column]) -> DataFrame:
+    rule = RULES[alias]
+    raw = [read(v.column_value(rows, name)).alias(f"_{name}") for name, read in rule.reads.items()]
+    return rows.select(*keep, *raw)
+
+
 def enrich_payload(rows: DataFrame, alias: str) -> DataFrame:
     """The namespace fields of one payload table, column types taken from its schema."""
-    cols = fields(alias, lambda name: v.column_value(rows, name))
-    return rows.select("id", *[c.alias(name) for name, c in cols.items()])
+    raw = _read_table(rows, alias, [F.col("id")])
+    cols = RULES[alias].fields(lambda name: F.col(f"_{name}"))
+    return raw.select("id", *[c.alias(name) for name, c in cols.items()])
+
+
+def enriched_union(tables: dict[str, DataFrame], aliases: dict[str, str]) -> DataFrame:
+    """Payload rows of all tables with their namespaces: one narrow branch per table.
+
+    The rules of a type run where its table is scanned, on typed columns, so that a
+    branch compiles to one stage and the shuffle that joins entries to payloads carries
+    the result. ``aliases`` maps table names to type aliases; a table of another type
+    takes the fallback.
+    """
+    branches = []
+    for name, rows in tables.items():
+        if not is_safe_table(name):
+            continue
+        alias = aliases.get(name)
+        kept = [c for c in rows.columns if c not in PRIVATE_COLUMNS.get(alias, [])]
+        text_body = v.scalar_text(v.column_value(rows, "text")) if alias == "text" else F.lit(None).cast("string")
+        base = [
+            F.lit(name).alias("dbtable"), F.col("id").alias("entry_id"),
+            F.to_variant_object(F.struct(*kept)).alias("payload"), text_body.alias("body"),
+        ]
+        raw = _read_table(rows, alias, base) if alias in RULES else rows.select(*base)
+        spaces = [
+            (namespace(other, lambda n: F.col(f"_{n}")) if other == alias else F.lit(None)).alias(other) for other in RULES]
+        parser = F.lit(alias if alias in RULES else "fallback").alias("parser")
+        branches.append(raw.select("dbtable", "entry_id", "payload", "body", parser, *spaces))
+    schema = {}
+    for branch in branches:
+        schema.update({f.name: f.dataType for f in branch.schema if f.dataType.typeName() != "void"})
+    return reduce(DataFrame.unionByName, [
+        b.select(*[F.col(c).cast(schema[c]) if c in schema and b.schema[c].dataType != schema[c] else F.col(c)
+                   for c in b.columns]) for b in branches])
+
+
+def _shared_reads() -> dict[tuple[str, Reader], list[str]]:
+    """Each distinct (payload key, reader) with the types that use it."""
+    shared: dict[tuple[str, Reader], list[str]] = {}
+    for alias, rule in RULES.items():
+        for key, read in rule.reads.items():
+            shared.setdefault((key, read), []).append(alias)
+    return shared
 
 
 def enrich_items(items: DataFrame) -> DataFrame:
-    """Add one struct column per type and ``parser``; one projection, no shuffle.
+    """Add one struct column per type and ``parser``; three projections, no shuffle.
 
-    The payload is a ``VARIANT``; the ``CASE`` on the item's type means that a row pays
-    only for its own type's rules. A namespace column already on the item is merged.
+    The payload is a ``VARIANT``; a value is read only on rows of a type that has it. A
+    namespace column already on the item is merged.
     """
-    payload = F.col("content.payload")
-    alias = F.col("_alias")
+    def raw_name(key: str, read: Reader) -> str:
+        return f"_{key}__{read.__name__}"
+
+    payload, alias = F.col("content.payload"), F.col("_alias")
     routed = items.withColumn("_alias", route(F.col("content.type.alias"), F.col("type_alias")))
-    cols = {
+    reads = _shared_reads()
+    users = {key: sorted({a for (k, _), used_by in reads.items() if k == key for a in used_by}) for key, _ in reads}
+    picked = {f"_v_{key}": F.when(alias.isin(types), v.variant_value(payload, key).col) for key, types in users.items()}
+    read_cols = {
+        raw_name(key, read): F.when(alias.isin(used_by), read(v.Value(F.col(f"_v_{key}"), T.VariantType())))
+        for (key, read), used_by in reads.items()
+    }
+    spaces = {
         name: F.when(alias == name, namespace(
-            name, lambda key: v.variant_value(payload, key), F.col(name) if name in items.columns else None))
-        for name in RULES
+            name, lambda key, rule=rule: F.col(raw_name(key, rule.reads[key])),
+            F.col(name) if name in items.columns else None))
+        for name, rule in RULES.items()
     }
-    return routed.withColumns({**cols, "parser": parser_of(alias)}).drop("_alias")
+    out = routed.withColumns(picked).withColumns(read_cols).withColumns({**spaces, "parser": parser_of(alias)})
+    return out.drop("_alias", *picked, *read_cols)

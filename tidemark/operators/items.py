@@ -91,7 +91,8 @@ def upsert_items(
 ) -> DataFrame:
     """Items of upsert jobs with payload and metadata; jobs without payload are left out.
 
-    ``batch`` (``entry_id``) cuts the side tables to a small claim before they are
+    Further columns of ``payloads``, such as namespaces, stay on the item. ``batch``
+    (``entry_id``) cuts the side tables to a small claim before they are
     grouped. Leave it out when most entries are claimed: the cut would cost more than
     it saves.
     """
@@ -114,6 +115,7 @@ def upsert_items(
         F.when(F.col("archive") == 1, 1).otherwise(0).alias("archive"),
         F.coalesce("public", F.lit(0)).alias("public"),
         "tags", "ref_uuids", "name",
+        *[c for c in payloads.columns if c not in ("dbtable", "entry_id", "payload")],
         F.struct(
             F.struct(
                 F.col("entry_id").alias("id"), F.col("source_uuid").alias("uuid"), "type_id",

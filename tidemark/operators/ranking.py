@@ -1,4 +1,4 @@
-"""Global order without a global sort in one task."""
+"""Ranks and limits without a sort of everything, or of a hot group, in one task."""
 
 from __future__ import annotations
 
@@ -12,28 +12,43 @@ from pyspark.sql import functions as F
 TOP_K_LIMIT = 100_000
 
 
-def global_rank(df: DataFrame, levels: list[Column], order: list[Column], name: str = "rank") -> DataFrame:
-    """Add the 1-based rank in the order ``levels + order``.
+def bucketed_rank(
+    df: DataFrame,
+    levels: list[Column],
+    order: list[Column],
+    name: str = "rank",
+    within: list[str] | None = None,
+    total: str | None = None,
+) -> DataFrame:
+    """Add the 1-based rank in the order ``levels + order``, per group of ``within``.
 
     ``levels`` cut the order into nested buckets, coarse to fine; each level must have a
     bounded number of values inside the one before it. Bucket counts are summed level by
-    level, so no task sorts more than one leaf bucket and no window spans the table. The
-    result depends on the rows only, so a recomputed task gives the same ranks.
+    level, so no task sorts more than one leaf bucket: neither a window over the whole
+    table nor one over a hot group is needed. The result depends on the rows only, so a
+    recomputed task gives the same ranks. ``total`` also adds the number of rows of the
+    group.
     """
+    groups = within or []
     keys = [f"_level{i}" for i in range(len(levels))]
     keyed = df.select("*", *[c.alias(k) for c, k in zip(levels, keys)])
-    counts = keyed.groupBy(*keys).agg(F.count("*").alias("_n"))
+    counts = keyed.groupBy(*groups, *keys).agg(F.count("*").alias("_n"))
     offsets = None
     for depth in range(len(keys)):
-        inner = keys[: depth + 1]
-        level = counts.groupBy(*inner).agg(F.sum("_n").alias("_n"))
-        before = Window.partitionBy(*inner[:-1]).orderBy(inner[-1]).rowsBetween(Window.unboundedPreceding, -1)
-        level = level.select(*inner, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(f"_before{depth}"))
-        offsets = level if offsets is None else level.join(offsets, inner[:-1])
-    leaf = Window.partitionBy(*keys).orderBy(*order)
-    total = reduce(lambda a, b: a + b, [F.col(f"_before{i}") for i in range(len(keys))])
-    ranked = keyed.select("*", F.row_number().over(leaf).alias("_row")).join(offsets, keys)
-    return ranked.select(*df.columns, (total + F.col("_row")).alias(name))
+        outer, inner = groups + keys[:depth], keys[depth]
+        level = counts.groupBy(*outer, inner).agg(F.sum("_n").alias("_n"))
+        around = Window.partitionBy(*outer)
+        before = around.orderBy(inner).rowsBetween(Window.unboundedPreceding, -1)
+        cols = [F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(f"_before{depth}")]
+        if total and depth == 0:
+            cols.append(F.sum("_n").over(around).alias(total))
+        level = level.select(*outer, inner, *cols)
+        offsets = level if offsets is None else level.join(offsets, outer)
+    leaf = Window.partitionBy(*groups, *keys).orderBy(*order)
+    start = reduce(lambda a, b: a + b, [F.col(f"_before{i}") for i in range(len(keys))])
+    ranked = keyed.select("*", F.row_number().over(leaf).alias("_row")).join(offsets, groups + keys)
+    extra = [total] if total else []
+    return ranked.select(*df.columns, (start + F.col("_row")).alias(name), *extra)
 
 
 def take_first(df: DataFrame, order: list[Column], levels: list[Column], leaf_order: list[Column], limit: int | None) -> DataFrame:
@@ -46,4 +61,4 @@ def take_first(df: DataFrame, order: list[Column], levels: list[Column], leaf_or
         return df
     if limit <= TOP_K_LIMIT:
         return df.orderBy(*order).limit(limit)
-    return global_rank(df, levels, leaf_order, "_rank").filter(F.col("_rank") <= limit).drop("_rank")
+    return bucketed_rank(df, levels, leaf_order, "_rank").filter(F.col("_rank") <= limit).drop("_rank")

@@ -40,12 +40,13 @@ def with_point_ids(rows: DataFrame) -> DataFrame:
 
 def skip_known(items: DataFrame, table: DataFrame) -> DataFrame:
     """Items (or rows) whose hash is not stored yet."""
-    return items.join(table.select("hash"), "hash", "left_anti")
+    return items.join(table.select("hash").distinct(), "hash", "left_anti")
 
 
 def delete_matching(table: DataFrame, content: DataFrame) -> DataFrame:
     """The table without the rows of the given ``content_uuid`` values."""
-    return table.join(content.select("content_uuid"), "content_uuid", "left_anti").select(*table.columns)
+    gone = content.select("content_uuid").distinct()
+    return table.join(gone, "content_uuid", "left_anti").select(*table.columns)
 
 
 def upsert(table: DataFrame, rows: DataFrame, mode: str = "replace") -> DataFrame:

@@ -11,7 +11,7 @@ from functools import cached_property, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import prepare
+from tidemark.session import prepare, work_dir
 
 TYPES = [
     (1, "account"), (2, "address"), (3, "contact"), (4, "date"), (5, "file"), (6, "product"),
@@ -95,7 +95,13 @@ SELECTS = {
 
 
 class Records:
-    """Entries, side tables and pipeline tables of one data folder."""
+    """Entries, side tables and pipeline tables of one data folder.
+
+    The entry table stands for a table that a deployment already has, so it is written
+    once per session to the shared work folder and read from there with pruned columns.
+    """
+
+    _landed: dict[tuple[str, str], str] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = prepare(spark)
@@ -131,6 +137,14 @@ class Records:
     @cached_property
     def every_entry(self) -> DataFrame:
         """All entries, also those deleted since."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if key not in self._landed:
+            path = f"{work_dir(self.spark, 'entries')}/every_entry"
+            self.derive_entries().write.parquet(path)
+            self._landed[key] = path
+        return self.spark.read.parquet(self._landed[key])
+
+    def derive_entries(self) -> DataFrame:
         def one(type_id: int, alias: str) -> DataFrame:
             return self.source(alias).select(
                 F.lit(type_id).alias("type_id"), F.lit(alias).alias("alias"), "k", "rev", "label")
