@@ -223,7 +223,7 @@ BODIES: dict[str, str] = {
     "payload_meta": """SELECT doc_id, CASE WHEN doc_id % 5 <> 0 THEN '{"added":"x","custom":{"a":' || doc_id::VARCHAR || '}}' END AS meta FROM judged WHERE reason IS NULL""",
     "payload_typed": """SELECT content_uuid, chunk_index, hash || CASE WHEN chunk_index > 0 THEN '-' || chunk_index::VARCHAR ELSE '' END AS chunktoken,
         source AS name, lang, num_chunks, archive, public, 'doc|' || lang AS tags, content_uuid AS ref_uuids,
-        '{"content_version":"' || version || '"' || CASE WHEN doc_id % 2 = 0 THEN ',"text_meta":{"mime":"text/plain"}' ELSE '' END || '}' AS meta FROM points""",
+        '{"content_version":"' || version || '"' || CASE WHEN doc_id % 2 = 0 THEN ',"text":{"mime":"text/plain"}' ELSE '' END || '}' AS meta FROM points""",
     "upsert_skip": f"SELECT {POINT} FROM old_points UNION ALL SELECT {POINT} FROM points WHERE hash NOT IN (SELECT hash FROM old_points)",
     "upsert_append": f"SELECT {POINT} FROM old_points UNION ALL SELECT {POINT} FROM points",
     "upsert_replace": f"SELECT {POINT} FROM points",
@@ -247,6 +247,50 @@ BODIES: dict[str, str] = {
 }
 
 
+# The latest event per user is the state of the contact with that number.
+FEED = """SELECT upper(md5('contact:' || user_id::VARCHAR)) AS source_uuid, upper(md5('event:' || event_id::VARCHAR)) AS version, ts
+    FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, upper(md5('event:' || event_id::VARCHAR)) DESC) AS r FROM events) WHERE r = 1"""
+
+# Upserts among the running jobs: documents store their chunks, nothing else is stored.
+ENDED = """SELECT j.job_id, CASE WHEN j.job_type NOT IN ('upsert', 'delete') THEN 'Extractor: unsupported job_type ''' || j.job_type || ''''
+        WHEN trim(j.collection_key) = '' THEN 'Extractor: missing job_id/source_uuid/collection_key'
+        WHEN j.job_type = 'upsert' AND p.content_uuid IS NULL THEN 'No chunk was stored' END AS message,
+        j.job_type IN ('upsert', 'delete') AND trim(j.collection_key) <> '' AS usable, j.job_type, p.n
+    FROM jobs j LEFT JOIN (SELECT content_uuid, count(*) AS n FROM points GROUP BY content_uuid) p ON p.content_uuid = j.source_uuid
+    WHERE j.state = 'running'"""
+
+BODIES |= {
+    "stream_changes": f"SELECT source_uuid, version AS source_version, 'contact' AS collection_key FROM ({FEED})",
+    "stream_seen": f"""SELECT source_uuid, version AS last_seen_version, {TIME.format('ts')} AS last_seen_changed,
+        'contact' AS last_seen_collection_key, NULL::VARCHAR AS missing_since FROM ({FEED})""",
+    "job_outcomes": f"SELECT job_id, (message IS NULL)::BIGINT AS ok, message, usable::BIGINT AS retry FROM ({ENDED})",
+    "run_summary": f"""SELECT count_if(message IS NULL) AS num_items_done, count_if(message IS NOT NULL) AS num_items_failed,
+        (SELECT count(*) FROM points) AS num_chunks, coalesce(sum(CASE WHEN usable AND job_type = 'upsert' THEN n END), 0)::BIGINT AS num_vectors FROM ({ENDED})""",
+    "sync_entries": f"""WITH bodies AS (SELECT entry_id, CASE WHEN dbtable = 'text' AND trim(b.text, {TRIM}) <> '' THEN trim(b.text, {TRIM}) ELSE payload_json END AS text
+            FROM ({PAYLOADS}) y LEFT JOIN (SELECT doc_id, text FROM documents) b ON y.dbtable = 'text' AND y.entry_id = 1100000000 + b.doc_id),
+        fresh AS (SELECT m.* FROM moved m LEFT JOIN jobs j ON j.source_uuid = m.uuid AND j.source_version = m.etag
+            AND j.collection_key = m.collection_key AND j.job_type = 'upsert' WHERE j.job_id IS NULL),
+        item AS (SELECT e.id, f.uuid, f.etag, f.collection_key, e.alias, e.archive, b.text, length(b.text) AS n FROM fresh f JOIN sysentry e ON e.uuid = f.uuid JOIN bodies b ON b.entry_id = e.id),
+        starts AS (SELECT *, CASE WHEN n <= 2000 THEN 1 ELSE ceil((n - 2000) / 1950.0)::BIGINT + 1 END AS c FROM item),
+        kept AS (SELECT *, unnest(range(k)) AS i FROM (SELECT *, CASE WHEN c > 1 AND n - (c - 1) * 1950 < 500 THEN c - 1 ELSE c END AS k FROM starts)),
+        cut AS (SELECT * EXCLUDE (text), CASE WHEN i = k - 1 THEN substr(text, (i * 1950 + 1)::BIGINT) ELSE substr(text, (i * 1950 + 1)::BIGINT, 2000) END AS text FROM kept),
+        numbered AS (SELECT * EXCLUDE (i), row_number() OVER (PARTITION BY id ORDER BY i) - 1 AS i, count(*) OVER (PARTITION BY id) AS num FROM cut WHERE trim(text, {TRIM}) <> ''),
+        hashed AS (SELECT *, sha256(collection_key || ':' || uuid || ':' || etag) AS h FROM numbered),
+        marked AS (SELECT *, sha1(unhex('6ba7b8109dad11d180b400c04fd430c8') || encode(h || i::VARCHAR)) AS d FROM hashed),
+        spaces AS ({ENRICH_ALL})
+        SELECT substr(d, 1, 8) || '-' || substr(d, 9, 4) || '-5' || substr(d, 14, 3) || '-' || substr('89ab89ab89ab89ab', strpos('0123456789abcdef', substr(d, 17, 1)), 1)
+            || substr(d, 18, 3) || '-' || substr(d, 21, 12) AS point_id,
+        x.uuid AS content_uuid, x.i AS chunk_index, x.h || CASE WHEN x.i > 0 THEN '-' || x.i::VARCHAR ELSE '' END AS chunktoken, x.alias AS type_alias, nm.name,
+        x.num AS num_chunks, x.archive, CASE WHEN p.entry_id IS NULL THEN 0 ELSE 1 END AS public, t.tags, r.ref_uuids,
+        CASE WHEN s.meta_json = '{{}}' THEN '{{"content_version":"' || x.etag || '"}}'
+             WHEN x.alias IN ('account', 'address', 'contact') THEN left(s.meta_json, length(s.meta_json) - 1) || ',"content_version":"' || x.etag || '"}}'
+             ELSE '{{"content_version":"' || x.etag || '",' || substr(s.meta_json, 2) END AS meta,
+        md5(trim(x.text, {TRIM})) AS text_md5
+        FROM marked x LEFT JOIN publics p ON p.entry_id = x.id LEFT JOIN taglists t ON t.entry_id = x.id
+        LEFT JOIN reflists r ON r.entry_id = x.id LEFT JOIN topnames nm ON nm.entry_id = x.id JOIN spaces s ON s.entry_id = x.id""",
+}
+
+
 def _statement(body: str) -> str:
     sql = with_views(body)
     # A body with its own WITH continues the list of views.

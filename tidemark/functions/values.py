@@ -60,24 +60,27 @@ def variant_value(payload: Column, name: str) -> Value:
     return Value(F.try_variant_get(payload, f"$.{name}", "variant"), T.VariantType())
 
 
-_VARIANT_KINDS = [
-    ("string", "string", lambda k: k == "STRING"),
-    ("int", "bigint", lambda k: k == "BIGINT"),
-    ("bool", "boolean", lambda k: k == "BOOLEAN"),
-    ("float", "double", lambda k: k.isin("DOUBLE", "FLOAT") | k.startswith("DECIMAL")),
-    ("date", "date", lambda k: k == "DATE"),
-    ("timestamp", "timestamp_ntz", lambda k: k.isin("TIMESTAMP", "TIMESTAMP_NTZ")),
-]
-
-
-def by_kind(value: Value, rules: dict) -> Column:
+# Kind -> (type to read it as, test on the variant's own type name). The text branch
+# comes first: most payload values are texts.
+_VARIANT_KINDS = {
+    "string": ("string", lambda k: k == "STRING"),
+    "int": ("bigint", lambda k: k == "BIGINT"),
+    "bool": ("boolean", lambda k: k == "BOOLEAN"),
+    "float": ("double", lambda k: k.isin("DOUBLE", "FLOAT") | k.startswith("DECIMAL")),
+    # Kinds whose text is the value itself, in one branch.
+    "as_text": ("string", lambda k: k.isin("STRING", "BIGINT", "DATE", "TIMESTAMP", "TIMESTAMP_NTZ")),
+    "string_or_time": ("string", lambda k: k.isin("STRING", "DATE", "TIMESTAMP", "TIMESTAMP_NTZ")),
+}
+
+
+def by_kind(value: Value, rules: dict) -> Column | None:
     """Apply the rule for the value's kind; kinds without a rule give null."""
     if value.kind != "variant":
         rule = rules.get(value.kind)
         return rule(value.col) if rule else None
     kind = F.schema_of_variant(value.col)
     out = None
-    for name, target, test in _VARIANT_KINDS:
+    for name, (target, test) in _VARIANT_KINDS.items():
         if name in rules:
             branch = rules[name](F.try_variant_get(value.col, "$", target))
             out = F.when(test(kind), branch) if out is None else out.when(test(kind), branch)
@@ -110,21 +113,23 @@ def _timestamp_text(c: Column) -> Column:
 
 def scalar_text(value: Value) -> Column:
     """Any scalar as trimmed text, null when blank. True is ``1``, false is blank."""
-    return text.non_blank(_typed(value, {
-        "string": lambda c: c,
-        "int": lambda c: c.cast("string"),
-        "bool": lambda c: F.when(c, "1").otherwise(""),
-        "float": float_text,
-        "date": _date_text,
-        "timestamp": _timestamp_text,
-    }, "string"))
+    rules = {"bool": lambda c: F.when(c, "1").otherwise(""), "float": float_text}
+    if value.kind == "variant":
+        rules["as_text"] = lambda c: c
+    else:
+        rules |= {
+            "string": lambda c: c, "int": lambda c: c.cast("string"),
+            "date": _date_text, "timestamp": _timestamp_text}
+    return text.non_blank(_typed(value, rules, "string"))
 
 
 def string_text(value: Value) -> Column:
     """Trimmed text of string values only, null when blank or of another type."""
-    return text.non_blank(_typed(value, {
-        "string": lambda c: c, "date": _date_text, "timestamp": _timestamp_text,
-    }, "string"))
+    if value.kind == "variant":
+        rules = {"string_or_time": lambda c: c}
+    else:
+        rules = {"string": lambda c: c, "date": _date_text, "timestamp": _timestamp_text}
+    return text.non_blank(_typed(value, rules, "string"))
 
 
 def saturating_int(digits: Column) -> Column:

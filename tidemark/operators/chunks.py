@@ -43,13 +43,15 @@ def chunk_rows(rows: DataFrame, text_col: str = "text", **limits: int) -> DataFr
     """Replace the text column by ``chunk_index``, ``num_chunks`` and the chunk's ``text``.
 
     Blank chunks go first, so that indexes are dense and ``num_chunks`` is the same on
-    all chunks of a row.
+    all chunks of a row. A ``metadata`` struct gets ``num_chunks`` too.
     """
     kept = [c for c in rows.columns if c != text_col]
     raw = F.filter(chunk_texts(F.col(text_col), **limits), lambda c: t.trim(c) != "")
     cut = rows.select(*kept, raw.alias("_chunks"))
-    return cut.select(
-        *kept, F.size("_chunks").alias("num_chunks"), F.posexplode("_chunks").alias("chunk_index", "text"))
+    out = cut.select(*kept, F.size("_chunks").alias("num_chunks"), F.posexplode("_chunks").alias("chunk_index", "text"))
+    if "metadata" in kept:
+        out = out.withColumn("metadata", F.col("metadata").withField("num_chunks", F.col("num_chunks")))
+    return out
 
 
 def number_chunks(rows: DataFrame, item: str, position: str) -> DataFrame:

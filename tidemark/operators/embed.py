@@ -78,11 +78,11 @@ def embed_texts(texts: DataFrame, embedder: Embedder, model: str, batch_size: in
 
 
 def attach_vectors(chunks: DataFrame, cache: DataFrame, model: str) -> DataFrame:
-    """Chunks with their vector, null where none exists.
+    """The chunks that have a vector, with it; a chunk without one has failed.
 
-    The cache is unique per key, so a hot text skews only the chunk side, which adaptive
-    execution splits.
+    The cache is unique per key and holds no empty vector, so a hot text skews only the
+    chunk side, which adaptive execution splits, and a caller that does not use the
+    vectors does not read them.
     """
     vectors = cache.filter(F.col("model") == model).select("cache_key", "vector")
-    keyed = chunks.withColumn("cache_key", cache_key(model, F.col("text")))
-    return keyed.join(vectors, "cache_key", "left").drop("cache_key")
+    return chunks.withColumn("cache_key", cache_key(model, F.col("text"))).join(vectors, "cache_key").drop("cache_key")

@@ -1,8 +1,9 @@
 """Payload rows: validation with a reason per chunk, and one projection to fixed fields.
 
-Chunks come in two shapes. Typed frames have one column per metadata key, where null
-means absent. Open frames carry a ``metadata VARIANT``, where an explicit null is
-present. :class:`Metadata` hides the difference; both become Catalyst expressions.
+A chunk has ``chunk_collection_key``, ``chunk_index``, ``text``, ``hash`` and ``metadata``.
+The metadata is a struct with one field per key, where null means absent, or an open
+``VARIANT``, where an explicit null is present. :class:`Metadata` hides the difference;
+both become Catalyst expressions.
 """
 
 from __future__ import annotations
@@ -44,6 +45,7 @@ CONTROL_KEYS = [
     "action", "collectionKey", "collection_key",
 ]
 TEXT_KEYS = ["source_id", "name", "type_alias", "content_id", "url", "filename", "lang", "created_at", "updated_at"]
+READ_KEYS = ["content_uuid", *TEXT_KEYS, "num_chunks", "archive", "public", "tags", "ref_uuids"]
 
 # The rejection messages.
 NO_KEY = "AgentEmbeddingChunk.collectionKey is required."
@@ -57,56 +59,64 @@ NOT_INTEGER = "metadata field 'num_chunks' must be an integer if provided."
 NOT_POSITIVE = "metadata field 'num_chunks' must be > 0 if provided."
 NOT_FLAG = "metadata field '%s' must be 0 or 1 if provided."
 
-CHUNK_COLUMNS = ["chunk_collection_key", "chunk_index", "text", "hash", "vector", "job_id"]
-
-
 @dataclass(frozen=True)
 class Metadata:
-    """Metadata of a chunk frame: a variant column, or the frame's own columns."""
+    """The metadata column of a chunk frame, read key by key."""
 
     frame: DataFrame
-    variant: str | None = None
+    types: dict[str, T.DataType] | None
+
+    @staticmethod
+    def of(frame: DataFrame) -> "Metadata":
+        """Open metadata is read once per key, into columns of their own."""
+        dtype = frame.schema["metadata"].dataType
+        if isinstance(dtype, T.StructType):
+            return Metadata(frame, {f.name: f.dataType for f in dtype})
+        picked = {f"_meta_{key}": v.variant_value(F.col("metadata"), key).col for key in READ_KEYS}
+        return Metadata(frame.withColumns(picked), None)
 
     def value(self, key: str) -> v.Value:
-        if self.variant:
-            return v.variant_value(F.col(self.variant), key)
-        return v.column_value(self.frame, key)
+        if self.types is None:
+            return v.Value(F.col(f"_meta_{key}"), T.VariantType())
+        if key in self.types:
+            return v.Value(F.col("metadata")[key], self.types[key])
+        return v.Value(F.lit(None).cast("string"), T.StringType())
 
     def has(self, key: str) -> Column:
         return self.value(key).col.isNotNull()
 
     def is_object(self) -> Column:
-        if not self.variant:
-            return F.lit(True)
-        return F.coalesce(F.schema_of_variant(self.variant).rlike("^(OBJECT|ARRAY)<"), F.lit(False))
+        if self.types is not None:
+            return F.col("metadata").isNotNull()
+        return F.coalesce(F.schema_of_variant("metadata").rlike("^(OBJECT|ARRAY)<"), F.lit(False))
 
     def is_list(self, key: str) -> Column:
         value = self.value(key)
-        if not self.variant:
+        if self.types is not None:
             return F.lit(isinstance(value.dtype, T.ArrayType))
         return F.coalesce(F.schema_of_variant(value.col).rlike("^(OBJECT|ARRAY)<"), F.lit(False))
 
     def strings(self, key: str) -> Column:
         """The list as texts; elements that are not scalars are null."""
         value = self.value(key)
-        if not self.variant:
+        if self.types is not None:
             return value.col if isinstance(value.dtype, T.ArrayType) else F.lit(None).cast("array<string>")
         listed = F.coalesce(
             F.try_variant_get(value.col, "$", "array<variant>"),
             F.map_values(F.try_variant_get(value.col, "$", "map<string,variant>")))
         return F.transform(listed, lambda x: v.scalar_text(v.Value(x, T.VariantType())))
 
-    def remainder(self, skip: list[str]) -> Column:
+    def remainder(self) -> Column:
         """All other keys as a JSON object, null when there are none."""
         hidden = KNOWN_KEYS + CONTROL_KEYS
-        if self.variant:
+        if self.types is None:
             keys = F.map_filter(
-                F.try_variant_get(F.col(self.variant), "$", "map<string,variant>"), lambda k, _: ~k.isin(hidden))
+                F.try_variant_get("metadata", "$", "map<string,variant>"), lambda k, _: ~k.isin(hidden))
             return F.when(F.size(keys) > 0, F.to_json(F.to_variant_object(keys)))
-        rest = sorted(c for c in self.frame.columns if c not in hidden + skip)
+        rest = sorted(set(self.types) - set(hidden))
         if not rest:
             return F.lit(None).cast("string")
-        return F.nullif(F.to_json(F.struct(*rest)), F.lit("{}"))
+        return F.nullif(F.to_json(F.struct(*[F.col("metadata")[key].alias(key) for key in rest])), F.lit("{}"))
 
 
 def invalid_reason(meta: Metadata) -> Column:
@@ -134,19 +144,20 @@ def invalid_reason(meta: Metadata) -> Column:
         .when(present("public", v.strict_flag_or_null(meta.value("public")).isNotNull()), NOT_FLAG % "public"))
 
 
-def reject_chunks(chunks: DataFrame, variant: str | None = None) -> DataFrame:
+def reject_chunks(chunks: DataFrame) -> DataFrame:
     """Chunks that fail validation, with ``invalid_reason``."""
-    reason = invalid_reason(Metadata(chunks, variant))
-    return chunks.withColumn("invalid_reason", reason).filter("invalid_reason IS NOT NULL")
+    meta = Metadata.of(chunks)
+    judged = meta.frame.withColumn("invalid_reason", invalid_reason(meta)).filter("invalid_reason IS NOT NULL")
+    return judged.select(*chunks.columns, "invalid_reason")
 
 
-def build_payload(chunks: DataFrame, variant: str | None = None) -> DataFrame:
-    """Payload rows of the valid chunks; other columns of ``CHUNK_COLUMNS`` pass through.
+def build_payload(chunks: DataFrame) -> DataFrame:
+    """Payload rows of the valid chunks; ``job_id`` and ``vector`` pass through.
 
     Null means that the field is absent. Metadata without a field of its own ends up in
     ``meta``, a JSON object.
     """
-    meta = Metadata(chunks, variant)
+    meta = Metadata.of(chunks)
     hash_ = text.trim(F.col("hash"))
     cols = {
         "text": text.trim(F.col("text")),
@@ -161,8 +172,8 @@ def build_payload(chunks: DataFrame, variant: str | None = None) -> DataFrame:
         "public": v.strict_flag_or_null(meta.value("public")),
         "tags": text.normalise_strings(meta.strings("tags"), fold_case=True),
         "ref_uuids": text.normalise_strings(meta.strings("ref_uuids"), hex_only=True),
-        "meta": meta.remainder(skip=CHUNK_COLUMNS + ([variant] if variant else [])),
+        "meta": meta.remainder(),
     }
     extra = [c for c in ("job_id", "vector") if c in chunks.columns]
-    valid = chunks.filter(invalid_reason(meta).isNull())
+    valid = meta.frame.filter(invalid_reason(meta).isNull())
     return valid.select(*[cols[name].alias(name) for name, *_ in FIELDS], cols["meta"].alias("meta"), *extra)

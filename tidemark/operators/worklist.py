@@ -42,7 +42,11 @@ def claimable(jobs: DataFrame, now: str, limit: int | None = CLAIM_LIMIT) -> Dat
 
 def claim_batch(jobs: DataFrame, now: str, limit: int | None = CLAIM_LIMIT) -> DataFrame:
     """The work list after the claim: claimed jobs run, are locked and count one attempt."""
-    taken = claimable(jobs, now, limit).select("job_id", F.lit(True).alias("_taken"))
+    return mark_claimed(jobs, claimable(jobs, now, limit), now)
+
+
+def mark_claimed(jobs: DataFrame, ids: DataFrame, now: str) -> DataFrame:
+    taken = ids.select("job_id", F.lit(True).alias("_taken"))
     hit = F.col("_taken").isNotNull()
     lock = timestamp(now) + F.expr(f"INTERVAL {LOCK_MINUTES} MINUTES")
     return _update(jobs.join(taken, "job_id", "left"), JOB, {

@@ -14,8 +14,13 @@ from pyspark.sql import types as T
 
 from tidemark.functions import text
 from tidemark.operators import changes, chunks, embed, enrich, items, payload, ranking, vectors, worklist
+from tidemark.plans import sync
+from tidemark.session import work_dir
 from tidemark.sources.payloads import payload_union
+from tidemark.sources.schemas import JOB, SEEN
+from tidemark.sources.store import SnapshotStore
 from tidemark.sources.views import TYPES, Records
+from tidemark.streaming import feed
 
 NOW = "2024-02-01 00:00:00"
 CURSOR = "2024-01-02 00:00:00"
@@ -363,17 +368,16 @@ def doc_chunks(r: Records, stale: bool = False) -> DataFrame:
     entry = r.every_entry.filter("alias = 'text'").select(F.col("k").alias("doc_id"), "uuid", "etag", "archive")
     old = F.upper(F.md5(F.concat(F.lit("stale:"), "uuid")))
     version = F.when(F.col("doc_id") % 4 == 0, old).otherwise(F.col("etag")) if stale else F.col("etag")
-    rows = docs.join(entry, "doc_id").select(
-        F.lit("text").alias("chunk_collection_key"),
-        text.item_hash(F.lit("text"), F.col("uuid"), version).alias("hash"),
+    metadata = F.struct(
         F.col("uuid").alias("content_uuid"), version.alias("content_version"), F.lit("text").alias("type_alias"),
         F.concat(F.lit(" "), "source").alias("name"), "lang", "archive",
         F.when(F.col("doc_id") % 3 == 0, 1).otherwise(0).alias("public"),
         F.array(F.lit(" Doc "), F.upper("lang"), "lang", F.lit("")).alias("tags"),
         F.array("uuid", F.lower("uuid"), F.lit("zz")).alias("ref_uuids"),
-        F.when(F.col("doc_id") % 2 == 0, F.struct(F.lit("text/plain").alias("mime"))).alias("text_meta"),
-        "text")
-    return chunks.chunk_rows(rows)
+        F.when(F.col("doc_id") % 2 == 0, F.struct(F.lit("text/plain").alias("mime"))).alias("text"))
+    return chunks.chunk_rows(docs.join(entry, "doc_id").select(
+        F.lit("text").alias("chunk_collection_key"),
+        text.item_hash(F.lit("text"), F.col("uuid"), version).alias("hash"), metadata.alias("metadata"), "text"))
 
 
 def points(r: Records, stale: bool = False) -> DataFrame:
@@ -412,12 +416,12 @@ def open_chunks(r: Records) -> DataFrame:
 
 @query
 def payload_rejects(r: Records) -> DataFrame:
-    return payload.reject_chunks(open_chunks(r), "metadata").select("doc_id", "invalid_reason")
+    return payload.reject_chunks(open_chunks(r)).select("doc_id", "invalid_reason")
 
 
 @query
 def payload_build(r: Records) -> DataFrame:
-    rows = payload.build_payload(open_chunks(r).withColumnRenamed("doc_id", "job_id"), "metadata")
+    rows = payload.build_payload(open_chunks(r).withColumnRenamed("doc_id", "job_id"))
     return rows.select(
         F.col("job_id").alias("doc_id"), F.md5("text").alias("text_md5"), "hash", "collection_key", "content_uuid",
         "chunktoken", "chunk_index", "name", "lang", "num_chunks", "archive", "public", "tags", "ref_uuids")
@@ -425,7 +429,7 @@ def payload_build(r: Records) -> DataFrame:
 
 @query
 def payload_meta(r: Records) -> DataFrame:
-    rows = payload.build_payload(open_chunks(r).withColumnRenamed("doc_id", "job_id"), "metadata")
+    rows = payload.build_payload(open_chunks(r).withColumnRenamed("doc_id", "job_id"))
     return rows.select(F.col("job_id").alias("doc_id"), "meta")
 
 
@@ -534,3 +538,79 @@ def search_many(r: Records) -> DataFrame:
         embedding_points(r), _query_vectors(r, [1, 2, 3, 5, 8, 13, 21, 34]), limit=5,
         spec={"must": {"tags": "label-3"}})
     return found.select("query_id", "point_id", F.round("score", 4).alias("score"), "rank")
+
+
+# -- whole runs
+
+
+def _batch(r: Records) -> DataFrame:
+    """The jobs a full run would claim after the changes since the cursor came in."""
+    requests = changes.upsert_requests(_accepted(r))
+    fresh = changes.new_jobs(r.jobs, requests, NOW)
+    return worklist.accepted(fresh)
+
+
+@query
+def sync_entries(r: Records) -> DataFrame:
+    """Changed entries to payload rows: jobs, items, metadata, chunks, payload, ids."""
+    rows = sync.chunk_items(sync.item_rows(_batch(r), r.sources))
+    return vectors.with_point_ids(payload.build_payload(rows)).select(
+        "point_id", "content_uuid", "chunk_index", "chunktoken", "type_alias", "name", "num_chunks", "archive",
+        "public", "tags", "ref_uuids", "meta", F.md5("text").alias("text_md5"))
+
+
+def _job_outcomes(r: Records) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Outcomes of the running jobs when only the chunks of documents get stored."""
+    running = r.jobs.filter("state = 'running'")
+    usable = worklist.accepted(running)
+    upserts = usable.filter("job_type = 'upsert'")
+    entries = r.every_entry.select(F.col("uuid").alias("content_uuid"), F.col("id").alias("job_id"))
+    cut = doc_chunks(r).select("metadata.content_uuid", "chunk_index").join(entries, "content_uuid")
+    stored = cut.join(upserts.select("job_id"), "job_id", "left_semi")
+    rows = sync.outcomes_of(
+        worklist.rejected(running), upserts.limit(0), usable.filter("job_type = 'delete'"), upserts, upserts.limit(0), stored)
+    return rows, cut, stored
+
+
+@query
+def job_outcomes(r: Records) -> DataFrame:
+    return _job_outcomes(r)[0]
+
+
+@query
+def run_summary(r: Records) -> DataFrame:
+    return sync.run_summary(*_job_outcomes(r))
+
+
+# -- streaming
+
+
+def _stream(r: Records) -> SnapshotStore:
+    """Changes of contacts, taken from the event stream, cut into files by day and followed."""
+    base = work_dir(r.spark, "feed")
+    day = F.date_format("ts", "yyyy-MM-dd")
+    rows = r.table("events").select(
+        F.upper(F.md5(F.concat(F.lit("contact:"), F.col("user_id").cast("string")))).alias("uuid"),
+        F.upper(F.md5(F.concat(F.lit("event:"), F.col("event_id").cast("string")))).alias("etag"),
+        F.col("ts").alias("changed"), F.lit("contact").alias("type_alias"), day.alias("day"))
+    rows.hint("rebalance", F.col("day")).write.partitionBy("day").parquet(f"{base}/changes")
+    store = SnapshotStore(r.spark, f"{base}/tables")
+    files = r.spark.read.parquet(f"{base}/changes").inputFiles()
+    feed.watch(
+        r.spark, f"{base}/changes/*", store, f"{base}/checkpoint", now=NOW,
+        files_per_batch=max(1, len(files) // 3)).awaitTermination()
+    return store
+
+
+@query
+def stream_changes(r: Records) -> DataFrame:
+    """Pending jobs after the feed: one per entry, at its latest version."""
+    jobs = _stream(r).read("jobs", JOB)
+    return jobs.filter("state = 'pending'").select("source_uuid", "source_version", "collection_key")
+
+
+@query
+def stream_seen(r: Records) -> DataFrame:
+    """Per-entry state after the feed."""
+    return _stream(r).read("seen", SEEN).select(
+        "source_uuid", "last_seen_version", "last_seen_changed", "last_seen_collection_key", "missing_since")

@@ -13,11 +13,17 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 EPOCH = "1970-01-01 00:00:00"
 
+# Steps of the last runs that a table remembers, to leave out when a run is repeated.
+REMEMBERED_RUNS = 16
+
 
 class SnapshotStore:
     def __init__(self, spark: SparkSession, root: str):
@@ -65,20 +71,23 @@ class SnapshotStore:
     def version(self, table: str) -> int:
         return (self.pointer(table) or {"version": 0})["version"]
 
-    def read(self, table: str, schema: str) -> DataFrame:
-        """The current snapshot, or an empty table before the first write."""
+    def read(self, table: str, schema: str | T.StructType) -> DataFrame:
+        """The current snapshot, or an empty table before the first write.
+
+        A partition column that is not part of the schema comes last.
+        """
+        fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
         current = self.pointer(table)
         if not current or not current["paths"]:
-            return self.spark.createDataFrame([], schema)
-        full = schema if not current["by"] else f"{schema}, {current['by']} string"
+            return self.spark.createDataFrame([], fields)
+        names = fields.names
+        if current["by"] and current["by"] not in names:
+            fields = T.StructType([*fields, T.StructField(current["by"], T.StringType())])
         frames = [
-            self.spark.read.schema(full).option("basePath", base).parquet(*paths)
+            self.spark.read.schema(fields).option("basePath", base).parquet(*paths)
             for base, paths in _by_base(current["paths"]).items()
         ]
-        out = frames[0]
-        for frame in frames[1:]:
-            out = out.unionByName(frame)
-        return out
+        return reduce(DataFrame.unionByName, frames).select(*fields.names)
 
     def write(
         self,
@@ -91,10 +100,10 @@ class SnapshotStore:
         """Write the next snapshot and swap the pointer.
 
         ``touched`` names the partitions that ``rows`` replaces; ``None`` replaces all.
-        ``run`` names the caller's run: writing the same run again changes nothing.
+        ``run`` names the caller's step: writing the same step again changes nothing.
         """
-        current = self.pointer(table) or {"version": 0, "paths": {}, "by": by, "run": None}
-        if run is not None and current["run"] == run:
+        current = self.pointer(table) or {"version": 0, "paths": {}, "by": by, "runs": []}
+        if run is not None and run in current["runs"]:
             return current["version"]
         version = current["version"] + 1
         base = f"{self.root}/{table}/v{version:08d}"
@@ -107,9 +116,10 @@ class SnapshotStore:
             paths.update(self._partition_paths(base, by))
         else:
             paths = {"": base}
+        runs = [*current["runs"], run][-REMEMBERED_RUNS:] if run else current["runs"]
         self._write_json(
             f"{self.root}/{table}/current.json",
-            {"version": version, "paths": paths, "by": by, "run": run},
+            {"version": version, "paths": paths, "by": by, "runs": runs},
         )
         return version
 
@@ -147,7 +157,7 @@ def _by_base(paths: dict[str, str]) -> dict[str, list[str]]:
     return groups
 
 
-def bucket_of(c, buckets: int):
+def bucket_of(c: Column, buckets: int) -> Column:
     """The partition of a key: a zero-padded bucket number as text."""
     width = len(str(buckets - 1))
     return F.lpad(F.pmod(F.xxhash64(c), F.lit(buckets)).cast("string"), width, "0")

@@ -6,10 +6,12 @@ function of a row, so another engine can compute the same rows from the same fil
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.session import prepare, work_dir
 
@@ -94,6 +96,20 @@ SELECTS = {
 }
 
 
+@dataclass(frozen=True)
+class Sources:
+    """The tables a run reads; ``aliases`` maps payload tables to type aliases."""
+
+    entries: DataFrame
+    types: DataFrame
+    payloads: dict[str, DataFrame]
+    access: DataFrame
+    names: DataFrame
+    tags: DataFrame
+    links: DataFrame
+    aliases: dict[str, str]
+
+
 class Records:
     """Entries, side tables and pipeline tables of one data folder.
 
@@ -102,13 +118,21 @@ class Records:
     """
 
     _landed: dict[tuple[str, str], str] = {}
+    _schemas: dict[tuple[str, str], T.StructType] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = prepare(spark)
         self.sf_dir = sf_dir.rstrip("/")
 
+    def _read(self, path: str) -> DataFrame:
+        """A table; its schema is inferred once per session."""
+        key = (self.spark.sparkContext.applicationId, path)
+        if key not in self._schemas:
+            self._schemas[key] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[key]).parquet(path)
+
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._read(f"{self.sf_dir}/{name}.parquet")
 
     def source(self, alias: str) -> DataFrame:
         """Key, revision, label and payload columns of one type."""
@@ -142,7 +166,7 @@ class Records:
             path = f"{work_dir(self.spark, 'entries')}/every_entry"
             self.derive_entries().write.parquet(path)
             self._landed[key] = path
-        return self.spark.read.parquet(self._landed[key])
+        return self._read(self._landed[key])
 
     def derive_entries(self) -> DataFrame:
         def one(type_id: int, alias: str) -> DataFrame:
@@ -228,6 +252,12 @@ class Records:
             .unionByName(edge(items, "task", "l_orderkey", "product", "l_partkey"))
             .unionByName(edge(self.table("customer"), "contact", "c_custkey", "address", "c_nationkey")))
 
+    @property
+    def sources(self) -> Sources:
+        return Sources(
+            self.sysentry, self.systype, self.payloads, self.access, self.names, self.tags, self.links,
+            {alias: alias for _, alias in TYPES})
+
     @cached_property
     def seen(self) -> DataFrame:
         k = F.col("k")
