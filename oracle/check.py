@@ -1,4 +1,4 @@
-"""Run registered queries and their oracle SQL side by side: ``tools_check.py [sf_dir] [name ...]``."""
+"""Run registered queries and their oracle SQL side by side: ``python -m oracle.check [sf_dir] [name ...]``."""
 
 from __future__ import annotations
 

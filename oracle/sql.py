@@ -268,21 +268,23 @@ BODIES |= {
         (SELECT count(*) FROM points) AS num_chunks, coalesce(sum(CASE WHEN usable AND job_type = 'upsert' THEN n END), 0)::BIGINT AS num_vectors FROM ({ENDED})""",
     "sync_entries": f"""WITH bodies AS (SELECT entry_id, CASE WHEN dbtable = 'text' AND trim(b.text, {TRIM}) <> '' THEN trim(b.text, {TRIM}) ELSE payload_json END AS text
             FROM ({PAYLOADS}) y LEFT JOIN (SELECT doc_id, text FROM documents) b ON y.dbtable = 'text' AND y.entry_id = 1100000000 + b.doc_id),
-        fresh AS (SELECT m.* FROM moved m LEFT JOIN jobs j ON j.source_uuid = m.uuid AND j.source_version = m.etag
-            AND j.collection_key = m.collection_key AND j.job_type = 'upsert' WHERE j.job_id IS NULL),
-        item AS (SELECT e.id, f.uuid, f.etag, f.collection_key, e.alias, e.archive, b.text, length(b.text) AS n FROM fresh f JOIN sysentry e ON e.uuid = f.uuid JOIN bodies b ON b.entry_id = e.id),
+        claimed AS (SELECT u.* FROM usable u LEFT JOIN seen z ON z.source_uuid = u.source_uuid AND z.last_seen_collection_key = u.collection_key
+            WHERE u.state = 'pending' AND (u.locked_until IS NULL OR u.locked_until < {NOW}) AND u.job_type = 'upsert'
+            AND NOT coalesce(u.source_version <> z.last_seen_version, false)),
+        item AS (SELECT e.id, f.source_uuid AS uuid, f.source_version AS etag, f.collection_key, e.alias, e.archive, b.text, length(b.text) AS n
+            FROM claimed f JOIN sysentry e ON e.uuid = f.source_uuid JOIN bodies b ON b.entry_id = e.id),
         starts AS (SELECT *, CASE WHEN n <= 2000 THEN 1 ELSE ceil((n - 2000) / 1950.0)::BIGINT + 1 END AS c FROM item),
         kept AS (SELECT *, unnest(range(k)) AS i FROM (SELECT *, CASE WHEN c > 1 AND n - (c - 1) * 1950 < 500 THEN c - 1 ELSE c END AS k FROM starts)),
         cut AS (SELECT * EXCLUDE (text), CASE WHEN i = k - 1 THEN substr(text, (i * 1950 + 1)::BIGINT) ELSE substr(text, (i * 1950 + 1)::BIGINT, 2000) END AS text FROM kept),
         numbered AS (SELECT * EXCLUDE (i), row_number() OVER (PARTITION BY id ORDER BY i) - 1 AS i, count(*) OVER (PARTITION BY id) AS num FROM cut WHERE trim(text, {TRIM}) <> ''),
-        hashed AS (SELECT *, sha256(collection_key || ':' || uuid || ':' || etag) AS h FROM numbered),
+        hashed AS (SELECT *, sha256(collection_key || ':' || uuid || ':' || coalesce(etag, '')) AS h FROM numbered),
         marked AS (SELECT *, sha1(unhex('6ba7b8109dad11d180b400c04fd430c8') || encode(h || i::VARCHAR)) AS d FROM hashed),
         spaces AS ({ENRICH_ALL})
         SELECT substr(d, 1, 8) || '-' || substr(d, 9, 4) || '-5' || substr(d, 14, 3) || '-' || substr('89ab89ab89ab89ab', strpos('0123456789abcdef', substr(d, 17, 1)), 1)
             || substr(d, 18, 3) || '-' || substr(d, 21, 12) AS point_id,
         x.uuid AS content_uuid, x.i AS chunk_index, x.h || CASE WHEN x.i > 0 THEN '-' || x.i::VARCHAR ELSE '' END AS chunktoken, x.alias AS type_alias, nm.name,
         x.num AS num_chunks, x.archive, CASE WHEN p.entry_id IS NULL THEN 0 ELSE 1 END AS public, t.tags, r.ref_uuids,
-        CASE WHEN s.meta_json = '{{}}' THEN '{{"content_version":"' || x.etag || '"}}'
+        CASE WHEN x.etag IS NULL THEN nullif(s.meta_json, '{{}}') WHEN s.meta_json = '{{}}' THEN '{{"content_version":"' || x.etag || '"}}'
              WHEN x.alias IN ('account', 'address', 'contact') THEN left(s.meta_json, length(s.meta_json) - 1) || ',"content_version":"' || x.etag || '"}}'
              ELSE '{{"content_version":"' || x.etag || '",' || substr(s.meta_json, 2) END AS meta,
         md5(trim(x.text, {TRIM})) AS text_md5

@@ -153,17 +153,15 @@ def enriched_union(tables: dict[str, DataFrame], aliases: dict[str, str]) -> Dat
             F.lit(name).alias("dbtable"), F.col("id").alias("entry_id"),
             F.to_variant_object(F.struct(*kept)).alias("payload"), text_body.alias("body"),
         ]
-        raw = _read_table(rows, alias, base) if alias in RULES else rows.select(*base)
-        spaces = [
-            (namespace(other, lambda n: F.col(f"_{n}")) if other == alias else F.lit(None)).alias(other) for other in RULES]
-        parser = F.lit(alias if alias in RULES else "fallback").alias("parser")
-        branches.append(raw.select("dbtable", "entry_id", "payload", "body", parser, *spaces))
-    schema = {}
-    for branch in branches:
-        schema.update({f.name: f.dataType for f in branch.schema if f.dataType.typeName() != "void"})
-    return reduce(DataFrame.unionByName, [
-        b.select(*[F.col(c).cast(schema[c]) if c in schema and b.schema[c].dataType != schema[c] else F.col(c)
-                   for c in b.columns]) for b in branches])
+        if alias in RULES:
+            raw = _read_table(rows, alias, base)
+            space = namespace(alias, lambda name: F.col(f"_{name}")).alias(alias)
+            branches.append(raw.select("dbtable", "entry_id", "payload", "body", F.lit(alias).alias("parser"), space))
+        else:
+            branches.append(rows.select(*base, F.lit("fallback").alias("parser")))
+    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), branches)
+    absent = [F.lit(None).cast("string").alias(other) for other in RULES if other not in out.columns]
+    return out.select("*", *absent)
 
 
 def _shared_reads() -> dict[tuple[str, Reader], list[str]]:

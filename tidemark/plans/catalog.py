@@ -544,15 +544,15 @@ def search_many(r: Records) -> DataFrame:
 
 
 def _batch(r: Records) -> DataFrame:
-    """The jobs a full run would claim after the changes since the cursor came in."""
-    requests = changes.upsert_requests(_accepted(r))
-    fresh = changes.new_jobs(r.jobs, requests, NOW)
-    return worklist.accepted(fresh)
+    """The upsert jobs of a run that claims everything, without refused and stale ones."""
+    claimed = r.jobs.join(worklist.claimable(r.jobs, NOW, limit=None), "job_id", "left_semi")
+    flagged = worklist.flag_stale(worklist.accepted(claimed), r.seen)
+    return flagged.filter("NOT is_stale AND job_type = 'upsert'")
 
 
 @query
 def sync_entries(r: Records) -> DataFrame:
-    """Changed entries to payload rows: jobs, items, metadata, chunks, payload, ids."""
+    """A whole worker run up to its payload rows: claim, guard, items, metadata, chunks, ids."""
     rows = sync.chunk_items(sync.item_rows(_batch(r), r.sources))
     return vectors.with_point_ids(payload.build_payload(rows)).select(
         "point_id", "content_uuid", "chunk_index", "chunktoken", "type_alias", "name", "num_chunks", "archive",

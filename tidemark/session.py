@@ -16,13 +16,16 @@ SESSION_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# Read once per Python process: do not capture a call site for every column expression.
+START_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def build_session(master: str | None = None, app: str = "tidemark", **extra: str) -> SparkSession:
     """Create a session; on a cluster leave ``master`` unset and size shuffles there."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SESSION_CONF, **extra}.items():
+    for key, value in {**SESSION_CONF, **START_CONF, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
