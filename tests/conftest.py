@@ -13,8 +13,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "local[8]", "tidemark-tests",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
+        "local[4]", "tidemark-tests",
+        **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
 

@@ -72,9 +72,12 @@ def _with_payload(jobs: DataFrame, entries: DataFrame, types: DataFrame, payload
     return found.join(payloads, ["dbtable", "entry_id"], how)
 
 
-def missing_payload(jobs: DataFrame, entries: DataFrame, types: DataFrame, payloads: DataFrame) -> DataFrame:
-    """Upsert jobs for which no item can be built: the entry or its payload row is gone."""
-    built = _with_payload(jobs, entries, types, payloads.select("dbtable", "entry_id"), "left_semi")
+def missing_payload(jobs: DataFrame, entries: DataFrame, types: DataFrame, keys: DataFrame) -> DataFrame:
+    """Upsert jobs for which no item can be built: the entry or its payload row is gone.
+
+    ``keys`` are the ``(dbtable, entry_id)`` pairs that have a payload row.
+    """
+    built = _with_payload(jobs, entries, types, keys, "left_semi")
     return jobs.filter("job_type = 'upsert'").join(built.select("job_id"), "job_id", "left_anti")
 
 

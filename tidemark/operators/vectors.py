@@ -181,7 +181,9 @@ def search(
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(names)
+        id_arrow = None
         for batch in batches:
+            id_arrow = batch.column(0).type
             vectors, rows = _as_matrix(batch.column(1), dim)
             if not len(rows):
                 continue
@@ -205,7 +207,7 @@ def search(
         for q, top in enumerate(held):
             if top is not None and len(top[0]):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([names[q]] * len(top[0])), pa.array(list(top[1])), pa.array(top[0])],
+                    [pa.array([names[q]] * len(top[0])), pa.array(list(top[1]), id_arrow), pa.array(top[0])],
                     names=["query_id", id_col, "score"])
 
     id_type = table.schema[id_col].dataType.simpleString()

@@ -16,7 +16,7 @@ from tidemark.functions import text
 from tidemark.operators import changes, chunks, embed, enrich, items, payload, ranking, vectors, worklist
 from tidemark.plans import sync
 from tidemark.session import work_dir
-from tidemark.sources.payloads import payload_union
+from tidemark.sources.payloads import payload_keys, payload_union
 from tidemark.sources.schemas import JOB, SEEN
 from tidemark.sources.store import SnapshotStore
 from tidemark.sources.views import TYPES, Records
@@ -230,7 +230,7 @@ def item_size(r: Records) -> DataFrame:
 
 @query
 def item_missing_payload(r: Records) -> DataFrame:
-    out = items.missing_payload(_usable(r), r.sysentry, r.systype, payload_union(r.payloads))
+    out = items.missing_payload(_usable(r), r.sysentry, r.systype, payload_keys(r.payloads))
     return out.select("job_id", "source_uuid")
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import changes, chunks, embed, enrich, items, payload, vectors, worklist
+from tidemark.sources.payloads import payload_keys
 from tidemark.sources.schemas import JOB, SEEN
 from tidemark.sources.store import SnapshotStore, bucket_of
 from tidemark.sources.views import Sources
@@ -200,7 +201,7 @@ def worker_run(
     final = stored.join(lasting_upserts(live, mode), "job_id", "left_semi")
     store_points(store, final, deletes, mode, limits.buckets, run)
 
-    missing = items.missing_payload(live, src.entries, src.types, enriched(src))
+    missing = items.missing_payload(live, src.entries, src.types, payload_keys(src.payloads))
     upserts = live.filter("job_type = 'upsert'").select("job_id").join(missing.select("job_id"), "job_id", "left_anti")
     upserts = upserts.join(skipped, "job_id", "left_anti")
     store.write("outcomes", outcomes_of(worklist.rejected(batch), missing, deletes, upserts, skipped, stored), run=run)
