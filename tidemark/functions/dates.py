@@ -17,12 +17,17 @@ def datetime_seconds(s: Column) -> Column:
     Days, months and hours beyond their range carry over, so 2020-02-31 is 2020-03-02.
     """
     def part(i: int) -> Column:
-        return F.coalesce(F.regexp_extract(s, DATE_TIME, i).try_cast("int"), F.lit(0))
+        # A part that is not there is blank; casting a blank would cost an exception per row.
+        return F.coalesce(F.nullif(F.regexp_extract(s, DATE_TIME, i), F.lit("")).cast("int"), F.lit(0))
 
+    moment = s.try_cast("timestamp_ntz")
+    regular = (
+        F.unix_date(moment.cast("date")).cast("bigint") * 86400
+        + F.hour(moment) * 3600 + F.minute(moment) * 60 + F.second(moment))
     month_start = F.add_months(F.make_date(part(1), F.lit(1), F.lit(1)), part(2) - 1)
     days = F.unix_date(month_start).cast("bigint") + part(3) - 1
-    seconds = days * 86400 + part(4) * 3600 + part(5) * 60 + part(6)
-    return F.when(s.rlike(DATE_TIME) & ~s.isin(ZERO_DATES), seconds)
+    rolled_over = days * 86400 + part(4) * 3600 + part(5) * 60 + part(6)
+    return F.when(s.rlike(DATE_TIME) & ~s.isin(ZERO_DATES), F.coalesce(regular, rolled_over))
 
 
 def strict_date(s: Column) -> Column:

@@ -96,13 +96,19 @@ RULES: dict[str, TypeRule] = {
 }
 
 
-def namespace(alias: str, raw: Columns, existing: Column | None = None) -> Column:
-    """The struct of one type; a parsed value wins over an existing one."""
+def field_columns(alias: str, raw: Columns, existing: Column | None = None) -> dict[str, Column]:
+    """The fields of one type as flat columns; a parsed value wins over an existing one."""
     cols = RULES[alias].fields(raw)
-    if existing is not None:
-        cols = {name: F.coalesce(col, existing[name]) for name, col in cols.items()}
-    some = F.coalesce(*[c.cast("string") for c in cols.values()]).isNotNull()
-    return F.when(some, F.struct(*[c.alias(name) for name, c in cols.items()]))
+    return {
+        f"_{alias}_{name}": col if existing is None else F.coalesce(col, existing[name]) for name, col in cols.items()}
+
+
+def namespace(alias: str) -> Column:
+    """The struct of one type over its flat columns, null when all of them are."""
+    names = list(RULES[alias].fields(F.col))
+    cols = {name: F.col(f"_{alias}_{name}") for name in names}
+    some = reduce(lambda a, b: a | b, [c.isNotNull() for c in cols.values()])
+    return F.when(some, F.struct(*[c.alias(name) for name, c in cols.items()])).alias(alias)
 
 
 def route(content_alias: Column, metadata_alias: Column) -> Column:
@@ -154,9 +160,10 @@ def enriched_union(tables: dict[str, DataFrame], aliases: dict[str, str]) -> Dat
             F.to_variant_object(F.struct(*kept)).alias("payload"), text_body.alias("body"),
         ]
         if alias in RULES:
-            raw = _read_table(rows, alias, base)
-            space = namespace(alias, lambda name: F.col(f"_{name}")).alias(alias)
-            branches.append(raw.select("dbtable", "entry_id", "payload", "body", F.lit(alias).alias("parser"), space))
+            kept_names = ["dbtable", "entry_id", "payload", "body"]
+            flat = field_columns(alias, lambda name: F.col(f"_{name}"))
+            fields = _read_table(rows, alias, base).select(*kept_names, *[c.alias(n) for n, c in flat.items()])
+            branches.append(fields.select(*kept_names, F.lit(alias).alias("parser"), namespace(alias)))
         else:
             branches.append(rows.select(*base, F.lit("fallback").alias("parser")))
     out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), branches)
@@ -174,7 +181,7 @@ def _shared_reads() -> dict[tuple[str, Reader], list[str]]:
 
 
 def enrich_items(items: DataFrame) -> DataFrame:
-    """Add one struct column per type and ``parser``; three projections, no shuffle.
+    """Add one struct column per type and ``parser``; four projections, no shuffle.
 
     The payload is a ``VARIANT``; a value is read only on rows of a type that has it. A
     namespace column already on the item is merged.
@@ -191,11 +198,11 @@ def enrich_items(items: DataFrame) -> DataFrame:
         raw_name(key, read): F.when(alias.isin(used_by), read(v.Value(F.col(f"_v_{key}"), T.VariantType())))
         for (key, read), used_by in reads.items()
     }
-    spaces = {
-        name: F.when(alias == name, namespace(
-            name, lambda key, rule=rule: F.col(raw_name(key, rule.reads[key])),
-            F.col(name) if name in items.columns else None))
-        for name, rule in RULES.items()
-    }
-    out = routed.withColumns(picked).withColumns(read_cols).withColumns({**spaces, "parser": parser_of(alias)})
-    return out.drop("_alias", *picked, *read_cols)
+    flat: dict[str, Column] = {}
+    for name, rule in RULES.items():
+        existing = F.col(name) if name in items.columns else None
+        found = field_columns(name, lambda key, rule=rule: F.col(raw_name(key, rule.reads[key])), existing)
+        flat |= {field: F.when(alias == name, col) for field, col in found.items()}
+    out = routed.withColumns(picked).withColumns(read_cols).withColumns(flat)
+    out = out.withColumns({**{name: namespace(name) for name in RULES}, "parser": parser_of(alias)})
+    return out.drop("_alias", *picked, *read_cols, *flat)

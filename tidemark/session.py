@@ -14,6 +14,9 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The JVM does not compile methods above this size; a stage that would have one is
+    # better off with its projections split into small methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 # Read once per Python process: do not capture a call site for every column expression.
