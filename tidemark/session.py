@@ -14,6 +14,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Join by hash instead of by sorting where the measured partitions are small enough.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # The JVM does not compile methods above this size; a stage that would have one is
     # better off with its projections split into small methods.
     "spark.sql.codegen.hugeMethodLimit": "8000",
