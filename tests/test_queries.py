@@ -7,6 +7,7 @@ import pytest
 
 from __spark_entry__ import oracle_sql, queries
 from oracle.check import check
+from oracle.sql import ORACLES
 from tests.conftest import SF_SMALL
 from tidemark.operators import vectors
 from tidemark.plans import catalog
@@ -19,7 +20,9 @@ QUICK = [
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(catalog.QUERIES) <= set(queries())
+    assert set(catalog.QUERIES) == set(ORACLES)
+    assert set(oracle_sql()) <= set(queries())
 
 
 def test_quick_queries_equal_their_oracle(spark):
