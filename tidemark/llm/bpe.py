@@ -63,10 +63,13 @@ class Coder:
         self.widths = np.array([len(t) for t in self.token_bytes], np.int64)
         self.known: dict[str, bytes] = {}
 
-    def piece(self, token: str) -> bytes:
+    def encode_piece(self, token: str) -> bytes:
         """The ids of one pre-token as little-endian unsigned 32-bit integers."""
         shown = token.encode().decode("latin-1").translate(self.shown)
-        ids = np.array(self.model.encode(shown, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.array(self.model.encode(shown, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def piece(self, token: str) -> bytes:
+        ids = self.encode_piece(token)
         if len(self.known) >= REMEMBERED:
             self.known.clear()
         self.known[token] = ids

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, packing, token_counts
+from tidemark.llm import bpe, decontaminate, hamming, langid, lm_score, packing, pii, token_counts
 from tidemark.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,69 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
+@query
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op3_benchmark_decontamination"] = """
+WITH doc_words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents WHERE text IS NOT NULL),
+item_words AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM benchmark WHERE text IS NOT NULL),
+doc_shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM doc_words WHERE len(w) > 0),
+item_shingles AS (
+  SELECT DISTINCT item_id, unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM item_words WHERE len(w) > 0),
+sizes AS (SELECT item_id, count(*) AS n_item FROM item_shingles GROUP BY item_id)
+SELECT d.doc_id, i.item_id, z.n_item, count(*) AS n_shared
+FROM doc_shingles d JOIN item_shingles i USING (s) JOIN sizes z ON z.item_id = i.item_id
+GROUP BY d.doc_id, i.item_id, z.n_item HAVING 10 * count(*) >= 8 * z.n_item
+"""
+
+
+@query
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.detect(table(spark, sf_dir, "documents")))
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = hamming.sign_codes(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return hamming.top_k(codes, codes.filter(F.col("id") % 100 == 0)).select(
+        "query_id", F.col("rank").cast("long").alias("rank"), F.col("id").alias("vec_id"), F.col("distance").cast("long").alias("distance"))
+
+
+ORACLES["op8_exact_top_k"] = """
+WITH codes AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END) AS code
+  FROM embeddings WHERE embedding IS NOT NULL),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    len(list_filter(list_zip(q.code, c.code), lambda p: p[1] <> p[2])) AS distance
+  FROM codes q JOIN codes c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank, vec_id, distance
+FROM pairs QUALIFY rank <= 10
+"""
+
+
 @query
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packs = packing.pack(
