@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import work_dir
@@ -85,6 +86,14 @@ def row_ids() -> Iterator[int]:
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write once to the shared folder and read back: lineage ends here."""
-    path = work_dir(df.sparkSession, purpose)
+    path, spark, schema = work_dir(df.sparkSession, purpose), df.sparkSession, df.schema
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    del df
+    free_shuffles(spark)
+    return spark.read.schema(schema).parquet(path)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nobody holds any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

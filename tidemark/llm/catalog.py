@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, hamming, langid, lm_score, packing, pii, token_counts
+from tidemark.llm import bpe, decontaminate, hamming, langid, lm_score, packing, pii, repeats, token_counts
 from tidemark.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +73,12 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.col("text_bytes").alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes = hamming.sign_codes(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")

@@ -90,3 +90,17 @@ def shingle_sets(texts: list[str | None], width: int = WIDTH) -> list[np.ndarray
         else:
             out.append(np.empty(0, np.uint64))
     return out
+
+
+def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
+    """A hash of every ``size`` consecutive bytes."""
+    n = len(data) - size + 1
+    out = np.empty(n, np.uint64)
+    for at in range(0, n, SPAN):
+        part = data[at:at + SPAN + size - 1]
+        up, down = _tables(len(part) + 1)
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(LETTER[part] * up[:-1], out=sums[1:])
+        some = len(part) - size + 1
+        out[at:at + some] = (sums[size:] - sums[:some]) * down[:some]
+    return mixed(out)
