@@ -338,6 +338,9 @@ def classes(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents that are the smallest of their component, with all their columns; null ids stay."""
-    gone = classes(docs).filter("component_id < doc_id").select("doc_id")
-    return docs.join(gone.distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """One document of each component, that of the smallest id, with all its columns.
+
+    Rows equal in id and text are one document. Null ids stay.
+    """
+    gone = classes(docs).filter("component_id < doc_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns).dropDuplicates(["doc_id", "text"])

@@ -15,11 +15,12 @@ its own; null ids are not learned from. An empty table gives an empty result.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrow import per_document
+from tidemark.llm.arrow import BATCH_ROWS, per_document
 
 UNDETERMINED = "und"
 FOLDS, HELD_OUT = 4, 2
@@ -104,20 +105,23 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
     """``doc_id, lang_pred, score`` of every text; the score is a softmax over the languages."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    def work(ids, texts):
-        names, matrix = sent.value
-        langs, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
-        known = [i for i, t in enumerate(texts) if names and t and LETTER.search(t)]
-        for at in range(0, len(known), ROWS):
-            part = known[at:at + ROWS]
-            raw = normalised(presence([texts[i] for i in part])) @ matrix[:-1] + matrix[-1]
-            odds = np.exp(SHARPNESS * (raw - raw.max(axis=1, keepdims=True)).astype(np.float64))
-            odds /= odds.sum(axis=1, keepdims=True)
-            for i, best, row in zip(part, odds.argmax(axis=1), odds):
-                langs[i], scores[i] = names[best], float(row[best])
-        return ids, langs, scores
+    return per_document(
+        docs, lambda ids, texts: (ids, *classified(texts, sent.value)), "doc_id long, lang_pred string, score double")
+
 
-    return per_document(docs, work, "doc_id long, lang_pred string, score double")
+def classified(texts: list[str | None], model: tuple[list[str], np.ndarray]) -> tuple[list[str], list[float]]:
+    """Language and score of every text, in batches of one matrix product each."""
+    names, matrix = model
+    langs, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
+    lettered = [i for i, t in enumerate(texts) if names and t and LETTER.search(t)]
+    for at in range(0, len(lettered), ROWS):
+        part = lettered[at:at + ROWS]
+        raw = normalised(presence([texts[i] for i in part])) @ matrix[:-1] + matrix[-1]
+        odds = np.exp(SHARPNESS * (raw - raw.max(axis=1, keepdims=True)).astype(np.float64))
+        odds /= odds.sum(axis=1, keepdims=True)
+        for i, best, row in zip(part, odds.argmax(axis=1), odds):
+            langs[i], scores[i] = names[best], float(row[best])
+    return langs, scores
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -125,3 +129,28 @@ def identify(docs: DataFrame) -> DataFrame:
     rest = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(FOLDS))
     out = predict(docs, fit(docs))
     return out.select("doc_id", F.coalesce(rest == HELD_OUT, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def keep_known(docs: DataFrame, model: tuple[list[str], np.ndarray] | None = None) -> DataFrame:
+    """The rows, with all their columns, whose text has a language; the others are rejected.
+
+    Each row is decided by its own text, so repeated and null ids make no difference. If
+    nothing could be learned, every text with a letter stays.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(model or fit(docs))
+    at = docs.columns.index("text")
+
+    def task(batches):
+        for batch in batches:
+            kept = known(batch.column(at).to_pylist(), sent.value)
+            yield batch.take(pa.array(kept, pa.int64()))
+
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return docs.mapInArrow(task, docs.schema)
+
+
+def known(texts: list[str | None], model: tuple[list[str], np.ndarray]) -> list[int]:
+    """Places of the texts that are in one of the learned languages."""
+    if not model[0]:
+        return [i for i, t in enumerate(texts) if t and LETTER.search(t)]
+    return [i for i, lang in enumerate(classified(texts, model)[0]) if lang != UNDETERMINED]
