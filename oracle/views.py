@@ -154,7 +154,7 @@ def ts(column: str) -> str:
 
 
 def with_views(body: str) -> str:
-    """Put the needed views, in order, in front of a query."""
+    """Put the needed views, in order and each computed once, in front of a query."""
     needed: dict[str, None] = {}
 
     def visit(sql: str) -> None:
@@ -166,4 +166,4 @@ def with_views(body: str) -> str:
     visit(body)
     if not needed:
         return body
-    return "WITH " + ",\n".join(f"{n} AS ({VIEWS[n]})" for n in needed) + "\n" + body
+    return "WITH " + ",\n".join(f"{n} AS MATERIALIZED ({VIEWS[n]})" for n in needed) + "\n" + body
