@@ -185,7 +185,7 @@ BODIES: dict[str, str] = {
         || ',"payload":' || p.payload_json || '}}') AS size
         FROM built b JOIN ({PAYLOADS}) p ON p.entry_id = b.entry_id""",
     "item_missing_payload": """SELECT u.job_id, u.source_uuid FROM usable u
-        WHERE u.job_type = 'upsert' AND u.source_uuid NOT IN (SELECT e.uuid FROM sysentry e)""",
+        WHERE u.job_type = 'upsert' AND u.source_uuid NOT IN (SELECT e.uuid FROM sysentry e WHERE e.id % 13 <> 5)""",
     "item_public": "SELECT e.id AS entry_id, CASE WHEN p.entry_id IS NULL THEN 0 ELSE 1 END AS public FROM sysentry e LEFT JOIN publics p ON p.entry_id = e.id",
     "item_name": "SELECT entry_id, name FROM topnames",
     "item_tags": "SELECT entry_id, tags FROM taglists",
@@ -225,7 +225,8 @@ BODIES: dict[str, str] = {
         source AS name, lang, num_chunks, archive, public, 'doc|' || lang AS tags, content_uuid AS ref_uuids,
         '{"content_version":"' || version || '"' || CASE WHEN doc_id % 2 = 0 THEN ',"text":{"mime":"text/plain"}' ELSE '' END || '}' AS meta FROM points""",
     "upsert_skip": f"SELECT {POINT} FROM old_points UNION ALL SELECT {POINT} FROM points WHERE hash NOT IN (SELECT hash FROM old_points)",
-    "upsert_append": f"SELECT {POINT} FROM old_points UNION ALL SELECT {POINT} FROM points",
+    "upsert_append": f"""SELECT {POINT} FROM old_points o WHERE NOT EXISTS (SELECT 1 FROM points p WHERE p.hash = o.hash AND p.chunk_index = o.chunk_index)
+        UNION ALL SELECT {POINT} FROM points""",
     "upsert_replace": f"SELECT {POINT} FROM points",
     "vector_delete": f"""SELECT {POINT} FROM points WHERE content_uuid NOT IN (SELECT u.source_uuid FROM usable u WHERE u.job_type = 'delete')""",
     "exists_by_hash": "SELECT DISTINCT hash, (hash IN (SELECT hash FROM old_points))::BIGINT AS is_stored FROM points",
@@ -254,7 +255,8 @@ FEED = """SELECT upper(md5('contact:' || user_id::VARCHAR)) AS source_uuid, uppe
 # Upserts among the running jobs: documents store their chunks, nothing else is stored.
 ENDED = """SELECT j.job_id, CASE WHEN j.job_type NOT IN ('upsert', 'delete') THEN 'Extractor: unsupported job_type ''' || j.job_type || ''''
         WHEN trim(j.collection_key) = '' THEN 'Extractor: missing job_id/source_uuid/collection_key'
-        WHEN j.job_type = 'upsert' AND p.content_uuid IS NULL THEN 'No chunk was stored' END AS message,
+        WHEN j.job_type = 'upsert' AND j.source_uuid NOT IN (SELECT e.uuid FROM sysentry e WHERE e.id % 13 <> 5) THEN 'Extractor: missing payload / sysentry not found'
+        WHEN j.job_type = 'upsert' AND j.job_id % 10 <> 3 AND p.content_uuid IS NULL THEN 'No chunk was stored' END AS message,
         j.job_type IN ('upsert', 'delete') AND trim(j.collection_key) <> '' AS usable, j.job_type, p.n
     FROM jobs j LEFT JOIN (SELECT content_uuid, count(*) AS n FROM points GROUP BY content_uuid) p ON p.content_uuid = j.source_uuid
     WHERE j.state = 'running'"""

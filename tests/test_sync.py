@@ -1,12 +1,15 @@
 """Enqueue and worker runs on a small set of records, end to end and repeated."""
 
+import dataclasses
+
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import embed, vectors
+from tidemark.operators import embed, enrich, ranking, vectors, worklist
 from tidemark.operators.changes import timestamp
 from tidemark.plans import sync
 from tidemark.sources import schemas
+from tidemark.sources.payloads import payload_union
 from tidemark.sources.store import SnapshotStore
 from tidemark.sources.views import Sources
 
@@ -37,8 +40,7 @@ def sources(spark, entries):
         access=spark.createDataFrame([(2, 1, "visitor"), (3, 2, "visitor")], schemas.ACCESS),
         names=spark.createDataFrame([(2, 1, "one"), (2, 2, " Two "), (3, 1, "x"), (3, 2, " ")], schemas.NAME),
         tags=spark.createDataFrame([(2, " B "), (2, "a"), (2, "b"), (2, " ")], schemas.TAG),
-        links=spark.createDataFrame([(2, 4), (2, 1), (2, 4), (2, 999)], schemas.LINK),
-        aliases={"contacts": "contact", "texts": "text"})
+        links=spark.createDataFrame([(2, 4), (2, 1), (2, 4), (2, 999)], schemas.LINK))
 
 
 @pytest.fixture()
@@ -137,7 +139,8 @@ def test_modes(spark, store):
         "num_items_done": 2, "num_items_failed": 0, "num_chunks": 0, "num_vectors": 0}
     store.write("jobs", store.read("jobs", schemas.JOB).withColumn("state", F.lit("pending")), by="state")
     work(store, src, "2024-02-03 00:00:00", "append")
-    assert store.read("vectors", vectors.POINT).count() == 22
+    # The same version of the same entries: the same points.
+    assert store.read("vectors", vectors.POINT).count() == 11
     with pytest.raises(ValueError):
         work(store, src, "2024-02-04 00:00:00", "merge")
 
@@ -177,3 +180,80 @@ def test_policies(spark):
     assert changes.should_run("1970-01-01 00:00:00", "1970-01-01 00:00:01")
     assert not changes.should_run("2024-01-01 00:00:00", "2024-01-01 00:14:59")
     assert changes.should_run("2024-01-01 00:00:00", "2024-01-01 00:15:00")
+
+
+def test_failing_texts_fail_their_items_only(spark, store):
+    src = sources(spark, [(2, 2, 1, 10), (4, 2, 1, 10), (6, 2, 1, 10)])
+    bodies = [(2, "good words", "text/plain"), (4, "a hot text", "text/plain"), (6, "an empty one", "text/plain")]
+    src = dataclasses.replace(src, payloads={**src.payloads, "texts": spark.createDataFrame(bodies, "id bigint, text string, mime string")})
+    sync.enqueue_run(store, src, "2024-02-01 00:00:00")
+    plain = embed.bag_of_words(8)
+
+    def model(texts):
+        if any("hot" in t for t in texts):
+            raise RuntimeError("too hot")
+        return [[] if "empty" in t else v for t, v in zip(texts, plain(texts))]
+
+    got = sync.worker_run(store, src, "2024-02-01 01:00:00", model, "m", limits=BUCKETS)
+    assert got == {"num_items_done": 1, "num_items_failed": 2, "num_chunks": 3, "num_vectors": 1}
+    jobs = {r.source_uuid: (r.state, r.error_message) for r in store.read("jobs", schemas.JOB).collect()}
+    assert jobs == {uid(2): ("done", None), uid(4): ("pending", "Embedding: too hot"), uid(6): ("pending", embed.EMPTY_VECTOR)}
+    again = sync.worker_run(store, src, "2024-02-01 02:00:00", plain, "m", limits=BUCKETS)
+    assert again["num_items_done"] == 2 and {u for u, _ in points_of(store)} == {uid(2), uid(4), uid(6)}
+
+
+def test_bucket_count_stays_with_the_table(spark, store):
+    src = sources(spark, [(2, 2, 1, 10), (4, 2, 1, 10)])
+    sync.enqueue_run(store, src, "2024-02-01 00:00:00")
+    work(store, src, "2024-02-01 00:00:00", buckets=8)
+    before = points_of(store)
+    store.write("jobs", store.read("jobs", schemas.JOB).withColumn("state", F.lit("pending")), by="state")
+    work(store, src, "2024-02-02 00:00:00", buckets=256)
+    assert points_of(store).keys() == before.keys()
+    assert store.read("vectors", vectors.POINT).count() == len(before)
+
+
+@pytest.mark.parametrize("top_k", [100_000, 1])
+def test_limited_runs_see_every_change_once(spark, tmp_path, monkeypatch, top_k):
+    """Changes within one second, ties among them, taken a few at a time by either kind of limit."""
+    monkeypatch.setattr(ranking, "TOP_K_LIMIT", top_k)
+    store = SnapshotStore(spark, str(tmp_path / "ranked"))
+    src = sources(spark, [(n, 1, 1, 10) for n in range(1, 12)])
+    ids = {uid(n) for n in range(1, 12)}
+    # The smaller the id, the later the change; two share a time.
+    late = (F.lit(12) - F.when(F.col("id") == 5, 6).otherwise(F.col("id"))).cast("int") * 1000
+    src = dataclasses.replace(src, entries=src.entries.withColumn(
+        "changed", F.col("changed") + F.expr("INTERVAL 1 SECOND") * (late / 1_000_000)).withColumn("uuid", F.lower("uuid")))
+    seen = []
+    for step in range(6):
+        got = sync.enqueue_run(store, src, f"2024-02-01 0{step}:00:00", sync.Limits(changed=2))
+        seen.append(got["changed"])
+    assert seen == [2, 2, 2, 2, 2, 1]
+    jobs = store.read("jobs", schemas.JOB).collect()
+    assert {j.source_uuid for j in jobs} == ids and len(jobs) == 11
+
+
+def test_private_columns_follow_the_routed_type(spark):
+    rows = spark.createDataFrame([(1, " Gold ", "secret", "d0", "k")], "id bigint, accounttype string, description string, data0 string, keep string")
+    for table, alias in (("crm_account", " AcCoUnT "), ("account", None), ("Account", "other")):
+        aliases = {table: alias} if alias else {}
+        union = payload_union({table: rows}, aliases).select(F.to_json("payload").alias("p")).first().p
+        assert "secret" not in union and "d0" not in union and '"keep":"k"' in union
+        out = enrich.enriched_union({table: rows}, aliases).select("parser", F.to_json("payload").alias("p")).first()
+        assert "secret" not in out.p and "d0" not in out.p
+    assert enrich.enriched_union({"crm_account": rows}, {"crm_account": " AcCoUnT "}).first().parser == "account"
+
+
+def test_null_levels_keep_their_rows(spark):
+    rows = [(1, None, 5), (2, "a", None), (3, "a", 1), (4, None, None), (5, "b", 2)]
+    frame = spark.createDataFrame(rows, "i int, g string, n int")
+    ranked = ranking.bucketed_rank(frame, [F.col("n")], [F.col("i")], within=["g"], total="size").collect()
+    assert {(r.i, r["rank"], r["size"]) for r in ranked} == {(4, 1, 2), (1, 2, 2), (2, 1, 2), (3, 2, 2), (5, 1, 1)}
+
+
+def test_unset_filter_and_unset_times(spark):
+    table = spark.createDataFrame([(1, "de"), (2, None)], "id int, lang string")
+    assert [r.id for r in table.filter(vectors.filter_spec(table, {"must": {"lang": None}})).collect()] == [2]
+    job = spark.createDataFrame([(1, "done")], "job_id bigint, state string")
+    job = job.select("*", *(F.lit(None).cast(t.split()[1]).alias(t.split()[0]) for t in schemas.JOB.split(", ") if t.split()[0] not in job.columns))
+    assert worklist.retire(job, "2024-01-01 00:00:00").count() == 1

@@ -31,8 +31,8 @@ def non_blank(c: Column) -> Column:
 
 
 def collection_key(alias: Column) -> Column:
-    """The trimmed type alias, or ``default``."""
-    return F.coalesce(non_blank(alias), F.lit("default"))
+    """The trimmed type alias in lower case, or ``default``: keys that differ in case are one."""
+    return F.coalesce(lower(non_blank(alias)), F.lit("default"))
 
 
 def upper_hex(c: Column) -> Column:

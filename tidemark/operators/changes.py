@@ -38,9 +38,10 @@ def should_run(last_run_at: str, now: str, min_seconds: int = MIN_INTERVAL_SECON
 # -- scan
 
 
-def changed_levels() -> list[Column]:
-    # Days in a calendar, seconds in a day, 4096 id prefixes in a second.
-    return [F.to_date("changed"), F.date_trunc("second", F.col("changed")), F.substring("uuid", 1, 3)]
+def changed_levels(uuid: str = "uuid") -> list[Column]:
+    """Prefixes of the order by change time and id: day, second, millisecond, exact time, id prefix."""
+    changed = F.col("changed")
+    return [F.to_date(changed), F.date_trunc("second", changed), F.date_trunc("millisecond", changed), changed, F.substring(uuid, 1, 3)]
 
 
 def changed_entries(
@@ -52,10 +53,11 @@ def changed_entries(
 ) -> DataFrame:
     """Entries changed after the cursor, oldest first, as ``(uuid, etag, changed, type_alias)``.
 
-    Entries of unknown type are dropped. With ``limit`` the batch ends in the middle of
+    Ids come in upper case, as all later steps use them. Entries of unknown type are dropped. With ``limit`` the batch ends in the middle of
     equal timestamps; a plain cursor then loses the rest of them. ``cursor_uuid`` makes
     the cursor a pair and takes up at the exact row.
     """
+    entries = entries.withColumn("uuid", F.upper("uuid"))
     after = F.col("changed") > timestamp(cursor)
     if cursor_uuid is not None:
         after |= (F.col("changed") == timestamp(cursor)) & (F.col("uuid") > cursor_uuid)
@@ -91,7 +93,7 @@ def vanished_entries(seen: DataFrame, entries: DataFrame, limit: int | None = No
     """Seen entries that no longer exist and are not yet marked missing."""
     gone = (
         seen.filter("missing_since IS NULL")
-        .join(entries.select(F.col("uuid").alias("source_uuid")), "source_uuid", "left_anti"))
+        .join(entries.select(F.upper("uuid").alias("source_uuid")), "source_uuid", "left_anti"))
     order = [F.col("source_uuid")]
     levels = [F.substring("source_uuid", 1, 3), F.substring("source_uuid", 4, 3)]
     return (
@@ -146,7 +148,7 @@ def new_jobs(jobs: DataFrame, requests: DataFrame, now: str) -> DataFrame:
     fresh = fresh.join(jobs.select(*JOB_KEY), JOB_KEY, "left_anti")
     ranked = bucketed_rank(
         fresh,
-        [F.to_date("changed"), F.date_trunc("second", F.col("changed")), F.substring("source_uuid", 1, 3)],
+        changed_levels("source_uuid"),
         [F.col("changed"), F.col("source_uuid"), F.col("source_version"), F.col("collection_key"), F.col("job_type")])
     last_id = jobs.agg(F.coalesce(F.max("job_id"), F.lit(0).cast("bigint"))).scalar()
     none_ts = F.lit(None).cast("timestamp_ntz")

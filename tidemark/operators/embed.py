@@ -14,6 +14,11 @@ from pyspark.sql import functions as F
 Embedder = Callable[[list[str]], "list[list[float]] | np.ndarray"]
 
 CACHE = "cache_key string, model string, vector array<float>"
+RESULT = f"{CACHE}, error string"
+
+# What is said of a text that the model returns nothing for.
+EMPTY_VECTOR = "Embedding: empty vector"
+ERROR_CHARS = 1000
 
 _WORD = re.compile(r"[A-Za-z0-9]+")
 
@@ -55,26 +60,48 @@ def cache_misses(chunks: DataFrame, cache: DataFrame, model: str) -> DataFrame:
     return keyed.groupBy("cache_key").agg(F.first("text").alias("text")).join(known, "cache_key", "left_anti")
 
 
-def embed_texts(texts: DataFrame, embedder: Embedder, model: str, batch_size: int = 256) -> DataFrame:
-    """Embed ``(cache_key, text)`` rows in Arrow batches; returns cache rows.
+def _vectors(embedder: Embedder, texts: list[str]) -> list[tuple[np.ndarray | None, str | None]]:
+    """Vector or error of each text. If a batch fails, its texts are tried one by one."""
+    try:
+        found = [np.asarray(x, dtype=np.float32) for x in embedder(texts)]
+        if len(found) != len(texts):
+            raise ValueError(f"{len(found)} vectors for {len(texts)} texts")
+        return [(x, None) if x.size else (None, EMPTY_VECTOR) for x in found]
+    except Exception as error:  # of any model: it is the text's failure, not the run's
+        if len(texts) == 1:
+            return [(None, f"Embedding: {error}"[:ERROR_CHARS])]
+        return [out for text in texts for out in _vectors(embedder, [text])]
 
-    A text whose vector comes back empty is left out: that is a failed chunk.
-    """
+
+def embed_results(texts: DataFrame, embedder: Embedder, model: str, batch_size: int = 256) -> DataFrame:
+    """Embed ``(cache_key, text)`` rows in Arrow batches; a text has a vector or an error."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, batch_size):
                 part = batch.slice(start, batch_size)
-                vectors = [np.asarray(x, dtype=np.float32) for x in embedder(part.column(1).to_pylist())]
-                keep = [i for i, x in enumerate(vectors) if x.size]
+                vectors, errors = zip(*_vectors(embedder, part.column(1).to_pylist()))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(0).take(pa.array(keep, pa.int64())),
-                        pa.array([model] * len(keep), pa.string()),
-                        pa.array([vectors[i] for i in keep], pa.list_(pa.float32())),
+                        part.column(0),
+                        pa.array([model] * part.num_rows, pa.string()),
+                        pa.array(vectors, pa.list_(pa.float32())),
+                        pa.array(errors, pa.string()),
                     ],
-                    names=["cache_key", "model", "vector"])
+                    names=["cache_key", "model", "vector", "error"])
+
+    return texts.select("cache_key", "text").mapInArrow(run, RESULT)
+
+
+def embed_texts(texts: DataFrame, embedder: Embedder, model: str, batch_size: int = 256) -> DataFrame:
+    """The cache rows of the texts that got a vector; a text without one is a failed chunk."""
+    return embed_results(texts, embedder, model, batch_size).filter("vector IS NOT NULL").drop("error")
+
 
-    return texts.select("cache_key", "text").mapInArrow(run, CACHE)
+def item_errors(chunks: DataFrame, results: DataFrame, model: str) -> DataFrame:
+    """``job_id, error``: the first error among the chunks of each item that has one."""
+    keyed = chunks.select("job_id", cache_key(model, F.col("text")).alias("cache_key"))
+    failed = results.filter("error IS NOT NULL").select("cache_key", "error")
+    return keyed.join(failed, "cache_key").groupBy("job_id").agg(F.min("error").alias("error"))
 
 
 def attach_vectors(chunks: DataFrame, cache: DataFrame, model: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from tidemark.functions import dates, text
 from tidemark.functions import values as v
 from tidemark.functions.values import Value
-from tidemark.sources.payloads import PRIVATE_COLUMNS, is_safe_table
+from tidemark.sources.payloads import is_safe_table, public_columns, routed
 
 Getter = Callable[[str], Value]
 Reader = Callable[[Value], Column]
@@ -145,15 +145,15 @@ def enriched_union(tables: dict[str, DataFrame], aliases: dict[str, str]) -> Dat
 
     The rules of a type run where its table is scanned, on typed columns, so that a
     branch compiles to one stage and the shuffle that joins entries to payloads carries
-    the result. ``aliases`` maps table names to type aliases; a table of another type
-    takes the fallback.
+    the result. ``aliases`` maps table names to type aliases, in any case; a table of
+    another type takes the fallback.
     """
     branches = []
     for name, rows in tables.items():
         if not is_safe_table(name):
             continue
-        alias = aliases.get(name)
-        kept = [c for c in rows.columns if c not in PRIVATE_COLUMNS.get(alias, [])]
+        alias = routed(aliases.get(name))
+        kept = public_columns(rows, name, alias)
         text_body = v.scalar_text(v.column_value(rows, "text")) if alias == "text" else F.lit(None).cast("string")
         base = [
             F.lit(name).alias("dbtable"), F.col("id").alias("entry_id"),

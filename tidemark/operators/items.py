@@ -18,7 +18,7 @@ def entries_of(jobs: DataFrame, entries: DataFrame, types: DataFrame) -> DataFra
     """Jobs with the current row of their entry and its type; unknown ones are dropped."""
     kinds = types.select(F.col("id").alias("type_id"), F.col("alias").alias("type_alias"), "dbtable")
     current = entries.select(
-        F.col("uuid").alias("source_uuid"), F.col("id").alias("entry_id"), "type_id", "etag",
+        F.upper("uuid").alias("source_uuid"), F.col("id").alias("entry_id"), "type_id", "etag",
         "archive", "created", "changed")
     return jobs.join(current, "source_uuid").join(kinds, "type_id")
 

@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Up to this many rows a top-k merges on the driver side of one task; beyond it the
-# rank is computed from bucket counts.
+# Up to this many rows one task merges a top-k; beyond it the rank is computed from bucket
+# counts. Both give the same rows: the levels of a limit are prefixes of its order.
 TOP_K_LIMIT = 100_000
 
 
@@ -23,8 +23,8 @@ def bucketed_rank(
     """Add the 1-based rank in the order ``levels + order``, per group of ``within``.
 
     ``levels`` cut the order into nested buckets, coarse to fine; each level must have a
-    bounded number of values inside the one before it. Bucket counts are summed level by
-    level, so no task sorts more than one leaf bucket: neither a window over the whole
+    bounded number of values inside the one before it. Null levels and groups are values of
+    their own, before all others. Bucket counts are summed level by level, so no task sorts more than one leaf bucket: neither a window over the whole
     table nor one over a hot group is needed. The result depends on the rows only, so a
     recomputed task gives the same ranks. ``total`` also adds the number of rows of the
     group.
@@ -43,14 +43,21 @@ def bucketed_rank(
         if total and depth == 0:
             cols.append(F.sum("_n").over(around).alias(total))
         level = level.select(*outer, inner, *cols)
-        offsets = level if offsets is None else level.join(offsets, outer)
+        offsets = level if offsets is None else join_null_safe(level, offsets, outer)
     leaf = Window.partitionBy(*groups, *keys).orderBy(*order)
     start = reduce(lambda a, b: a + b, [F.col(f"_before{i}") for i in range(len(keys))])
-    ranked = keyed.select("*", F.row_number().over(leaf).alias("_row")).join(offsets, groups + keys)
+    ranked = join_null_safe(keyed.select("*", F.row_number().over(leaf).alias("_row")), offsets, groups + keys)
     extra = [total] if total else []
     return ranked.select(*df.columns, (start + F.col("_row")).alias(name), *extra)
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Inner join in which nulls are equal; the columns of ``on`` come once."""
+    named = right.select(*[F.col(c).alias(f"_right_{c}") if c in on else F.col(c) for c in right.columns])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in on])
+    return left.join(named, same).drop(*[f"_right_{c}" for c in on])
+
+
 def take_first(df: DataFrame, order: list[Column], levels: list[Column], leaf_order: list[Column], limit: int | None) -> DataFrame:
     """The first ``limit`` rows of ``order``; all rows when ``limit`` is ``None``.
 

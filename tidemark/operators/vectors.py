@@ -52,15 +52,16 @@ def delete_matching(table: DataFrame, content: DataFrame) -> DataFrame:
 def upsert(table: DataFrame, rows: DataFrame, mode: str = "replace") -> DataFrame:
     """The table after a write.
 
-    ``skip`` leaves items alone whose hash is stored, ``append`` always adds,
-    ``replace`` first removes all rows of the written ``content_uuid`` values.
+    ``skip`` leaves items alone whose hash is stored, ``append`` adds and takes the place of
+    points of the same id only, ``replace`` first removes all rows of the written
+    ``content_uuid`` values. In every mode a point id is there once.
     """
+    rows = rows.dropDuplicates(["point_id"])
     if mode not in MODES:
         raise ValueError(f"mode must be one of {', '.join(MODES)}")
     if mode == "skip":
         return table.unionByName(skip_known(rows, table).select(*table.columns))
-    kept = delete_matching(table, rows) if mode == "replace" else table
-    return kept.unionByName(rows.select(*table.columns))
+    return replace_points(delete_matching(table, rows) if mode == "replace" else table, rows)
 
 
 def replace_points(table: DataFrame, rows: DataFrame) -> DataFrame:
@@ -75,12 +76,15 @@ def replace_points(table: DataFrame, rows: DataFrame) -> DataFrame:
 def filter_spec(table: DataFrame, spec: dict | None) -> Column:
     """``{"must": {field: value}}`` as a predicate; lists match when they contain the value.
 
-    Several values of one field mean "any of them". Plain comparisons reach the scan.
+    Several values of one field mean "any of them", ``None`` a missing one. Plain comparisons reach the scan.
     """
     out = F.lit(True)
     for field, value in (spec or {}).get("must", {}).items():
         wanted = list(value) if isinstance(value, (list, tuple, set)) else [value]
         col = F.col(field)
+        if value is None:
+            out = out & col.isNull()
+            continue
         if isinstance(table.schema[field].dataType, T.ArrayType):
             test = F.array_contains(col, wanted[0]) if len(wanted) == 1 else F.arrays_overlap(col, F.array(*map(F.lit, wanted)))
         else:

@@ -150,13 +150,16 @@ def retire(
     done_days: int = 30,
     error_days: int = 90,
 ) -> DataFrame:
-    """Drop closed jobs past their retention and free running jobs whose lock ran out."""
+    """Drop closed jobs past their retention and free running jobs whose lock ran out.
+
+    A closed job without a time stays.
+    """
     keep_days = (
         F.when(F.col("state") == "superseded", superseded_days)
         .when(F.col("state") == "done", done_days).when(F.col("state") == "error", error_days))
     age_limit = timestamp(now) - F.make_dt_interval(days=keep_days)
     expired = (F.col("state") == "running") & (F.col("locked_until") < timestamp(now))
-    return _update(jobs.filter(keep_days.isNull() | (F.col("updated_at") >= age_limit)), JOB, {
+    return _update(jobs.filter(keep_days.isNull() | F.coalesce(F.col("updated_at") >= age_limit, F.lit(True))), JOB, {
         "state": F.when(expired, "pending").otherwise(F.col("state")),
         "locked_until": F.when(expired, F.lit(None).cast("timestamp_ntz")).otherwise(F.col("locked_until")),
         "updated_at": F.when(expired, timestamp(now)).otherwise(F.col("updated_at")),

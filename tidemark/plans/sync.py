@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import changes, chunks, embed, enrich, items, payload, vectors, worklist
-from tidemark.sources.payloads import payload_keys
+from tidemark.sources.payloads import payload_keys, table_aliases
 from tidemark.sources.schemas import JOB, SEEN
 from tidemark.sources.store import SnapshotStore, bucket_of
 from tidemark.sources.views import Sources
@@ -101,7 +101,7 @@ def next_seen(seen: DataFrame, requests: DataFrame, jobs: DataFrame, now: str) -
 
 
 def enriched(src: Sources) -> DataFrame:
-    return enrich.enriched_union(src.payloads, src.aliases)
+    return enrich.enriched_union(src.payloads, table_aliases(src.types))
 
 
 def item_rows(batch: DataFrame, src: Sources, small: bool = False) -> DataFrame:
@@ -109,7 +109,7 @@ def item_rows(batch: DataFrame, src: Sources, small: bool = False) -> DataFrame:
     ids = None
     if small:
         wanted = batch.select(F.col("source_uuid").alias("uuid"))
-        ids = src.entries.join(wanted, "uuid", "left_semi").select(F.col("id").alias("entry_id"))
+        ids = src.entries.withColumn("uuid", F.upper("uuid")).join(wanted, "uuid", "left_semi").select(F.col("id").alias("entry_id"))
     return items.upsert_items(
         batch, src.entries, src.types, enriched(src), src.access, src.names, src.tags, src.links, ids)
 
@@ -124,13 +124,19 @@ def chunk_items(rows: DataFrame) -> DataFrame:
 
 
 def outcomes_of(
-    rejects: DataFrame, missing: DataFrame, deletes: DataFrame, upserts: DataFrame, skipped: DataFrame, stored: DataFrame
+    rejects: DataFrame, missing: DataFrame, deletes: DataFrame, upserts: DataFrame, skipped: DataFrame, stored: DataFrame,
+    errors: DataFrame | None = None,
 ) -> DataFrame:
     """``(job_id, ok, message, retry)`` of every job of a batch.
 
     An upsert succeeds only when at least one of its chunks was stored, or when its hash
-    was stored before and the mode skips it. Chunks are counted before they are joined.
+    was stored before and the mode skips it. One that failed says why, by ``errors``
+    (``job_id, error``). Chunks are counted before they are joined.
     """
+    why = F.lit(NOTHING_STORED)
+    if errors is not None:
+        upserts = upserts.join(errors, "job_id", "left")
+        why = F.coalesce("error", why)
     counts = stored.groupBy("job_id").agg(F.count("*").alias("n"))
     done = F.coalesce(F.col("n"), F.lit(0)) > 0
     none = F.lit(None).cast("string")
@@ -140,7 +146,7 @@ def outcomes_of(
         deletes.select("job_id", F.lit(True).alias("ok"), none.alias("message"), F.lit(True).alias("retry")),
         skipped.select("job_id", F.lit(True).alias("ok"), none.alias("message"), F.lit(True).alias("retry")),
         upserts.join(counts, "job_id", "left").select(
-            "job_id", done.alias("ok"), F.when(~done, NOTHING_STORED).alias("message"), F.lit(True).alias("retry")),
+            "job_id", done.alias("ok"), F.when(~done, why).alias("message"), F.lit(True).alias("retry")),
     ]
     return reduce(DataFrame.unionByName, frames)
 
@@ -192,10 +198,15 @@ def worker_run(
 
     misses = embed.cache_misses(cut, store.read("cache", embed.CACHE), model)
     part = f"{store.version('cache') + 1:08d}"
-    fresh = embed.embed_texts(misses, embedder, model).withColumn("part", F.lit(part))
+    store.write("embedded", embed.embed_results(misses, embedder, model), run=run)
+    results = store.read("embedded", embed.RESULT)
+    fresh = results.filter("vector IS NOT NULL").drop("error").withColumn("part", F.lit(part))
     store.write("cache", fresh, by="part", touched=[part], run=run)
     embedded = embed.attach_vectors(cut, store.read("cache", embed.CACHE), model)
-    stored = vectors.with_point_ids(payload.build_payload(embedded))
+    # Several steps below need these rows: they are made once.
+    made = vectors.with_point_ids(payload.build_payload(embedded))
+    store.write("stored", made, run=run)
+    stored = store.read("stored", made.schema)
 
     deletes = items.delete_items(live)
     final = stored.join(lasting_upserts(live, mode), "job_id", "left_semi")
@@ -204,7 +215,7 @@ def worker_run(
     missing = items.missing_payload(live, src.entries, src.types, payload_keys(src.payloads))
     upserts = live.filter("job_type = 'upsert'").select("job_id").join(missing.select("job_id"), "job_id", "left_anti")
     upserts = upserts.join(skipped, "job_id", "left_anti")
-    store.write("outcomes", outcomes_of(worklist.rejected(batch), missing, deletes, upserts, skipped, stored), run=run)
+    store.write("outcomes", outcomes_of(worklist.rejected(batch), missing, deletes, upserts, skipped, stored, embed.item_errors(cut, results, model)), run=run)
     settled = store.read("outcomes", OUTCOME)
 
     running = worklist.drop_stale(store.read("jobs", JOB), flagged.filter("is_stale"), now)
@@ -232,9 +243,11 @@ def store_points(
 ) -> None:
     """Write points into the buckets they and the deletes touch; other buckets stay as they are.
 
-    The write is rebalanced: a bucket with a hot entry is split over many tasks, small
-    buckets share one.
+    The number of buckets is the table's own; ``buckets`` counts for a new table only. The
+    write is rebalanced: a bucket with a hot entry is split over many tasks, small buckets
+    share one.
     """
+    buckets = (store.pointer("vectors") or {}).get("buckets") or buckets
     bucket = bucket_of(F.col("content_uuid"), buckets)
     touched = rows.select("content_uuid").unionByName(deletes.select("content_uuid")).select(
         bucket.alias("bucket")).distinct()
@@ -248,4 +261,4 @@ def store_points(
     out = vectors.upsert(
         vectors.delete_matching(table, deletes), rows.select(*columns), "append" if mode == "skip" else mode)
     out = out.withColumn("bucket", bucket).hint("rebalance", F.col("bucket"))
-    store.write("vectors", out.sortWithinPartitions("bucket", "content_uuid", "chunk_index"), by="bucket", touched=names, run=run)
+    store.write("vectors", out.sortWithinPartitions("bucket", "content_uuid", "chunk_index"), by="bucket", touched=names, run=run, buckets=buckets)

@@ -96,11 +96,13 @@ class SnapshotStore:
         by: str | None = None,
         touched: list[str] | None = None,
         run: str | None = None,
+        buckets: int | None = None,
     ) -> int:
         """Write the next snapshot and swap the pointer.
 
         ``touched`` names the partitions that ``rows`` replaces; ``None`` replaces all.
         ``run`` names the caller's step: writing the same step again changes nothing.
+        ``buckets`` is remembered with the table if its partitions are numbered buckets.
         """
         current = self.pointer(table) or {"version": 0, "paths": {}, "by": by, "runs": []}
         if run is not None and run in current["runs"]:
@@ -119,7 +121,7 @@ class SnapshotStore:
         runs = [*current["runs"], run][-REMEMBERED_RUNS:] if run else current["runs"]
         self._write_json(
             f"{self.root}/{table}/current.json",
-            {"version": version, "paths": paths, "by": by, "runs": runs},
+            {"version": version, "paths": paths, "by": by, "runs": runs, "buckets": buckets or current.get("buckets")},
         )
         return version
 

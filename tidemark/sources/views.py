@@ -98,7 +98,7 @@ SELECTS = {
 
 @dataclass(frozen=True)
 class Sources:
-    """The tables a run reads; ``aliases`` maps payload tables to type aliases."""
+    """The tables a run reads; ``types`` maps payload tables to type aliases."""
 
     entries: DataFrame
     types: DataFrame
@@ -107,7 +107,6 @@ class Sources:
     names: DataFrame
     tags: DataFrame
     links: DataFrame
-    aliases: dict[str, str]
 
 
 class Records:
@@ -255,8 +254,7 @@ class Records:
     @property
     def sources(self) -> Sources:
         return Sources(
-            self.sysentry, self.systype, self.payloads, self.access, self.names, self.tags, self.links,
-            {alias: alias for _, alias in TYPES})
+            self.sysentry, self.systype, self.payloads, self.access, self.names, self.tags, self.links)
 
     @cached_property
     def seen(self) -> DataFrame:
