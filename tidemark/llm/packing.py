@@ -13,12 +13,15 @@ input are ignored.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.arrow import chunks, documents, row_ids
-from tidemark.llm.bpe import coder
+from tidemark.llm.bpe import read_ranks
 
 ROW_TOKENS = 2048
 # Tokens that a task gathers before it packs them: bounds its memory, not the input.
@@ -32,6 +35,11 @@ FIELDS = pa.schema([
     ("doc_offsets", pa.list_(pa.int32()))])
 
 
+@lru_cache(maxsize=2)
+def encoder(path: str, pattern: str) -> tiktoken.Encoding:
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=read_ranks(path), special_tokens={})
+
+
 class Capacities:
     """How many open rows have each remaining capacity, as a segment tree over 1..size."""
 
@@ -90,17 +98,17 @@ def pack(docs: DataFrame, path: str, pattern: str, length: int = ROW_TOKENS, pad
     """
 
     def task(batches):
-        bpe, numbers, rows = coder(path, pattern), row_ids(), row_ids()
+        bpe, numbers, rows = encoder(path, pattern), row_ids(), row_ids()
         pieces: list[tuple] = []
         held = 0
 
         def out():
-            made = []
-            for members in best_fit([len(p[3]) // 4 for p in pieces], length):
-                sizes = [len(pieces[i][3]) // 4 for i in members]
+            made, count = [], np.arange(length, dtype="<u4")
+            for members in best_fit([len(p[3]) for p in pieces], length):
+                sizes = [len(pieces[i][3]) for i in members]
                 used = sum(sizes)
-                ids = b"".join(pieces[i][3] for i in members) + np.full(length - used, pad, "<u4").tobytes()
-                positions = np.concatenate([*(np.arange(n, dtype="<u4") for n in sizes), np.zeros(length - used, "<u4")])
+                ids = np.concatenate([*(pieces[i][3] for i in members), np.full(length - used, pad, "<u4")]).tobytes()
+                positions = np.concatenate([*(count[:n] for n in sizes), np.zeros(length - used, "<u4")])
                 made.append((next(numbers), used, ids, np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32),
                              positions.tobytes(), [pieces[i][0] for i in members], [pieces[i][1] for i in members],
                              [pieces[i][2] for i in members]))
@@ -112,10 +120,10 @@ def pack(docs: DataFrame, path: str, pattern: str, length: int = ROW_TOKENS, pad
 
         for ids, texts in chunks(batches):
             for doc_id, text in zip(ids, texts):
-                coded, row = bpe.encode(text or ""), next(rows)
-                for at in range(0, len(coded), 4 * length):
-                    pieces.append((doc_id, row, at // 4, coded[at:at + 4 * length]))
-                held += len(coded) // 4
+                coded, row = np.array(bpe.encode_ordinary(text or ""), "<u4"), next(rows)
+                for at in range(0, len(coded), length):
+                    pieces.append((doc_id, row, at, coded[at:at + length]))
+                held += len(coded)
                 if held >= BLOCK_TOKENS:
                     yield from out()
                     pieces, held = [], 0
