@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import re
+import struct
 from functools import lru_cache
 
 import numpy as np
@@ -23,8 +24,9 @@ from tokenizers import Tokenizer, models
 
 from tidemark.llm.arrow import per_document
 
-# Distinct pre-tokens and words that a worker remembers before it starts anew; changes no result.
-REMEMBERED = 150_000
+# Distinct words, and pre-tokens, that a worker has newly met before it forgets those that it
+# has not met since the last time; changes no result.
+REMEMBERED = 250_000
 # White space before a space: there the pre-tokens depend on more than one word.
 SPACES = re.compile(r"\s ")
 
@@ -64,18 +66,26 @@ class Coder:
         ]
         self.model = Tokenizer(models.BPE({t: ranks[b] for b, t in text.items()}, merges))
         self.widths = np.array([len(t) for t in self.token_bytes], np.int64)
-        self.known: dict[str, bytes] = {}
-        self.spaced: dict[str, bytes] = {}
+        self.space = chars[0x20]
+        self.known, self.known_before = {}, {}
+        self.spaced, self.spaced_before = {}, {}
+
+    @staticmethod
+    def write(*ids: int) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode_piece(self, token: str) -> bytes:
         """The ids of one pre-token as little-endian unsigned 32-bit integers."""
-        shown = token.encode().decode("latin-1").translate(self.shown)
-        return np.array(self.model.encode(shown, add_special_tokens=False).ids, "<u4").tobytes()
+        if token.isascii() and token.isprintable():
+            shown = token.replace(" ", self.space)  # all other characters show themselves
+        else:
+            shown = token.encode().decode("latin-1").translate(self.shown)
+        return self.write(*self.model.encode(shown, None, False, False).ids)
 
     def piece(self, token: str) -> bytes:
-        ids = self.encode_piece(token)
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
+        ids = self.known_before.get(token) or self.encode_piece(token)
+        if len(self.known) >= REMEMBERED // 2:
+            self.known, self.known_before = {}, self.known
         self.known[token] = ids
         return ids
 
@@ -84,9 +94,9 @@ class Coder:
         return b"".join([known.get(t) or piece(t) for t in self.pattern.findall(text)])
 
     def spaced_word(self, word: str) -> bytes:
-        ids = self.pieces(" " + word)
+        ids = self.spaced_before.get(word) or self.pieces(" " + word)
         if len(self.spaced) >= REMEMBERED:
-            self.spaced.clear()
+            self.spaced, self.spaced_before = {}, self.spaced
         self.spaced[word] = ids
         return ids
 
