@@ -81,3 +81,17 @@ def test_tree_finds_all_that_the_bound_allows():
         want = (5 * n >= 4 * n[q]) & (5 * n[q] >= 4 * n) & (shared >= jaccard.least_shared(n, n[q])) & (label != label[q])
         found = tree.near(counts[q], int(n[q]), int(label[q]))
         assert set(found[label[found] != label[q]]) == set(np.flatnonzero(want))
+
+
+def test_vectors_of_different_length_bound_what_is_shared():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 64, 9000, dtype=np.uint64)
+    sets = [np.unique(rng.choice(base, k)) for k in (100, 600, 700, 1000, 1100, 4000, 8000)] + [np.arange(2000, dtype=np.uint64)] * 2
+    import pyarrow as pa
+
+    counts = pa.array([jaccard.count_vector(s).tobytes() for s in sets], pa.binary())
+    n = np.array([len(s) for s in sets])
+    a, b = np.triu_indices(len(sets), 1)
+    most = jaccard.bounds(counts, n, a, b)
+    assert all(m >= len(np.intersect1d(sets[i], sets[j])) for m, i, j in zip(most, a, b))
+    assert most[-1] == 2000  # one group holds all of both, more than its byte can

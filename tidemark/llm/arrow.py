@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -88,12 +89,15 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write once to the shared folder and read back: lineage ends here."""
     path, spark, schema = work_dir(df.sparkSession, purpose), df.sparkSession, df.schema
     df.write.parquet(path)
-    del df
-    free_shuffles(spark)
     return spark.read.schema(schema).parquet(path)
 
 
 def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of plans that nobody holds any more."""
+    """Let Spark delete the shuffle files of plans that nobody holds any more.
+
+    It does so when the driver collects its garbage. The listeners of the last query get a
+    moment to let go of its plan.
+    """
     gc.collect()
+    time.sleep(1)
     spark.sparkContext._jvm.System.gc()

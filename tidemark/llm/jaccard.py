@@ -7,10 +7,11 @@ finds the pairs that may be similar enough, and their sets decide.
 
 Neighbourhoods come from prefixes: under any one order of all shingles, two sets that are
 similar enough share one of their first ``n - ceil(0.8 n) + 1``. The order puts shingles
-first that are not known to be frequent. Equal sets are one node. A first round links each
-node of a neighbourhood to one of its nodes, a different one in each; where that joins the
-whole neighbourhood nothing is left to search. The others are searched by tree, in pairs of
-blocks where they are large, for pairs between the components so far. So a crowd of near
+first that are not known to be frequent. Equal sets are one node. First each node is held
+against one node of each of its neighbourhoods, a different one in each: the most likely
+one, then the others that are not in its component yet. Where that joins a whole
+neighbourhood nothing is left to search. The rest is searched by tree, in pairs of blocks
+where neighbourhoods are large, for pairs between the components so far. So a crowd of near
 copies costs about its number of shingles, and no link between components is lost.
 
 Documents without words are linked with nothing. A null id is larger than all others: a
@@ -24,6 +25,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +37,10 @@ from tidemark.session import work_dir
 
 # Similarity as a fraction: 100 * shared >= 80 * union.
 PART, WHOLE = 4, 5
-GROUP_BITS = 7
+# Fewest and most bits of a group number; between them a set has about four shingles a group.
+LEAST_BITS, MOST_BITS = 7, 13
+# Sets that a task remembers to have sent the text of.
+NODES_SEEN = 500_000
 # Frequent shingles that are sent to every task, and how many documents of a chunk hold one.
 FREQUENT, OFTEN = 1 << 17, 4
 # Nodes of one block of a neighbourhood; points of one leaf.
@@ -59,21 +64,28 @@ def node_of(found: np.ndarray) -> int:
 
 
 def sets_of(docs: DataFrame) -> DataFrame:
-    """``doc_id, n, node`` per row, and rows of ``hash, times`` with the shingles that are frequent in a chunk."""
-    names = ["doc_id", "n", "node", "hash", "times"]
+    """``doc_id, n, node, text`` per row, and rows of ``hash, times`` with the shingles that are frequent in a chunk.
+
+    The text is there once per set and task.
+    """
+    names = ["doc_id", "n", "node", "text", "hash", "times"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
 
     def task(batches):
+        seen: set[int] = set()
         for ids, texts in chunks(batches):
             sets = shingle_sets(texts)
-            own = [ids, [len(s) for s in sets], [node_of(s) if len(s) else None for s in sets]]
+            nodes = [node_of(s) if len(s) else None for s in sets]
+            fresh = [t if x is not None and not (x in seen or seen.add(x)) else None for x, t in zip(nodes, texts)]
+            if len(seen) > NODES_SEEN:
+                seen.clear()
             h, times = np.unique(np.concatenate(sets), return_counts=True)
             h, times = h[times >= OFTEN].astype(np.int64), times[times >= OFTEN]
             blank, none = [None] * len(h), [None] * len(ids)
-            yield pa.RecordBatch.from_arrays([
-                *(pa.array([*c, *blank], pa.int64()) for c in own),
-                pa.array([*none, *h.tolist()], pa.int64()), pa.array([*none, *times.tolist()], pa.int64())], names=names)
+            columns = [*([*c, *blank] for c in (ids, [len(s) for s in sets], nodes, fresh)), [*none, *h.tolist()], [*none, *times.tolist()]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
-    return documents(docs).mapInArrow(task, ", ".join(f"{n} long" for n in names))
+    return documents(docs).mapInArrow(task, "doc_id long, n long, node long, text string, hash long, times long")
 
 
 def frequent(found: DataFrame, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
@@ -101,22 +113,9 @@ def prefix(found: np.ndarray, common: np.ndarray, times: np.ndarray) -> np.ndarr
     return found[np.lexsort((found, weight))[:size]]
 
 
-def distinct_texts(docs: DataFrame) -> DataFrame:
+def distinct_texts(counted: DataFrame) -> DataFrame:
     """``node, text``: one text per set, written once in buckets of the node."""
-    n = partitions(docs)
-
-    def work(ids, texts):
-        nodes = [node_of(s) if len(s) else None for s in shingle_sets(texts)]
-        seen: set = set()
-        fresh = [i for i, x in enumerate(nodes) if x is not None and not (x in seen or seen.add(x))]
-        return [nodes[i] for i in fresh], [texts[i] for i in fresh]
-
-    name = f"sets_{uuid.uuid4().hex}"
-    rows = per_document(docs, work, "node long, text string").dropDuplicates(["node"])
-    rows.write.bucketBy(n, "node").option("path", work_dir(docs.sparkSession, "sets")).saveAsTable(name)
-    del rows
-    free_shuffles(docs.sparkSession)
-    return docs.sparkSession.table(name)
+    return in_buckets(counted.filter("text IS NOT NULL").select("node", "text").dropDuplicates(["node"]), "sets")
 
 
 def neighbourhoods(texts: DataFrame, common: np.ndarray, times: np.ndarray) -> DataFrame:
@@ -151,27 +150,66 @@ def neighbourhoods(texts: DataFrame, common: np.ndarray, times: np.ndarray) -> D
         lead, "sign long, node long, lead long")
 
 
+def in_buckets(rows: DataFrame, purpose: str) -> DataFrame:
+    """Write rows made from a bucketed table: a task holds one bucket, so nothing is shuffled."""
+    spark, name = rows.sparkSession, f"{purpose}_{uuid.uuid4().hex}"
+    rows.write.bucketBy(partitions(rows), "node").option("path", work_dir(spark, purpose)).saveAsTable(name)
+    del rows
+    free_shuffles(spark)
+    return spark.table(name)
+
+
 def points(texts: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node, n, counts, shingles`` of the nodes named, in buckets of the node."""
+    """``node, n, counts`` of the nodes named."""
 
     def work(ids, found):
         sets = shingle_sets(found)
-        return ids, [len(s) for s in sets], [count_vector(s).tobytes() for s in sets], [s.tobytes() for s in sets]
+        return ids, [len(s) for s in sets], [count_vector(s).tobytes() for s in sets]
 
-    n = partitions(texts)
-    rows = per_document(texts.join(nodes, "node", "left_semi").select(F.col("node").alias("doc_id"), "text"), work,
-                        "node long, n long, counts binary, shingles binary")
-    name = f"points_{uuid.uuid4().hex}"
-    rows.repartition(n, "node").write.bucketBy(n, "node").option("path", work_dir(texts.sparkSession, "points")).saveAsTable(name)
-    del rows
-    free_shuffles(texts.sparkSession)
-    return texts.sparkSession.table(name)
+    named = texts.join(nodes, "node", "left_semi").select(F.col("node").alias("doc_id"), "text")
+    return in_buckets(per_document(named, work, "node long, n long, counts binary"), "points")
+
+
+def sets_for(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``node, shingles`` of the nodes of the pairs."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    named = texts.join(nodes, "node", "left_semi").select(F.col("node").alias("doc_id"), "text")
+    return in_buckets(per_document(
+        named, lambda ids, found: (ids, [s.tobytes() for s in shingle_sets(found)]), "node long, shingles binary"), "shingles")
 
 
 def count_vector(found: np.ndarray) -> np.ndarray:
-    """Shingles per group; the rest above what 16 bits hold is made up for in ``shared_bound``."""
-    counts = np.bincount((found >> np.uint64(64 - GROUP_BITS)).astype(np.int64), minlength=1 << GROUP_BITS)
-    return np.minimum(counts, 65_535).astype(np.uint16)
+    """Shingles per group. What a byte cannot hold is made up for in ``shared_bound``.
+
+    A larger set has more groups. A group of fewer bits is some neighbouring ones of more,
+    so vectors of two lengths can be compared at the shorter one.
+    """
+    bits = min(MOST_BITS, max(LEAST_BITS, (len(found) // 4).bit_length()))
+    counts = np.bincount((found >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(counts, 255).astype(np.uint8)
+
+
+def folded(counts: np.ndarray, groups: int) -> np.ndarray:
+    """Rows of counts with fewer, wider groups."""
+    if counts.shape[1] == groups:
+        return counts.astype(np.uint16)
+    return counts.reshape(len(counts), groups, -1).sum(axis=2, dtype=np.uint16)
+
+
+def bounds(counts: pa.Array, n: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For pairs of places: the most shingles that they can share."""
+    groups = pc.binary_length(counts).to_numpy(zero_copy_only=False).astype(np.int64)
+    out = np.zeros(len(a), np.int64)
+    both = groups[a] * (1 << 20) + groups[b]
+    for kind in np.unique(both):
+        at = np.flatnonzero(both == kind)
+        low = int(min(kind >> 20, kind & ((1 << 20) - 1)))
+        for part in np.array_split(at, len(at) * low // 4_000_000 + 1):
+            rows = [folded(np.frombuffer(b"".join(counts.take(pa.array(side[part])).to_pylist()), np.uint8).reshape(len(part), -1), low)
+                    for side in (a, b)]
+            slack = [n[side[part]] - r.sum(axis=1, dtype=np.int64) for side, r in zip((a, b), rows)]
+            out[part] = np.minimum(*rows).sum(axis=1, dtype=np.int64) + np.minimum(*slack)
+    return out
 
 
 class Tree:
@@ -207,23 +245,18 @@ class Tree:
             open_ = open_[fit]
             if not len(open_):
                 break
-            shared = shared_bound(upper[open_], slack[open_], counts, spare)
+            shared = np.minimum(upper[open_], counts).sum(axis=1, dtype=np.int64) + np.minimum(slack[open_], spare)
             open_ = open_[shared >= least_shared(n, low[open_])]
         return self.order[open_]
 
 
-def shared_bound(many: np.ndarray, slack: np.ndarray, one: np.ndarray, spare: int) -> np.ndarray:
-    return np.minimum(many, one).sum(axis=1, dtype=np.int64) + np.minimum(slack, spare)
-
-
 def led_pairs(members: DataFrame) -> DataFrame:
     """``a, b``: each node with the leads of its neighbourhoods."""
-    return members.filter("node <> lead").select(
-        F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
+    return members.filter("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct()
 
 
 def bounded(pairs: DataFrame, at: DataFrame) -> DataFrame:
-    """The pairs whose count vectors allow enough shared shingles."""
+    """The pairs whose count vectors allow enough shared shingles, and how ``near`` they can be at most."""
     left = pairs.join(at.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("counts").alias("c_a")), "a")
     both = left.join(at.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("counts").alias("c_b")), "b") \
         .filter(f"{WHOLE} * n_a >= {PART} * n_b AND {WHOLE} * n_b >= {PART} * n_a").select("a", "b", "n_a", "n_b", "c_a", "c_b")
@@ -233,18 +266,18 @@ def bounded(pairs: DataFrame, at: DataFrame) -> DataFrame:
             if not batch.num_rows:
                 continue
             n_a, n_b = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
-            c_a, c_b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(batch.num_rows, -1) for i in (4, 5))
-            rest_a, rest_b = n_a - c_a.sum(axis=1, dtype=np.int64), n_b - c_b.sum(axis=1, dtype=np.int64)
-            shared = np.minimum(c_a, c_b).sum(axis=1, dtype=np.int64) + np.minimum(rest_a, rest_b)
-            kept = pa.array(np.flatnonzero(shared >= least_shared(n_a, n_b)))
-            yield pa.RecordBatch.from_arrays([batch.column(i).take(kept) for i in (0, 1)], names=["a", "b"])
+            size, first = batch.num_rows, np.arange(batch.num_rows)
+            shared = bounds(pa.concat_arrays([batch.column(4), batch.column(5)]), np.concatenate([n_a, n_b]), first, first + size)
+            kept = np.flatnonzero(shared >= least_shared(n_a, n_b))
+            near = pa.array(shared[kept] / (n_a + n_b)[kept])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i).take(pa.array(kept)) for i in (0, 1)), near], names=["a", "b", "near"])
 
-    return both.mapInArrow(task, "a long, b long")
+    return both.mapInArrow(task, "a long, b long, near double")
 
 
 def verified(pairs: DataFrame, at: DataFrame) -> DataFrame:
-    """The pairs whose sets are similar enough."""
-    left = pairs.join(at.select(F.col("node").alias("a"), F.col("shingles").alias("s_a")), "a")
+    """The pairs whose sets are similar enough; ``at`` holds ``node, shingles``."""
+    left = pairs.select("a", "b").join(at.select(F.col("node").alias("a"), F.col("shingles").alias("s_a")), "a")
     both = left.join(at.select(F.col("node").alias("b"), F.col("shingles").alias("s_b")), "b").select("a", "b", "s_a", "s_b")
 
     def task(batches):
@@ -262,6 +295,13 @@ def verified(pairs: DataFrame, at: DataFrame) -> DataFrame:
     return both.mapInArrow(task, "a long, b long")
 
 
+def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose nodes are not in one component."""
+    left = pairs.join(roots.select(F.col("node").alias("a"), F.col("root").alias("r_a")), "a", "left")
+    both = left.join(roots.select(F.col("node").alias("b"), F.col("root").alias("r_b")), "b", "left")
+    return both.filter(F.coalesce("r_a", "a") != F.coalesce("r_b", "b")).select("a", "b")
+
+
 def searched(members: DataFrame, roots: DataFrame, at: DataFrame, block: int = BLOCK) -> DataFrame:
     """``a, b``: pairs between components that meet in a neighbourhood and that the tree lets through."""
     placed = stored(
@@ -272,61 +312,89 @@ def searched(members: DataFrame, roots: DataFrame, at: DataFrame, block: int = B
     rows = placed.join(split, "sign").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn(
         "with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.join(at.select("node", "n", "counts"), "node").select(
-        F.xxhash64("sign", F.least("block", "with"), F.greatest("block", "with")).alias("key"), "sign",
+        F.xxhash64("sign", F.least("block", "with"), F.greatest("block", "with")).alias("key"),
         F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "node", "root", "n", "counts")
 
     def task(batches):
         sent: set[tuple[int, int]] = set()
         for columns in whole_groups(batches):
-            key, sign, i, j, own, node, root, n = (columns[k].to_numpy(zero_copy_only=False) for k in range(8))
-            counts = np.frombuffer(b"".join(columns[8].to_pylist()), np.uint16).reshape(len(key), -1)
+            key, i, j, own, node, root, n = (columns[k].to_numpy(zero_copy_only=False) for k in range(7))
             cuts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]), [True]]))
-            out: list[tuple[int, int]] = []
-            for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            size = np.diff(cuts)
+            # Neighbourhoods of two are one comparison each: all of them at once.
+            a = cuts[:-1][size == 2]
+            a = a[(root[a] != root[a + 1]) & ((i[a] == j[a]) | (own[a] != own[a + 1]))
+                  & (WHOLE * n[a] >= PART * n[a + 1]) & (WHOLE * n[a + 1] >= PART * n[a])]
+            a = a[bounds(columns[7], n, a, a + 1) >= least_shared(n[a], n[a + 1])]
+            found = list(zip(node[a].tolist(), node[a + 1].tolist()))
+            for low, high in zip(cuts[:-1][size > 2].tolist(), cuts[1:][size > 2].tolist()):
                 part = slice(low, high)
-                for a, b in pairs_within(node[part], root[part], n[part], counts[part], own[part], bool(i[low] == j[low])):
-                    pair = (a, b) if a < b else (b, a)
-                    if pair not in sent:
-                        sent.add(pair)
-                        out.append(pair)
-                if len(sent) > 500_000:
-                    sent.clear()
+                found += pairs_within(node[part], root[part], n[part], columns[7].slice(low, high - low), own[part], bool(i[low] == j[low]))
+            out = []
+            for a, b in found:
+                pair = (a, b) if a < b else (b, a)
+                if pair not in sent:
+                    sent.add(pair)
+                    out.append(pair)
+            if len(sent) > 500_000:
+                sent.clear()
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
 
     return rows.repartition(partitions(at), "key").sortWithinPartitions("key").mapInArrow(task, "a long, b long").distinct()
 
 
-def pairs_within(node, root, n, counts, own, same: bool):
+def pairs_within(node, root, n, counts: pa.Array, own, same: bool):
     """Pairs of different components; the largest component is looked up, not looked from.
 
     With ``same`` unset the rows are two blocks, and pairs of one block belong elsewhere.
+    One tree per length of vector: linked sets have the same length or the next one.
     """
-    names, sizes = np.unique(root, return_counts=True)
+    names, label = np.unique(root, return_inverse=True)
     if len(names) < 2:
         return
-    label = np.searchsorted(names, root)
-    ask = np.flatnonzero(label != sizes.argmax())
-    tree = Tree(counts, n, label)
-    for q in ask.tolist():
-        for p in tree.near(counts[q], int(n[q]), int(label[q])).tolist():
-            if label[p] != label[q] and (same or own[p] != own[q]) and (label[p] == sizes.argmax() or p < q or own[p] != own[q]):
-                yield int(node[q]), int(node[p])
+    largest = int(np.bincount(label).argmax())
+    groups = pc.binary_length(counts).to_numpy(zero_copy_only=False).astype(np.int64)
+    raw = counts.to_pylist()
+    places = {int(g): np.flatnonzero(groups == g) for g in np.unique(groups)}
+    matrices = {g: np.frombuffer(b"".join(raw[p] for p in at.tolist()), np.uint8).reshape(len(at), -1) for g, at in places.items()}
+    trees: dict[tuple[int, int], Tree] = {}
+    for mine, at in places.items():
+        ask = np.flatnonzero(label[at] != largest)
+        for other in {mine // 2, mine, mine * 2} & places.keys() if len(ask) else ():
+            low, there = min(mine, other), places[other]
+            if (other, low) not in trees:
+                trees[other, low] = Tree(folded(matrices[other], low), n[there], label[there])
+            vectors = folded(matrices[mine][ask], low)
+            for q, vector in zip(at[ask].tolist(), vectors):
+                for p in there[trees[other, low].near(vector, int(n[q]), int(label[q]))].tolist():
+                    if label[p] != label[q] and (same or own[p] != own[q]):
+                        yield int(node[q]), int(node[p])
 
 
 def classes(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row."""
-    found = stored(sets_of(docs), "shingle-sets")
-    rows = found.filter("hash is null").select("doc_id", "n", "node")
-    texts = distinct_texts(docs)
-    members = stored(neighbourhoods(texts, *frequent(found)), "members")
+    counted = stored(sets_of(docs), "shingle-sets")
+    rows = counted.filter("hash is null").select("doc_id", "n", "node")
+    texts = distinct_texts(counted)
+    members = stored(neighbourhoods(texts, *frequent(counted)), "members")
+    free_shuffles(docs.sparkSession)
     at = points(texts, members.select("node").distinct())
-    links = stored(verified(bounded(led_pairs(members), at), at), "links")
+    led = stored(bounded(led_pairs(members), at), "led")
+    free_shuffles(docs.sparkSession)
+    sets = sets_for(texts, led)
+    first = stored(led.groupBy("a").agg(F.max_by("b", F.struct("near", "b")).alias("b")), "first")
+    links = stored(verified(first, sets), "links")
+    roots = stored(components(links), "roots")
+    others = led.join(first, ["a", "b"], "left_anti")
+    links = links.unionByName(stored(verified(apart(others, roots), sets), "links"))
+    roots = stored(components(links), "roots")
+    # Pairs that were held against each other before need not be again.
+    tried = led.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    found = stored(searched(members, roots, at, block).join(tried, ["a", "b"], "left_anti"), "found")
+    free_shuffles(docs.sparkSession)
+    links = links.unionByName(stored(verified(found, sets_for(texts, found)), "links"))
     roots = stored(components(links), "roots")
-    more = stored(verified(searched(members, roots, at, block), at), "links")
-    # What the second round links are components of the first one.
-    joined = links.unionByName(more)
-    roots = stored(components(joined), "roots")
     named = rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).join(roots, "node", "left") \
         .select("node", "least", F.coalesce("root", "node").alias("root"))
     named = stored(named, "nodes")

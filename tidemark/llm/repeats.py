@@ -10,8 +10,8 @@ skipped. So no suffix is moved for a text that nothing repeats.
 
 A byte goes if a window over it also starts in a document with a smaller id, judged on the
 input. Windows end with their document. A null or empty text has no bytes. A null id counts
-as larger than all others. Rows with equal ids do not erase each other; rows equal in id and
-text are one document, with a result for each row. An empty table gives an empty result.
+as larger than all others. Rows with equal ids do not erase each other; equal texts are
+searched once, with a result for each row. An empty table gives an empty result.
 Other columns are ignored.
 """
 
@@ -69,19 +69,25 @@ def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``key, doc_id, text``, written once in buckets of the key: later steps move no text.
+def named(docs: DataFrame) -> DataFrame:
+    """``key, check, doc_id, text``: two hashes name a text. A null id is the largest one."""
+    return documents(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select(
+        F.xxhash64("text").alias("key"), F.xxhash64(F.lit("check"), "text").alias("check"),
+        F.coalesce("doc_id", F.lit(LATE)).alias("doc_id"), "text")
 
-    A null id is the largest one. Documents whose keys collide only share candidates.
+
+def distinct_texts(docs: DataFrame) -> DataFrame:
+    """``key, check, doc_id, text``: every text once, with its smallest id, in buckets of the key.
+
+    Written once, so that later steps move no text. Texts whose keys collide only share
+    candidates.
     """
-    n = partitions(docs)
-    rows = documents(docs).select(
-        F.xxhash64("doc_id", "text").alias("key"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    name = f"texts_{uuid.uuid4().hex}"
-    (rows.repartition(n, "key").write.bucketBy(n, "key").option("path", work_dir(docs.sparkSession, "texts"))
-     .saveAsTable(name))
-    free_shuffles(docs.sparkSession)
-    return docs.sparkSession.table(name)
+    spark, name = docs.sparkSession, f"texts_{uuid.uuid4().hex}"
+    rows = named(docs).groupBy("key", "check").agg(F.min("doc_id").alias("doc_id"), F.first("text").alias("text"))
+    rows.write.bucketBy(partitions(docs), "key").option("path", work_dir(spark, "texts")).saveAsTable(name)
+    del rows
+    free_shuffles(spark)
+    return spark.table(name)
 
 
 def shared_anchors(texts: DataFrame, match: int = MATCH, gram: int = GRAM) -> DataFrame:
@@ -170,38 +176,36 @@ def _entries(keys: np.ndarray, found: list[tuple], n: int) -> Iterator[pa.Record
 def segments(texts: DataFrame, codes: DataFrame, match: int = MATCH, gram: int = GRAM, every: bool = False) -> DataFrame:
     """``hash, doc_id, key, start, bytes`` of the segments of shared anchors.
 
-    A segment that its task has seen in a smaller document is settled: all of it goes. It
-    comes without bytes, ``hash`` is then its end. ``every`` sends all segments on.
+    A segment that its task has seen in a smaller document is settled: all of it goes. The
+    settled runs of a document come in one row with a negative start, as packed codes.
+    ``every`` sends all segments on.
     """
     names = ["hash", "doc_id", "key", "start", "bytes"]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
     def cut(batches):
-        seen: dict[tuple[int, bytes], int] = {}
+        seen: dict[bytes, int] = {}
         for batch in batches:
             rows: list[tuple] = []
             for key, doc_id, raw, found in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                doc_id = LATE if doc_id is None else doc_id
-                code = np.array(found, np.int64)
-                first, more = code >> CODE_BITS, code & ((1 << CODE_BITS) - 1)
-                # Collided keys may bring windows of another text; what does not fit is not there.
-                fits = first + more + match <= len(raw)
-                for a, m in sorted(zip(first[fits].tolist(), more[fits].tolist())):
-                    part = raw[a:a + m + match]
-                    if every:
-                        rows.append((_key(part, m, match, gram), doc_id, key, a, part))
-                        continue
-                    best = seen.get(part)
-                    if best is None or doc_id < best:
+                h, _, first, last = anchors(np.frombuffer(raw, np.uint8), match, gram)
+                # Collided keys may bring windows of another text; what is no anchor here is left out.
+                kept = np.isin((first << CODE_BITS) | (last - first), np.array(found, np.int64))
+                settled: list[tuple[int, int]] = []
+                for hash_, a, end in zip(h[kept].astype(np.int64).tolist(), first[kept].tolist(), (last[kept] + match).tolist()):
+                    part = raw[a:end]
+                    if not every:
+                        best = seen.get(part, LATE + 1)
+                        if doc_id > best:
+                            settled.append((a, end))
+                            continue
                         seen[part] = doc_id
-                        rows.append((_key(part, m, match, gram), doc_id, key, a, part))
-                    elif doc_id > best:
-                        rows.append((a + m + match, doc_id, key, a, None))
-                    else:
-                        rows.append((_key(part, m, match, gram), doc_id, key, a, part))
+                    rows.append((hash_, doc_id, key, a, part))
+                if settled:
+                    rows.append((key, doc_id, key, -1, np.array([(a << 32) | (b - a) for a, b in runs(settled)], np.int64).tobytes()))
                 if len(seen) > REMEMBERED:
                     seen.clear()
-                if len(rows) > 50_000:
+                if len(rows) > 20_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
                     rows = []
             if rows:
@@ -211,12 +215,15 @@ def segments(texts: DataFrame, codes: DataFrame, match: int = MATCH, gram: int =
     return joined.mapInArrow(cut, "hash long, doc_id long, key long, start long, bytes binary")
 
 
-def _key(part: bytes, more: int, match: int, gram: int) -> int:
-    """A hash of the anchor: it lies where the first and the last window of the segment overlap."""
-    data = np.frombuffer(part, np.uint8)
-    h = gram_hashes(data[more:match], gram)
-    best = int(np.argmin(h >> np.uint64(32)))
-    return int(h[best].astype(np.int64))
+def runs(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted spans, those that touch or overlap as one."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = out[-1][0], max(b, out[-1][1])
+        else:
+            out.append((a, b))
+    return out
 
 
 class SuffixArray:
@@ -315,10 +322,11 @@ def repeated(found: DataFrame, match: int = MATCH) -> DataFrame:
 
     def task(batches):
         for rows in whole_groups(batches):
-            settled = rows[4].is_null().to_numpy(zero_copy_only=False)
             h, doc, key, start = (rows[i].to_numpy(zero_copy_only=False) for i in range(4))
+            settled = start < 0
             if settled.any():
-                yield _codes(key[settled], (start[settled] << 32) | (h[settled] - start[settled]))
+                packed = [np.frombuffer(x, np.int64) for x in rows[4].filter(pa.array(settled)).to_pylist()]
+                yield _codes(np.repeat(key[settled], [len(x) for x in packed]), np.concatenate(packed))
             live = np.flatnonzero(~settled)
             if len(live) < 2:
                 continue
@@ -346,9 +354,7 @@ def repeated(found: DataFrame, match: int = MATCH) -> DataFrame:
                 row = owners[np.repeat(left, right - left) + np.arange(len(each)) - np.repeat(np.cumsum(right - left) - (right - left), right - left)]
                 yield _codes(key[live][row], ((start[live][row] + a[each]) << 32) | (b - a)[each])
 
-    # Settled rows only pass through: they are dealt out by their document.
-    by = F.when(F.col("bytes").isNull(), F.col("key")).otherwise(F.col("hash"))
-    return found.repartition(partitions(found), by).sortWithinPartitions("hash").mapInArrow(task, "key long, code long")
+    return found.repartition(partitions(found), "hash").sortWithinPartitions("hash").mapInArrow(task, "key long, code long")
 
 
 def whole_groups(batches, most: int = SORTED) -> Iterator[list]:
@@ -372,41 +378,55 @@ def whole_groups(batches, most: int = SORTED) -> Iterator[list]:
 
 def remove_repeats(docs: DataFrame, match: int = MATCH, gram: int = GRAM) -> DataFrame:
     """``doc_id, text_bytes, kept, n_removed, n_spans``: the bytes of every document and what stays of them."""
-    texts = keyed(docs)
+    texts = distinct_texts(docs)
     codes = stored(shared_anchors(texts, match, gram), "anchors")
-    found = stored(segments(texts, codes, match, gram), "segments")
-    spans = stored(repeated(found, match).groupBy("key").agg(F.collect_list("code").alias("codes")), "repeats")
-    joined = texts.join(spans, "key", "left").select("doc_id", F.encode("text", "utf-8").alias("raw"), "codes")
+    free_shuffles(docs.sparkSession)
+    spans = stored(repeated(segments(texts, codes, match, gram), match).groupBy("key").agg(F.collect_list("code").alias("codes")), "repeats")
+    free_shuffles(docs.sparkSession)
+
+    size = F.octet_length("text")
+    rows = named(docs).select("key", "check", "doc_id", size.alias("size"), F.when(size < match, F.col("text")).alias("short"))
+    rows = stored(rows.join(texts.select("key", "check", F.col("doc_id").alias("least")), ["key", "check"]), "rows")
+    first = rows.filter("doc_id = least").select("key", "check", "doc_id")
+    joined = texts.drop("doc_id").join(first, ["key", "check"]).join(spans, "key", "left").select(
+        "doc_id", F.encode("text", "utf-8").alias("raw"), "codes")
 
     def task(batches):
         names = ["doc_id", "text_bytes", "kept", "n_removed", "n_spans"]
         kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
         for batch in batches:
-            rows = [(doc_id, len(raw), *without(raw, codes)) for doc_id, raw, codes in zip(*(batch.column(i).to_pylist() for i in range(3)))]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+            out = [(doc_id, len(raw), *without(raw, codes)) for doc_id, raw, codes in zip(*(batch.column(i).to_pylist() for i in range(3)))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
-    return joined.mapInArrow(task, "doc_id long, text_bytes long, kept binary, n_removed long, n_spans long")
+    done = joined.mapInArrow(task, "doc_id long, text_bytes long, kept binary, n_removed long, n_spans long")
+    # A copy of a smaller document goes whole, unless it is too short for any window.
+    long = F.col("size") >= match
+    copies = rows.filter("doc_id > least").select(
+        "doc_id", F.col("size").cast("long").alias("text_bytes"), F.when(long, F.unhex(F.lit(""))).otherwise(F.encode("short", "utf-8")).alias("kept"),
+        F.when(long, F.col("size")).otherwise(0).cast("long").alias("n_removed"), long.cast("long").alias("n_spans"))
+    return done.unionByName(copies).withColumn("doc_id", F.nullif("doc_id", F.lit(LATE)))
 
 
 def without(raw: bytes, codes: list[int] | None) -> tuple[bytes, int, int]:
     """The bytes outside all spans, the number of bytes inside, and of their maximal runs."""
     if not codes:
         return raw, 0, 0
-    out, at, runs, end = [], 0, 0, -1
-    for a, b in sorted((c >> 32, (c >> 32) + (c & 0xFFFFFFFF)) for c in codes):
-        if a > end:
-            runs += 1
-            out.append(raw[at:a])
-        end = max(end, b)
-        at = end
+    gone = runs([(c >> 32, (c >> 32) + (c & 0xFFFFFFFF)) for c in codes])
+    out, at = [], 0
+    for a, b in gone:
+        out.append(raw[at:a])
+        at = b
     out.append(raw[at:])
     kept = b"".join(out)
-    return kept, len(raw) - len(kept), runs
+    return kept, len(raw) - len(kept), len(gone)
 
 
 def repeat_groups(docs: DataFrame, match: int = MATCH, gram: int = GRAM) -> DataFrame:
-    """``bytes, doc_ids, starts``: maximal repeats within the windows of one anchor, with all occurrences."""
-    texts = keyed(docs)
+    """``bytes, doc_ids, starts``: maximal repeats within the windows of one anchor, with all occurrences.
+
+    Equal texts are one document here, that of the smallest id.
+    """
+    texts = distinct_texts(docs)
     found = segments(texts, stored(shared_anchors(texts, match, gram), "anchors"), match, gram, every=True)
 
     def task(batches):
