@@ -257,3 +257,23 @@ def test_unset_filter_and_unset_times(spark):
     job = spark.createDataFrame([(1, "done")], "job_id bigint, state string")
     job = job.select("*", *(F.lit(None).cast(t.split()[1]).alias(t.split()[0]) for t in schemas.JOB.split(", ") if t.split()[0] not in job.columns))
     assert worklist.retire(job, "2024-01-01 00:00:00").count() == 1
+
+
+def test_cleanup_frees_the_jobs_of_a_crashed_worker(spark, store):
+    src = sources(spark, [(2, 2, 1, 10), (4, 2, 1, 10)])
+    sync.enqueue_run(store, src, "2024-02-01 00:00:00")
+    jobs = store.read("jobs", schemas.JOB)
+    store.write("jobs", worklist.claim_batch(jobs, "2024-02-01 01:00:00", 1), by="state")
+    assert work(store, src, "2024-02-01 02:00:00")["num_items_done"] == 1  # the other one is locked for good
+    assert sync.cleanup_run(store, "2024-02-01 03:00:00") == {"skipped": False, "jobs": 0, "seen": 0, "freed": 1}
+    assert sync.cleanup_run(store, "2024-02-01 04:00:00")["skipped"]
+    assert work(store, src, "2024-02-01 05:00:00")["num_items_done"] == 1
+    assert sync.cleanup_run(store, "2024-04-01 05:00:00") == {"skipped": False, "jobs": 2, "seen": 0, "freed": 0}
+
+
+def test_exhausted_jobs_go_on_request(spark):
+    rows = [(1, "error", 5), (2, "error", 1), (3, "running", 5)]
+    jobs = spark.createDataFrame(rows, "job_id bigint, state string, attempts int")
+    jobs = jobs.select("*", *(F.lit(None).cast(t.split()[1]).alias(t.split()[0]) for t in schemas.JOB.split(", ") if t.split()[0] not in jobs.columns))
+    kept = worklist.retire(jobs, "2024-01-01 00:00:00", drop_exhausted=True).collect()
+    assert sorted(r.job_id for r in kept) == [2, 3]

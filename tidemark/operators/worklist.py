@@ -149,11 +149,15 @@ def retire(
     superseded_days: int = 7,
     done_days: int = 30,
     error_days: int = 90,
+    drop_exhausted: bool = False,
 ) -> DataFrame:
     """Drop closed jobs past their retention and free running jobs whose lock ran out.
 
-    A closed job without a time stays.
+    A closed job without a time stays. ``drop_exhausted`` also drops failed jobs that have
+    used up their attempts, whatever their age.
     """
+    if drop_exhausted:
+        jobs = jobs.filter(~((F.col("state") == "error") & (F.col("attempts") >= MAX_ATTEMPTS)))
     keep_days = (
         F.when(F.col("state") == "superseded", superseded_days)
         .when(F.col("state") == "done", done_days).when(F.col("state") == "error", error_days))

@@ -24,6 +24,9 @@ from tidemark.sources.views import Sources
 REQUEST = "source_uuid string, source_version string, collection_key string, job_type string, changed timestamp_ntz"
 OUTCOME = "job_id bigint, ok boolean, message string, retry boolean"
 
+# A day between two cleanups.
+CLEANUP_SECONDS = 86_400
+
 # Messages of items that ended without a stored chunk.
 NOTHING_STORED = "No chunk was stored"
 
@@ -225,6 +228,30 @@ def worker_run(
     return run_summary(settled, cut, stored).first().asDict()
 
 
+# -- clean up
+
+
+def cleanup_run(
+    store: SnapshotStore, now: str, min_seconds: int = CLEANUP_SECONDS, drop_exhausted: bool = False, deleted_days: int = 180
+) -> dict:
+    """Retire old jobs and entries and free the jobs of crashed workers, once a day.
+
+    Returns the numbers of jobs and seen entries that went, and of jobs set free.
+    """
+    cursor = store.cursor()
+    if not changes.should_run(cursor["last_cleanup_at"], now, min_seconds):
+        return {"skipped": True, "jobs": 0, "seen": 0, "freed": 0}
+    run = f"cleanup {cursor['last_cleanup_at']} {now}"
+    jobs, seen = store.read("jobs", JOB), store.read("seen", SEEN)
+    before = {"jobs": jobs.count(), "seen": seen.count(), "freed": jobs.filter("state = 'running'").count()}
+    store.write("jobs", worklist.retire(jobs, now, drop_exhausted=drop_exhausted), by="state", run=run)
+    store.write("seen", worklist.retire_seen(seen, now, deleted_days), run=run)
+    kept = store.read("jobs", JOB)
+    after = {"jobs": kept.count(), "seen": store.read("seen", SEEN).count(), "freed": kept.filter("state = 'running'").count()}
+    store.save_cursor(last_cleanup_at=now)
+    return {"skipped": False, **{k: before[k] - after[k] for k in before}}
+
+
 def lasting_upserts(jobs: DataFrame, mode: str) -> DataFrame:
     """Upsert jobs whose rows are there after the whole batch, as ``job_id``.
 

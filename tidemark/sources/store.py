@@ -142,6 +142,7 @@ class SnapshotStore:
             "last_changed": (saved.get("last_changed") or "").strip() or EPOCH,
             "last_uuid": saved.get("last_uuid") or "",
             "last_run_at": (saved.get("last_run_at") or "").strip() or EPOCH,
+            "last_cleanup_at": (saved.get("last_cleanup_at") or "").strip() or EPOCH,
         }
 
     def save_cursor(self, **values: str | None) -> None:
