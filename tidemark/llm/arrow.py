@@ -85,13 +85,19 @@ def row_ids() -> Iterator[int]:
         at += 1
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, path: str | None = None) -> DataFrame:
     """Write once to the shared folder and read back: lineage ends here."""
-    path, spark, schema = work_dir(df.sparkSession, purpose), df.sparkSession, df.schema
+    path, spark, schema = path or work_dir(df.sparkSession, purpose), df.sparkSession, df.schema
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
+def forget(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``stored`` wrote and that no later step reads."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of plans that nobody holds any more.
 

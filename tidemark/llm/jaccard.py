@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrow import chunks, documents, free_shuffles, per_document, stored
+from tidemark.llm.arrow import chunks, documents, forget, free_shuffles, per_document, stored
 from tidemark.llm.graph import components
 from tidemark.llm.repeats import partitions, whole_groups
 from tidemark.llm.shingles import mixed, shingle_sets
@@ -37,8 +37,10 @@ from tidemark.session import work_dir
 
 # Similarity as a fraction: 100 * shared >= 80 * union.
 PART, WHOLE = 4, 5
-# Fewest and most bits of a group number; between them a set has about four shingles a group.
-LEAST_BITS, MOST_BITS = 7, 13
+# Fewest and most bits of a group number; between them a set has about two shingles a group.
+LEAST_BITS, MOST_BITS = 7, 14
+# A count takes four bits.
+MOST_COUNT = 15
 # Sets that a task remembers to have sent the text of.
 NODES_SEEN = 500_000
 # Frequent shingles that are sent to every task, and how many documents of a chunk hold one.
@@ -179,14 +181,23 @@ def sets_for(texts: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def count_vector(found: np.ndarray) -> np.ndarray:
-    """Shingles per group. What a byte cannot hold is made up for in ``shared_bound``.
+    """Shingles per group, two groups a byte. What four bits cannot hold is made up for by the size.
 
     A larger set has more groups. A group of fewer bits is some neighbouring ones of more,
     so vectors of two lengths can be compared at the shorter one.
     """
-    bits = min(MOST_BITS, max(LEAST_BITS, (len(found) // 4).bit_length()))
+    bits = min(MOST_BITS, max(LEAST_BITS, (len(found) // 2).bit_length()))
     counts = np.bincount((found >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
-    return np.minimum(counts, 255).astype(np.uint8)
+    counts = np.minimum(counts, MOST_COUNT).astype(np.uint8)
+    return (counts[::2] << 4) | counts[1::2]
+
+
+def unpacked(raw: bytes, rows: int) -> np.ndarray:
+    """Packed vectors of one length as a matrix of counts."""
+    packed = np.frombuffer(raw, np.uint8).reshape(rows, -1)
+    out = np.empty((rows, 2 * packed.shape[1]), np.uint8)
+    out[:, ::2], out[:, 1::2] = packed >> 4, packed & 15
+    return out
 
 
 def folded(counts: np.ndarray, groups: int) -> np.ndarray:
@@ -198,14 +209,14 @@ def folded(counts: np.ndarray, groups: int) -> np.ndarray:
 
 def bounds(counts: pa.Array, n: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """For pairs of places: the most shingles that they can share."""
-    groups = pc.binary_length(counts).to_numpy(zero_copy_only=False).astype(np.int64)
+    groups = 2 * pc.binary_length(counts).to_numpy(zero_copy_only=False).astype(np.int64)
     out = np.zeros(len(a), np.int64)
     both = groups[a] * (1 << 20) + groups[b]
     for kind in np.unique(both):
         at = np.flatnonzero(both == kind)
         low = int(min(kind >> 20, kind & ((1 << 20) - 1)))
         for part in np.array_split(at, len(at) * low // 4_000_000 + 1):
-            rows = [folded(np.frombuffer(b"".join(counts.take(pa.array(side[part])).to_pylist()), np.uint8).reshape(len(part), -1), low)
+            rows = [folded(unpacked(b"".join(counts.take(pa.array(side[part])).to_pylist()), len(part)), low)
                     for side in (a, b)]
             slack = [n[side[part]] - r.sum(axis=1, dtype=np.int64) for side, r in zip((a, b), rows)]
             out[part] = np.minimum(*rows).sum(axis=1, dtype=np.int64) + np.minimum(*slack)
@@ -307,29 +318,30 @@ def searched(members: DataFrame, roots: DataFrame, at: DataFrame, block: int = B
     placed = stored(
         members.select("sign", "node").join(roots, "node", "left").select("sign", "node", F.coalesce("root", "node").alias("root")), "placed")
     split = placed.groupBy("sign").agg(
-        F.min("root").alias("least"), F.max("root").alias("most"), F.ceil(F.count("*") / block).cast("int").alias("blocks")) \
-        .filter("least <> most").select("sign", "blocks")
+        F.min("root").alias("least"), F.max("root").alias("most"), F.min("node").alias("first"),
+        F.ceil(F.count("*") / block).cast("int").alias("blocks")).filter("least <> most").select("sign", "first", "blocks")
     rows = placed.join(split, "sign").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn(
         "with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.join(at.select("node", "n", "counts"), "node").select(
         F.xxhash64("sign", F.least("block", "with"), F.greatest("block", "with")).alias("key"),
+        F.xxhash64("first", F.least("block", "with"), F.greatest("block", "with")).alias("task"),
         F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "node", "root", "n", "counts")
 
     def task(batches):
         sent: set[tuple[int, int]] = set()
         for columns in whole_groups(batches):
-            key, i, j, own, node, root, n = (columns[k].to_numpy(zero_copy_only=False) for k in range(7))
+            key, _, i, j, own, node, root, n = (columns[k].to_numpy(zero_copy_only=False) for k in range(8))
             cuts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]), [True]]))
             size = np.diff(cuts)
             # Neighbourhoods of two are one comparison each: all of them at once.
             a = cuts[:-1][size == 2]
             a = a[(root[a] != root[a + 1]) & ((i[a] == j[a]) | (own[a] != own[a + 1]))
                   & (WHOLE * n[a] >= PART * n[a + 1]) & (WHOLE * n[a + 1] >= PART * n[a])]
-            a = a[bounds(columns[7], n, a, a + 1) >= least_shared(n[a], n[a + 1])]
+            a = a[bounds(columns[8], n, a, a + 1) >= least_shared(n[a], n[a + 1])]
             found = list(zip(node[a].tolist(), node[a + 1].tolist()))
             for low, high in zip(cuts[:-1][size > 2].tolist(), cuts[1:][size > 2].tolist()):
                 part = slice(low, high)
-                found += pairs_within(node[part], root[part], n[part], columns[7].slice(low, high - low), own[part], bool(i[low] == j[low]))
+                found += pairs_within(node[part], root[part], n[part], columns[8].slice(low, high - low), own[part], bool(i[low] == j[low]))
             out = []
             for a, b in found:
                 pair = (a, b) if a < b else (b, a)
@@ -341,7 +353,8 @@ def searched(members: DataFrame, roots: DataFrame, at: DataFrame, block: int = B
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
 
-    return rows.repartition(partitions(at), "key").sortWithinPartitions("key").mapInArrow(task, "a long, b long").distinct()
+    # Neighbourhoods with the same first node share many pairs: one task sends each of them once.
+    return rows.repartition(partitions(at), "task").sortWithinPartitions("key").mapInArrow(task, "a long, b long").distinct()
 
 
 def pairs_within(node, root, n, counts: pa.Array, own, same: bool):
@@ -354,10 +367,10 @@ def pairs_within(node, root, n, counts: pa.Array, own, same: bool):
     if len(names) < 2:
         return
     largest = int(np.bincount(label).argmax())
-    groups = pc.binary_length(counts).to_numpy(zero_copy_only=False).astype(np.int64)
+    groups = 2 * pc.binary_length(counts).to_numpy(zero_copy_only=False).astype(np.int64)
     raw = counts.to_pylist()
     places = {int(g): np.flatnonzero(groups == g) for g in np.unique(groups)}
-    matrices = {g: np.frombuffer(b"".join(raw[p] for p in at.tolist()), np.uint8).reshape(len(at), -1) for g, at in places.items()}
+    matrices = {g: unpacked(b"".join(raw[p] for p in at.tolist()), len(at)) for g, at in places.items()}
     trees: dict[tuple[int, int], Tree] = {}
     for mine, at in places.items():
         ask = np.flatnonzero(label[at] != largest)
@@ -374,14 +387,18 @@ def pairs_within(node, root, n, counts: pa.Array, own, same: bool):
 
 def classes(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row."""
-    counted = stored(sets_of(docs), "shingle-sets")
-    rows = counted.filter("hash is null").select("doc_id", "n", "node")
+    spark = docs.sparkSession
+    made = work_dir(spark, "shingle-sets")
+    counted = stored(sets_of(docs), "shingle-sets", made)
+    rows = stored(counted.filter("hash is null").select("doc_id", "n", "node"), "rows")
+    common = frequent(counted)
     texts = distinct_texts(counted)
-    members = stored(neighbourhoods(texts, *frequent(counted)), "members")
-    free_shuffles(docs.sparkSession)
+    forget(spark, made)
+    members = stored(neighbourhoods(texts, *common), "members")
+    free_shuffles(spark)
     at = points(texts, members.select("node").distinct())
     led = stored(bounded(led_pairs(members), at), "led")
-    free_shuffles(docs.sparkSession)
+    free_shuffles(spark)
     sets = sets_for(texts, led)
     first = stored(led.groupBy("a").agg(F.max_by("b", F.struct("near", "b")).alias("b")), "first")
     links = stored(verified(first, sets), "links")
@@ -392,7 +409,7 @@ def classes(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     # Pairs that were held against each other before need not be again.
     tried = led.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     found = stored(searched(members, roots, at, block).join(tried, ["a", "b"], "left_anti"), "found")
-    free_shuffles(docs.sparkSession)
+    free_shuffles(spark)
     links = links.unionByName(stored(verified(found, sets_for(texts, found)), "links"))
     roots = stored(components(links), "roots")
     named = rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).join(roots, "node", "left") \
