@@ -387,9 +387,10 @@ def remove_repeats(docs: DataFrame, match: int = MATCH, gram: int = GRAM) -> Dat
     size = F.octet_length("text")
     rows = named(docs).select("key", "check", "doc_id", size.alias("size"), F.when(size < match, F.col("text")).alias("short"))
     rows = stored(rows.join(texts.select("key", "check", F.col("doc_id").alias("least")), ["key", "check"]), "rows")
-    first = rows.filter("doc_id = least").select("key", "check", "doc_id")
-    joined = texts.drop("doc_id").join(first, ["key", "check"]).join(spans, "key", "left").select(
-        "doc_id", F.encode("text", "utf-8").alias("raw"), "codes")
+    first = rows.filter("doc_id = least").select("key", F.col("check").alias("own_check"), F.col("doc_id").alias("own_id"))
+    # By the key alone, which the texts are laid out by; the check is compared after.
+    joined = texts.join(first, "key").filter(F.col("check") == F.col("own_check")).join(spans, "key", "left").select(
+        F.col("own_id").alias("doc_id"), F.encode("text", "utf-8").alias("raw"), "codes")
 
     def task(batches):
         names = ["doc_id", "text_bytes", "kept", "n_removed", "n_spans"]
