@@ -29,6 +29,8 @@ MODES = ("skip", "append", "replace")
 
 # A batch of query vectors travels with every task, so its size is bounded.
 QUERY_BYTES = 64 * 1024 * 1024
+# Groups of tasks whose best rows of a query are merged before the last step.
+MERGE_GROUPS = 64
 
 
 def with_point_ids(rows: DataFrame) -> DataFrame:
@@ -217,8 +219,12 @@ def search(
     id_type = table.schema[id_col].dataType.simpleString()
     wanted = table.filter(filter_spec(table, spec)).select(id_col, "vector")
     local = wanted.mapInArrow(best, f"query_id string, {id_col} {id_type}, score double")
-    per_query = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col(id_col))
-    return local.withColumn("rank", F.row_number().over(per_query)).filter(F.col("rank") <= limit)
+    # Tasks meet in groups first: the last merge of a query reads few rows however many tasks there were.
+    some = local.withColumn("group", F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)))
+    for keys in (["query_id", "group"], ["query_id"]):
+        best_first = Window.partitionBy(*keys).orderBy(F.col("score").desc(), F.col(id_col))
+        some = some.withColumn("rank", F.row_number().over(best_first)).filter(F.col("rank") <= limit)
+    return some.drop("group")
 
 
 def payload_columns() -> list[str]:
