@@ -17,6 +17,8 @@ from tidemark.session import work_dir
 # Rows of one Arrow batch, and text of one chunk inside a task: they bound a worker's memory.
 BATCH_ROWS = 2_000
 CHUNK_BYTES = 2_000_000
+# What the listeners of a query get to let go of its plan.
+SETTLE_SECONDS = 0.5
 
 
 def documents(df: DataFrame) -> DataFrame:
@@ -102,8 +104,9 @@ def free_shuffles(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of plans that nobody holds any more.
 
     It does so when the driver collects its garbage. The listeners of the last query get a
-    moment to let go of its plan.
+    moment to let go of its plan; what the first pass lets go of may hold more.
     """
-    gc.collect()
-    time.sleep(1)
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        time.sleep(SETTLE_SECONDS)
+        spark.sparkContext._jvm.System.gc()

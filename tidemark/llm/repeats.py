@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -174,14 +175,14 @@ def _entries(keys: np.ndarray, found: list[tuple], n: int) -> Iterator[pa.Record
 
 
 def segments(texts: DataFrame, codes: DataFrame, match: int = MATCH, gram: int = GRAM, every: bool = False) -> DataFrame:
-    """``hash, doc_id, key, start, bytes`` of the segments of shared anchors.
+    """``hash, doc_id, key, starts, bytes`` of the segments of shared anchors, once per document.
 
     A segment that its task has seen in a smaller document is settled: all of it goes. The
-    settled runs of a document come in one row with a negative start, as packed codes.
-    ``every`` sends all segments on.
+    settled runs of a document come in one row without bytes, as packed codes. ``every``
+    sends all segments on.
     """
-    names = ["hash", "doc_id", "key", "start", "bytes"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    names = ["hash", "doc_id", "key", "starts", "bytes"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
 
     def cut(batches):
         seen: dict[bytes, int] = {}
@@ -192,17 +193,21 @@ def segments(texts: DataFrame, codes: DataFrame, match: int = MATCH, gram: int =
                 # Collided keys may bring windows of another text; what is no anchor here is left out.
                 kept = np.isin((first << CODE_BITS) | (last - first), np.array(found, np.int64))
                 settled: list[tuple[int, int]] = []
+                own: dict[bytes, list[int]] = {}  # a segment may stand many times in one text
                 for hash_, a, end in zip(h[kept].astype(np.int64).tolist(), first[kept].tolist(), (last[kept] + match).tolist()):
                     part = raw[a:end]
+                    if part in own:
+                        own[part].append(a)
+                    elif not every and doc_id > seen.get(part, LATE):
+                        settled.append((a, end))
+                    else:
+                        own[part] = [hash_, a]
+                for part, (hash_, *starts) in own.items():
                     if not every:
-                        best = seen.get(part, LATE + 1)
-                        if doc_id > best:
-                            settled.append((a, end))
-                            continue
                         seen[part] = doc_id
-                    rows.append((hash_, doc_id, key, a, part))
+                    rows.append((hash_, doc_id, key, np.array(starts, np.int64).tobytes(), part))
                 if settled:
-                    rows.append((key, doc_id, key, -1, np.array([(a << 32) | (b - a) for a, b in runs(settled)], np.int64).tobytes()))
+                    rows.append((key, doc_id, key, np.array([(a << 32) | (b - a) for a, b in runs(settled)], np.int64).tobytes(), b""))
                 if len(seen) > REMEMBERED:
                     seen.clear()
                 if len(rows) > 20_000:
@@ -212,7 +217,7 @@ def segments(texts: DataFrame, codes: DataFrame, match: int = MATCH, gram: int =
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
     joined = texts.join(codes, "key").select("key", "doc_id", F.encode("text", "utf-8").alias("raw"), "codes")
-    return joined.mapInArrow(cut, "hash long, doc_id long, key long, start long, bytes binary")
+    return joined.mapInArrow(cut, "hash long, doc_id long, key long, starts binary, bytes binary")
 
 
 def runs(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -322,11 +327,21 @@ def repeated(found: DataFrame, match: int = MATCH) -> DataFrame:
 
     def task(batches):
         for rows in whole_groups(batches):
-            h, doc, key, start = (rows[i].to_numpy(zero_copy_only=False) for i in range(4))
-            settled = start < 0
+            h, doc, key = (rows[i].to_numpy(zero_copy_only=False) for i in range(3))
+            times_ = pc.binary_length(rows[3]).to_numpy(zero_copy_only=False) // 8
+            starts = np.frombuffer(b"".join(rows[3].to_pylist()), np.int64)
+            begin = np.cumsum(times_) - times_
+            settled = pc.binary_length(rows[4]).to_numpy(zero_copy_only=False) == 0
+
+            def codes(which: np.ndarray, low, size) -> pa.RecordBatch:
+                """A run for each place of the rows named: where it begins in the segment, and its size."""
+                each = np.repeat(np.arange(len(which)), times_[which])
+                at = starts[np.repeat(begin[which], times_[which]) + np.arange(len(each)) - np.repeat(
+                    np.cumsum(times_[which]) - times_[which], times_[which])]
+                return _codes(key[which][each], ((at + low[each]) << 32) | size[each] if low is not None else at)
+
             if settled.any():
-                packed = [np.frombuffer(x, np.int64) for x in rows[4].filter(pa.array(settled)).to_pylist()]
-                yield _codes(np.repeat(key[settled], [len(x) for x in packed]), np.concatenate(packed))
+                yield codes(np.flatnonzero(settled), None, None)
             live = np.flatnonzero(~settled)
             if len(live) < 2:
                 continue
@@ -338,7 +353,7 @@ def repeated(found: DataFrame, match: int = MATCH) -> DataFrame:
             np.minimum.at(least, part, doc[live])
             late = doc[live] > least[part]
             size = np.array([len(p) for p in parts])
-            yield _codes(key[live][late], (start[live][late] << 32) | size[late])
+            yield codes(live[late], np.zeros(int(late.sum()), np.int64), size[late])
             group = np.array([k for k, _ in index], np.int64)
             _, inverse, times = np.unique(group, return_inverse=True, return_counts=True)
             multi = np.flatnonzero(times[inverse] > 1)
@@ -352,7 +367,7 @@ def repeated(found: DataFrame, match: int = MATCH) -> DataFrame:
                 left, right = (np.searchsorted(part[owners], p, side) for side in ("left", "right"))
                 each = np.repeat(np.arange(len(p)), right - left)
                 row = owners[np.repeat(left, right - left) + np.arange(len(each)) - np.repeat(np.cumsum(right - left) - (right - left), right - left)]
-                yield _codes(key[live][row], ((start[live][row] + a[each]) << 32) | (b - a)[each])
+                yield codes(live[row], a[each], (b - a)[each])
 
     return found.repartition(partitions(found), "hash").sortWithinPartitions("hash").mapInArrow(task, "key long, code long")
 
@@ -432,12 +447,13 @@ def repeat_groups(docs: DataFrame, match: int = MATCH, gram: int = GRAM) -> Data
 
     def task(batches):
         for rows in whole_groups(batches):
-            h, doc, _, start = (rows[i].to_numpy(zero_copy_only=False) for i in range(4))
+            h, doc = (rows[i].to_numpy(zero_copy_only=False) for i in range(2))
+            start = [np.frombuffer(x, np.int64) for x in rows[3].to_pylist()]
             parts = rows[4].to_pylist()
             array = SuffixArray(parts, np.unique(h, return_inverse=True)[1], match)
             out = []
             for length, low, high in zip(*array.intervals(match)):
-                at = sorted((int(doc[p]), int(start[p] + o)) for p, o in zip(array.part[low:high], array.offset[low:high]))
+                at = sorted((int(doc[p]), int(s + o)) for p, o in zip(array.part[low:high], array.offset[low:high]) for s in start[p])
                 first, o = array.part[low], array.offset[low]
                 out.append((parts[first][o:o + length], [None if d == LATE else d for d, _ in at], [s for _, s in at]))
             if out:
