@@ -238,17 +238,17 @@ def cleanup_run(
 
     Returns the numbers of jobs and seen entries that went, and of jobs set free.
     """
-    cursor = store.cursor()
-    if not changes.should_run(cursor["last_cleanup_at"], now, min_seconds):
+    last = store.last_cleanup()
+    if not changes.should_run(last, now, min_seconds):
         return {"skipped": True, "jobs": 0, "seen": 0, "freed": 0}
-    run = f"cleanup {cursor['last_cleanup_at']} {now}"
+    run = f"cleanup {last} {now}"
     jobs, seen = store.read("jobs", JOB), store.read("seen", SEEN)
     before = {"jobs": jobs.count(), "seen": seen.count(), "freed": jobs.filter("state = 'running'").count()}
     store.write("jobs", worklist.retire(jobs, now, drop_exhausted=drop_exhausted), by="state", run=run)
     store.write("seen", worklist.retire_seen(seen, now, deleted_days), run=run)
     kept = store.read("jobs", JOB)
     after = {"jobs": kept.count(), "seen": store.read("seen", SEEN).count(), "freed": kept.filter("state = 'running'").count()}
-    store.save_cursor(last_cleanup_at=now)
+    store.save_cleanup(now)
     return {"skipped": False, **{k: before[k] - after[k] for k in before}}
 
 

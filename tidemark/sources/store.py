@@ -142,7 +142,6 @@ class SnapshotStore:
             "last_changed": (saved.get("last_changed") or "").strip() or EPOCH,
             "last_uuid": saved.get("last_uuid") or "",
             "last_run_at": (saved.get("last_run_at") or "").strip() or EPOCH,
-            "last_cleanup_at": (saved.get("last_cleanup_at") or "").strip() or EPOCH,
         }
 
     def save_cursor(self, **values: str | None) -> None:
@@ -150,6 +149,12 @@ class SnapshotStore:
         kept = {k: v for k, v in values.items() if v is not None and str(v).strip()}
         self._write_json(f"{self.root}/cursor.json", {**self.cursor(), **kept})
 
+    def last_cleanup(self) -> str:
+        return (self._read_json(f"{self.root}/cleanup.json") or {}).get("last_run_at") or EPOCH
+
+    def save_cleanup(self, now: str) -> None:
+        self._write_json(f"{self.root}/cleanup.json", {"last_run_at": now})
+
 
 def _by_base(paths: dict[str, str]) -> dict[str, list[str]]:
     """Group partition folders under the version folder that holds them."""
