@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from tidemark.session import work_dir
 
 # Rows of one Arrow batch, and text of one chunk inside a task: they bound a worker's memory.
-BATCH_ROWS = 2_000
-CHUNK_BYTES = 2_000_000
+BATCH_ROWS = 1_000
+CHUNK_BYTES = 1_000_000
 # What the listeners of a query get to let go of its plan.
 SETTLE_SECONDS = 0.5
 

@@ -26,7 +26,7 @@ from tidemark.llm.arrow import per_document
 
 # Distinct words, and pre-tokens, that a worker has newly met before it forgets those that it
 # has not met since the last time; changes no result.
-REMEMBERED = 250_000
+REMEMBERED = 100_000
 # White space before a space: there the pre-tokens depend on more than one word.
 SPACES = re.compile(r"\s ")
 

@@ -42,7 +42,9 @@ LEAST_BITS, MOST_BITS = 7, 14
 # A count takes four bits.
 MOST_COUNT = 15
 # Sets that a task remembers to have sent the text of.
-NODES_SEEN = 500_000
+NODES_SEEN = 100_000
+# Text among which a task counts the documents of a shingle.
+COUNTED_BYTES = 2_000_000
 # Frequent shingles that are sent to every task, and how many documents of a chunk hold one.
 FREQUENT, OFTEN = 1 << 17, 4
 # Nodes of one block of a neighbourhood; points of one leaf.
@@ -75,7 +77,7 @@ def sets_of(docs: DataFrame) -> DataFrame:
 
     def task(batches):
         seen: set[int] = set()
-        for ids, texts in chunks(batches):
+        for ids, texts in chunks(batches, COUNTED_BYTES):
             sets = shingle_sets(texts)
             nodes = [node_of(s) if len(s) else None for s in sets]
             fresh = [t if x is not None and not (x in seen or seen.add(x)) else None for x, t in zip(nodes, texts)]
@@ -348,7 +350,7 @@ def searched(members: DataFrame, roots: DataFrame, at: DataFrame, block: int = B
                 if pair not in sent:
                     sent.add(pair)
                     out.append(pair)
-            if len(sent) > 500_000:
+            if len(sent) > 200_000:
                 sent.clear()
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
