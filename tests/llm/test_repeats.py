@@ -72,3 +72,48 @@ def test_intervals_are_maximal():
     seen = {text[array.part[a]][array.offset[a]:array.offset[a] + n] for n, a, b in zip(*array.intervals(2))}
     # "bc" is preceded by "a" wherever it stands.
     assert seen == {b"abcabc", b"abc"}
+
+
+def whole_repeats(items, match):
+    """Every maximal repeat and its occurrences: all substrings, by brute force."""
+    docs = [(d, (t or "").encode()) for d, t in items]
+    at = {}
+    for row, (_, b) in enumerate(docs):
+        for i in range(len(b) - match + 1):
+            for j in range(i + match, len(b) + 1):
+                at.setdefault(b[i:j], []).append((row, i))
+    out = []
+    for part, places in at.items():
+        before = {docs[r][1][i - 1] if i else ("start", r) for r, i in places}
+        after = {docs[r][1][i + len(part)] if i + len(part) < len(docs[r][1]) else ("end", r) for r, i in places}
+        if len(places) > 1 and len(before) > 1 and len(after) > 1:
+            out.append((part, sorted(((docs[r][0], i) for r, i in places), key=str)))
+    return sorted(out)
+
+
+def group_rows(df):
+    return sorted((bytes(r.bytes), sorted(zip(r.doc_ids, r.starts), key=str)) for r in df.collect())
+
+
+def test_groups_are_whole_maximal_repeats(spark):
+    rng = random.Random(21)
+    passage = "".join(rng.choice("abcdefgh") for _ in range(150))  # longer than the windows of one anchor
+    items = [(i, "xyzu"[i] * 5 + passage + "klmn"[i] * 5) for i in range(4)]
+    items += [(4, "v" + passage[:90] + "w"), (5, "r" + passage[40:] + "s")]  # held longer by some of the others
+    alone = "".join(rng.choice("opqrst") for _ in range(40))
+    items += [(6, alone + "-" + alone + "+")]  # twice in one text only
+    items += [(7, "only copies hold this text"), (8, "only copies hold this text"), (None, "only copies hold this text"), (8, "only copies hold this text")]
+    items += [(9, "1" + passage + "2"), (9, "1" + passage + "2"), (10, passage[:60]), (10, passage[:60]), (11, "short"), (11, "short"), (12, None), (13, "é" * 20)]
+    df = spark.createDataFrame(items, "doc_id long, text string").repartition(3)
+    found = group_rows(repeats.repeat_groups(df, 12, 5))
+    assert found == whole_repeats(items, 12)
+    assert passage.encode() in [part for part, _ in found]
+
+
+def test_random_groups_equal_brute_force(spark):
+    rng = random.Random(22)
+    items = [(i, "".join(rng.choice("ab") for _ in range(rng.randrange(70)))) for i in range(25)]
+    items += [(40 + i, rng.choice(items)[1] + rng.choice(items)[1][:20]) for i in range(10)] + [(90, items[3][1]), (None, items[5][1])]
+    df = spark.createDataFrame(items, "doc_id long, text string").repartition(3)
+    assert group_rows(repeats.repeat_groups(df, 8, 4)) == whole_repeats(items, 8)
+    assert group_rows(repeats.repeat_groups(empty(spark))) == []

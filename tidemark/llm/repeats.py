@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrow import documents, free_shuffles, stored
+from tidemark.llm.arrow import documents, free_shuffles, row_ids, stored
 from tidemark.llm.shingles import gram_hashes
 from tidemark.session import work_dir
 
@@ -91,11 +91,12 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
     return spark.table(name)
 
 
-def shared_anchors(texts: DataFrame, match: int = MATCH, gram: int = GRAM) -> DataFrame:
+def shared_anchors(texts: DataFrame, match: int = MATCH, gram: int = GRAM, within: bool = False) -> DataFrame:
     """``key, codes``: per document the windows of anchors that other documents hold too.
 
     A code is the first window, then the number of windows beyond it. A chunk sends the
     documents that first hold a hash; what its other documents add is known to be shared.
+    ``within`` keeps anchors that stand twice in one document, too.
     """
     n = partitions(texts)
 
@@ -110,7 +111,7 @@ def shared_anchors(texts: DataFrame, match: int = MATCH, gram: int = GRAM) -> Da
                 found.append((h, (first << CODE_BITS) | (last - first)))
                 size += len(data)
                 if size > CHUNK or i == batch.num_rows - 1:
-                    yield from _entries(keys[at:i + 1], found, n)
+                    yield from _entries(keys[at:i + 1], found, n, within)
                     found, at, size = [], i + 1, 0
 
     def settle(batches):
@@ -131,6 +132,8 @@ def shared_anchors(texts: DataFrame, match: int = MATCH, gram: int = GRAM) -> Da
             starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
             sizes = np.diff(np.append(starts, len(h)))
             more = (np.maximum.reduceat(key, starts) != np.minimum.reduceat(key, starts)) | np.logical_or.reduceat(shared[order], starts)
+            if within:
+                more |= sizes > 1
             kept = np.repeat(more, sizes)
             key, code = key[kept], code[order][kept]
             for i in range(0, len(key), 100_000):
@@ -146,7 +149,7 @@ def _codes(key: np.ndarray, code: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(code, pa.int64())], names=["key", "code"])
 
 
-def _entries(keys: np.ndarray, found: list[tuple], n: int) -> Iterator[pa.RecordBatch]:
+def _entries(keys: np.ndarray, found: list[tuple], n: int, within: bool) -> Iterator[pa.RecordBatch]:
     h, code = (np.concatenate([f[k] for f in found]) for k in (0, 1))
     if not len(h):
         return
@@ -159,6 +162,8 @@ def _entries(keys: np.ndarray, found: list[tuple], n: int) -> Iterator[pa.Record
     first[order] = owner[order] == opener
     more = np.zeros(group[-1] + 1, bool)
     more[group[owner[order] != opener]] = True
+    if within:
+        more |= np.bincount(group) > 1
     shared = np.empty(len(h), bool)
     shared[order] = more[group]
     bucket = (h % np.uint64(2 * n)).astype(np.int64)
@@ -174,12 +179,11 @@ def _entries(keys: np.ndarray, found: list[tuple], n: int) -> Iterator[pa.Record
     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
 
-def segments(texts: DataFrame, codes: DataFrame, match: int = MATCH, gram: int = GRAM, every: bool = False) -> DataFrame:
+def segments(texts: DataFrame, codes: DataFrame, match: int = MATCH, gram: int = GRAM) -> DataFrame:
     """``hash, doc_id, key, starts, bytes`` of the segments of shared anchors, once per document.
 
     A segment that its task has seen in a smaller document is settled: all of it goes. The
-    settled runs of a document come in one row without bytes, as packed codes. ``every``
-    sends all segments on.
+    settled runs of a document come in one row without bytes, as packed codes.
     """
     names = ["hash", "doc_id", "key", "starts", "bytes"]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
@@ -198,13 +202,12 @@ def segments(texts: DataFrame, codes: DataFrame, match: int = MATCH, gram: int =
                     part = raw[a:end]
                     if part in own:
                         own[part].append(a)
-                    elif not every and doc_id > seen.get(part, LATE):
+                    elif doc_id > seen.get(part, LATE):
                         settled.append((a, end))
                     else:
                         own[part] = [hash_, a]
                 for part, (hash_, *starts) in own.items():
-                    if not every:
-                        seen[part] = doc_id
+                    seen[part] = doc_id
                     rows.append((hash_, doc_id, key, np.array(starts, np.int64).tobytes(), part))
                 if settled:
                     rows.append((key, doc_id, key, np.array([(a << 32) | (b - a) for a, b in runs(settled)], np.int64).tobytes(), b""))
@@ -437,28 +440,156 @@ def without(raw: bytes, codes: list[int] | None) -> tuple[bytes, int, int]:
     return kept, len(raw) - len(kept), len(gone)
 
 
+def window_rows(joined: DataFrame, match: int, gram: int) -> DataFrame:
+    """``window, before, key, check, start, reach``: the windows of shared anchors, by their hash.
+
+    ``before`` is the byte ahead of the window, -1 at the start of a text; ``reach`` is where
+    the unbroken run of such windows ends, so no repeat from here goes beyond it. The first
+    window of a text with copies is always there, and reaches to the text's end.
+    """
+    names = ["window", "before", "key", "check", "start", "reach"]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+
+    def task(batches):
+        for batch in batches:
+            for key, check, raw, found, copies in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                data = np.frombuffer(raw, np.uint8)
+                if len(data) < match:
+                    continue
+                _, _, first, last = anchors(data, match, gram)
+                kept = np.isin((first << CODE_BITS) | (last - first), np.array(found or [], np.int64))
+                inside = np.zeros(len(data) - match + 2, np.int64)
+                np.add.at(inside, first[kept], 1)
+                np.add.at(inside, last[kept] + 1, -1)
+                inside = np.cumsum(inside)[:-1] > 0
+                # The next window that is not inside ends the run.
+                gap = np.where(inside, len(inside), np.arange(len(inside)))
+                reach = np.minimum.accumulate(gap[::-1])[::-1] + match - 1
+                if copies > 1:
+                    inside[0], reach[0] = True, len(data)
+                start = np.flatnonzero(inside)
+                window = gram_hashes(data, match).astype(np.int64)
+                before = np.where(start > 0, data[np.maximum(start - 1, 0)].astype(np.int64), -1)
+                for at in range(0, len(start), 100_000):
+                    some = start[at:at + 100_000]
+                    columns = window[some], before[at:at + 100_000], np.full(len(some), key), np.full(len(some), check), some, reach[some]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+    return joined.mapInArrow(task, "window long, before int, key long, check long, start long, reach long")
+
+
+def suffixes(joined: DataFrame) -> DataFrame:
+    """``window, suffix, before, key, check, start, whole`` of the places named, as far as they reach."""
+    names = ["window", "suffix", "before", "key", "check", "start", "whole"]
+    kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
+
+    def task(batches):
+        for batch in batches:
+            rows, size = [], 0
+            for key, check, raw, copies, places in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                for place in places:
+                    start, reach = place["start"], place["reach"]
+                    rows.append((place["window"], raw[start:reach], place["before"], key, check, start, copies > 1 and start == 0))
+                    size += reach - start
+                    if size > CHUNK:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+                        rows, size = [], 0
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+
+    return joined.mapInArrow(task, "window long, suffix binary, before int, key long, check long, start long, whole boolean")
+
+
+def common_prefix(a: bytes, b: bytes) -> int:
+    n = min(len(a), len(b))
+    if a[:n] == b[:n]:
+        return n
+    differ = np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n)
+    return int(differ.argmax())
+
+
+def maximal(rows: Iterator[tuple], match: int) -> Iterator[tuple[bytes, list[tuple[int, int, int]]]]:
+    """Every maximal repeat and its places, from suffixes sorted within windows.
+
+    A stack holds the open intervals; a group is not held but for its places. A text with
+    copies repeats as a whole, also where no interval is as long.
+    """
+    places: list[tuple[int, int, int]] = []
+    stack: list[list] = []  # common length, first place, byte before all of them or None
+    last: tuple | None = None
+    shared = 0  # of the last suffix with the one before it
+
+    def close(here: int):
+        """The intervals that end with the last suffix, when the next one shares ``here`` bytes with it."""
+        window, suffix, before, _, whole = last
+        byte, low = before if before >= 0 else None, len(places) - 1
+        if whole and max(shared, here) < len(suffix):
+            yield suffix, places[-1:]
+        while stack and stack[-1][0] > here:
+            length, low, own = stack.pop()
+            byte = own if own == byte else None
+            if byte is None:
+                yield suffix[:length], places[low:]
+        if here >= match:
+            if stack and stack[-1][0] == here:
+                if stack[-1][2] != byte:
+                    stack[-1][2] = None
+            else:
+                stack.append([here, low, byte])
+
+    for row in rows:
+        if last is not None:
+            here = common_prefix(last[1], row[1]) if last[0] == row[0] else 0
+            here = here if here >= match else 0
+            yield from close(here)
+            if last[0] != row[0]:
+                places.clear()
+            shared = here
+        last = row
+        places.append(row[3])
+    if last is not None:
+        yield from close(0)
+
+
 def repeat_groups(docs: DataFrame, match: int = MATCH, gram: int = GRAM) -> DataFrame:
-    """``bytes, doc_ids, starts``: maximal repeats within the windows of one anchor, with all occurrences.
+    """``bytes, doc_ids, starts``: every maximal repeat of at least ``match`` bytes, with all of its occurrences.
 
-    Equal texts are one document here, that of the smallest id.
+    A string is maximal if its occurrences are not all preceded, nor all followed, by one
+    byte; the ends of a text differ from every byte and from each other. Occurrences may be
+    in one document, or in rows with equal texts. The places of one window meet in one task
+    only if bytes before them differ, since else no maximal repeat begins there; Spark sorts
+    their suffixes.
     """
     texts = distinct_texts(docs)
-    found = segments(texts, stored(shared_anchors(texts, match, gram), "anchors"), match, gram, every=True)
+    members = stored(named(docs).select("key", "check", "doc_id"), "rows")
+    copies = members.groupBy("key", "check").agg(F.count("*").alias("copies"))
+    codes = stored(shared_anchors(texts, match, gram, within=True), "anchors")
+    held = texts.join(copies, ["key", "check"]).select("key", "check", F.encode("text", "utf-8").alias("raw"), "copies")
+    joined = held.join(codes, "key", "left").filter("codes IS NOT NULL OR copies > 1").select("key", "check", "raw", "codes", "copies")
+    windows = stored(window_rows(joined, match, gram), "windows")
+    # Copies count as occurrences, but at the start of a text only they differ in what is before.
+    begins = windows.groupBy("window").agg(F.count("*").alias("n"), F.min("before").alias("least"), F.max("before").alias("most")) \
+        .filter("least < 0 OR (n > 1 AND least <> most)").select("window")
+    places = windows.join(begins, "window").groupBy("key", "check").agg(
+        F.collect_list(F.struct("window", "before", "start", "reach")).alias("places"))
+    found = suffixes(held.join(places, ["key", "check"]).select("key", "check", "raw", "copies", "places"))
 
     def task(batches):
-        for rows in whole_groups(batches):
-            h, doc = (rows[i].to_numpy(zero_copy_only=False) for i in range(2))
-            start = [np.frombuffer(x, np.int64) for x in rows[3].to_pylist()]
-            parts = rows[4].to_pylist()
-            array = SuffixArray(parts, np.unique(h, return_inverse=True)[1], match)
-            out = []
-            for length, low, high in zip(*array.intervals(match)):
-                at = sorted((int(doc[p]), int(s + o)) for p, o in zip(array.part[low:high], array.offset[low:high]) for s in start[p])
-                first, o = array.part[low], array.offset[low]
-                out.append((parts[first][o:o + length], [None if d == LATE else d for d, _ in at], [s for _, s in at]))
-            if out:
-                kinds = [pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["bytes", "doc_ids", "starts"])
-
-    return found.repartition(partitions(docs), "hash").sortWithinPartitions("hash").mapInArrow(
-        task, "bytes binary, doc_ids array<long>, starts array<long>")
+        def rows():
+            for batch in batches:
+                for window, suffix, before, key, check, start, whole in zip(*(batch.column(i).to_pylist() for i in range(7))):
+                    yield window, suffix, before, (key, check, start), whole
+
+        ids = row_ids()
+        for part, at in maximal(rows(), match):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([next(ids)], pa.int64()), pa.array([part], pa.binary()), *(pa.array([list(c)], pa.list_(pa.int64())) for c in zip(*at))],
+                names=["id", "bytes", "keys", "checks", "starts"])
+
+    groups = stored(found.repartition(partitions(docs), "window").sortWithinPartitions("window", "suffix", "key", "check", "start").mapInArrow(
+        task, "id long, bytes binary, keys array<long>, checks array<long>, starts array<long>"), "groups")
+    each = groups.select("id", F.explode(F.arrays_zip("keys", "checks", "starts")).alias("at")).select(
+        "id", F.col("at.keys").alias("key"), F.col("at.checks").alias("check"), F.col("at.starts").alias("start"))
+    each = each.join(members, ["key", "check"]).groupBy("id").agg(F.sort_array(F.collect_list(F.struct("doc_id", "start"))).alias("at"))
+    return groups.join(each, "id").select(
+        "bytes", F.transform("at", lambda x: F.nullif(x["doc_id"], F.lit(LATE))).alias("doc_ids"), F.col("at.start").alias("starts"))
