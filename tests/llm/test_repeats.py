@@ -117,3 +117,16 @@ def test_random_groups_equal_brute_force(spark):
     df = spark.createDataFrame(items, "doc_id long, text string").repartition(3)
     assert group_rows(repeats.repeat_groups(df, 8, 4)) == whole_repeats(items, 8)
     assert group_rows(repeats.repeat_groups(empty(spark))) == []
+
+
+def test_segments_of_a_hot_anchor_are_parted(spark):
+    rng = random.Random(23)
+    template = "template##"  # shorter than a window, with other text around it everywhere
+    items = [(i, "".join(rng.choice("abcdefgh") for _ in range(20)) + template + "".join(rng.choice("ijklmnop") for _ in range(20))) for i in range(400)]
+    items += [(400 + i, rng.choice(items)[1][rng.randrange(10):] + str(i)) for i in range(60)]
+    rng.shuffle(items)
+    df = spark.createDataFrame(items, "doc_id long, text string").repartition(3)
+    texts = repeats.distinct_texts(df)
+    found = repeats.segments(texts, repeats.stored(repeats.shared_anchors(texts, 12, 5, hot=50), "anchors"), 12, 5)
+    assert max(r["count"] for r in found.filter("length(bytes) > 0").groupBy("hash").count().collect()) <= 50
+    assert got(repeats.remove_repeats(df, 12, 5, hot=50)) == brute(items, 12)

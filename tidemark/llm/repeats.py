@@ -35,6 +35,9 @@ LATE = (1 << 63) - 1
 # Text of one chunk, segments that a task remembers, and bytes of segments that are sorted at once.
 CHUNK, REMEMBERED, SORTED = 4_000_000, 200_000, 1_500_000
 CODE_BITS = 7
+# Occurrences of an anchor above which its segments are parted into single windows, and the code
+# that names such an anchor.
+HOT, HOT_CODE = 8192, -1
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -91,12 +94,13 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
     return spark.table(name)
 
 
-def shared_anchors(texts: DataFrame, match: int = MATCH, gram: int = GRAM, within: bool = False) -> DataFrame:
+def shared_anchors(texts: DataFrame, match: int = MATCH, gram: int = GRAM, within: bool = False, hot: int = HOT) -> DataFrame:
     """``key, codes``: per document the windows of anchors that other documents hold too.
 
     A code is the first window, then the number of windows beyond it. A chunk sends the
     documents that first hold a hash; what its other documents add is known to be shared.
-    ``within`` keeps anchors that stand twice in one document, too.
+    ``within`` keeps anchors that stand twice in one document, too. An anchor that may stand
+    more than ``hot`` times comes as a key with the code ``HOT_CODE``.
     """
     n = partitions(texts)
 
@@ -123,7 +127,7 @@ def shared_anchors(texts: DataFrame, match: int = MATCH, gram: int = GRAM, withi
                 if row["hashes"] is None:
                     yield _codes(key, code)
                 else:
-                    for to, what in zip(held, (np.frombuffer(row["hashes"], np.uint64), key, code, np.frombuffer(row["shared"], bool))):
+                    for to, what in zip(held, (np.frombuffer(row["hashes"], np.uint64), key, code, np.frombuffer(row["shared"], np.uint8))):
                         to.append(what)
         if held[0]:
             h, key, code, shared = (np.concatenate(x) for x in held)
@@ -131,13 +135,18 @@ def shared_anchors(texts: DataFrame, match: int = MATCH, gram: int = GRAM, withi
             h, key = h[order], key[order]
             starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
             sizes = np.diff(np.append(starts, len(h)))
-            more = (np.maximum.reduceat(key, starts) != np.minimum.reduceat(key, starts)) | np.logical_or.reduceat(shared[order], starts)
+            shared = shared[order]
+            more = (np.maximum.reduceat(key, starts) != np.minimum.reduceat(key, starts)) | (np.maximum.reduceat(shared, starts) > 0)
             if within:
                 more |= sizes > 1
             kept = np.repeat(more, sizes)
             key, code = key[kept], code[order][kept]
             for i in range(0, len(key), 100_000):
                 yield _codes(key[i:i + 100_000], code[i:i + 100_000])
+            # An entry stands for itself and for what the rest of its chunk holds, by bit length: never too few.
+            often = h[starts][np.add.reduceat(1 << shared.astype(np.int64), starts) > hot].astype(np.int64)
+            if len(often):
+                yield _codes(often, np.full(len(often), HOT_CODE))
 
     sent = texts.select("key", F.encode("text", "utf-8").alias("bytes")).mapInArrow(
         spread, "bucket int, hashes binary, keys binary, owners binary, codes binary, shared binary")
@@ -160,12 +169,11 @@ def _entries(keys: np.ndarray, found: list[tuple], n: int, within: bool) -> Iter
     opener = owner[order][starts][group]
     first = np.empty(len(h), bool)
     first[order] = owner[order] == opener
-    more = np.zeros(group[-1] + 1, bool)
-    more[group[owner[order] != opener]] = True
+    others = np.bincount(group[owner[order] != opener], minlength=group[-1] + 1)
     if within:
-        more |= np.bincount(group) > 1
-    shared = np.empty(len(h), bool)
-    shared[order] = more[group]
+        others = np.bincount(group) - 1
+    shared = np.empty(len(h), np.uint8)
+    shared[order] = np.frexp(others)[1][group]  # the bit length tells the number within a factor of two
     bucket = (h % np.uint64(2 * n)).astype(np.int64)
     rows = []
     for kept, b in [*((np.flatnonzero(first & (bucket == b)), b) for b in range(2 * n)), (np.flatnonzero(~first), int(keys[0]) % (2 * n))]:
@@ -179,16 +187,26 @@ def _entries(keys: np.ndarray, found: list[tuple], n: int, within: bool) -> Iter
     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
 
+def hot_anchors(codes: DataFrame) -> np.ndarray:
+    """The hashes of the anchors that are parted, sorted: at most the number of all anchors by the bound."""
+    rows = codes.filter(F.array_contains("codes", F.lit(HOT_CODE).cast("long"))).select("key").toArrow()
+    return np.sort(rows.column(0).to_numpy())
+
+
 def segments(texts: DataFrame, codes: DataFrame, match: int = MATCH, gram: int = GRAM) -> DataFrame:
     """``hash, doc_id, key, starts, bytes`` of the segments of shared anchors, once per document.
 
     A segment that its task has seen in a smaller document is settled: all of it goes. The
-    settled runs of a document come in one row without bytes, as packed codes.
+    settled runs of a document come in one row without bytes, as packed codes. Segments of
+    hot anchors come as their windows, under the hash of each: equal windows still meet, and
+    no group is as large as the anchor's.
     """
     names = ["hash", "doc_id", "key", "starts", "bytes"]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+    sent = texts.sparkSession.sparkContext.broadcast(hot_anchors(codes))
 
     def cut(batches):
+        often = sent.value
         seen: dict[bytes, int] = {}
         for batch in batches:
             rows: list[tuple] = []
@@ -198,14 +216,24 @@ def segments(texts: DataFrame, codes: DataFrame, match: int = MATCH, gram: int =
                 kept = np.isin((first << CODE_BITS) | (last - first), np.array(found, np.int64))
                 settled: list[tuple[int, int]] = []
                 own: dict[bytes, list[int]] = {}  # a segment may stand many times in one text
-                for hash_, a, end in zip(h[kept].astype(np.int64).tolist(), first[kept].tolist(), (last[kept] + match).tolist()):
-                    part = raw[a:end]
+                h, first, last = h[kept].astype(np.int64), first[kept], last[kept]
+                hot = np.isin(h, often) if len(often) else np.zeros(len(h), bool)
+
+                def send(hash_: int, a: int, part: bytes) -> None:
                     if part in own:
                         own[part].append(a)
                     elif doc_id > seen.get(part, LATE):
-                        settled.append((a, end))
+                        settled.append((a, a + len(part)))
                     else:
                         own[part] = [hash_, a]
+
+                for hash_, a, end in zip(h[~hot].tolist(), first[~hot].tolist(), (last[~hot] + match).tolist()):
+                    send(hash_, a, raw[a:end])
+                if hot.any():
+                    windows = gram_hashes(np.frombuffer(raw, np.uint8), match).astype(np.int64)
+                    for a, end in zip(first[hot].tolist(), (last[hot] + 1).tolist()):
+                        for i, hash_ in enumerate(windows[a:end].tolist(), a):
+                            send(hash_, i, raw[i:i + match])
                 for part, (hash_, *starts) in own.items():
                     seen[part] = doc_id
                     rows.append((hash_, doc_id, key, np.array(starts, np.int64).tobytes(), part))
@@ -394,10 +422,10 @@ def whole_groups(batches, most: int = SORTED) -> Iterator[list]:
         yield [c.combine_chunks() for c in pa.Table.from_batches(held).columns]
 
 
-def remove_repeats(docs: DataFrame, match: int = MATCH, gram: int = GRAM) -> DataFrame:
+def remove_repeats(docs: DataFrame, match: int = MATCH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """``doc_id, text_bytes, kept, n_removed, n_spans``: the bytes of every document and what stays of them."""
     texts = distinct_texts(docs)
-    codes = stored(shared_anchors(texts, match, gram), "anchors")
+    codes = stored(shared_anchors(texts, match, gram, hot=hot), "anchors")
     free_shuffles(docs.sparkSession)
     spans = stored(repeated(segments(texts, codes, match, gram), match).groupBy("key").agg(F.collect_list("code").alias("codes")), "repeats")
     free_shuffles(docs.sparkSession)
