@@ -95,3 +95,27 @@ def test_vectors_of_different_length_bound_what_is_shared():
     most = jaccard.bounds(counts, n, a, b)
     assert all(m >= len(np.intersect1d(sets[i], sets[j])) for m, i, j in zip(most, a, b))
     assert most[-1] == 2000  # one group holds all of both, more than its byte can
+
+
+def brute_links(items):
+    sets = [shingles(t) for _, t in items]
+    return sorted(((d, sum(1 for j, b in enumerate(sets) if j != i and a and b and 100 * len(a & b) >= 80 * len(a | b)))
+                   for i, ((d, _), a) in enumerate(zip(items, sets))), key=str)
+
+
+@pytest.mark.parametrize("block", [jaccard.BLOCK, 7])
+def test_every_link_is_counted(spark, block):
+    rng = random.Random(9)
+    items = []
+    for size, copies, edits in ((120, 40, 4), (60, 12, 2), (300, 8, 3)):
+        base = prose(rng, size)
+        for _ in range(copies):
+            text = list(base)
+            for _ in range(rng.randrange(edits + 1)):
+                text[rng.randrange(size)] = f"x{rng.randrange(50)}"
+            items.append((len(items), " ".join(text)))
+    items += [(100, None), (101, ""), (102, "alone in the world it stands"), (None, items[0][1]), (3, items[50][1])]
+    df = spark.createDataFrame(items, "doc_id long, text string").repartition(5)
+    found = jaccard.classes(df, block)
+    assert sorted(((r.doc_id, r.n_links) for r in found.collect()), key=str) == brute_links(items)
+    assert got(jaccard.groups(df, block)) == brute(items)

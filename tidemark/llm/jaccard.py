@@ -7,12 +7,15 @@ finds the pairs that may be similar enough, and their sets decide.
 
 Neighbourhoods come from prefixes: under any one order of all shingles, two sets that are
 similar enough share one of their first ``n - ceil(0.8 n) + 1``. The order puts shingles
-first that are not known to be frequent. Equal sets are one node. First each node is held
-against one node of each of its neighbourhoods, a different one in each: the most likely
-one, then the others that are not in its component yet. Where that joins a whole
-neighbourhood nothing is left to search. The rest is searched by tree, in pairs of blocks
-where neighbourhoods are large, for pairs between the components so far. So a crowd of near
-copies costs about its number of shingles, and no link between components is lost.
+first that are not known to be frequent. Equal sets are one node. ``links`` searches every
+neighbourhood by tree, in pairs of blocks where it is large, and finds every linked pair:
+its cost and its result grow with the square of a crowd of near copies.
+
+``keep_one`` needs components only. First each node is held against one node of each of its
+neighbourhoods, a different one in each: the most likely one, then the others that are not
+in its component yet. Where that joins a whole neighbourhood nothing is left to search. The
+rest is searched for pairs between the components so far. So a crowd of near copies costs
+about its number of shingles there, and no link between components is lost.
 
 Documents without words are linked with nothing. A null id is larger than all others: a
 component of null ids only has none. Rows with equal ids are documents of their own. Sets
@@ -22,6 +25,7 @@ are told apart by a 64-bit hash. An empty table gives an empty result.
 from __future__ import annotations
 
 import uuid
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -340,18 +344,21 @@ def searched(members: DataFrame, roots: DataFrame, at: DataFrame, block: int = B
             a = a[(root[a] != root[a + 1]) & ((i[a] == j[a]) | (own[a] != own[a + 1]))
                   & (WHOLE * n[a] >= PART * n[a + 1]) & (WHOLE * n[a + 1] >= PART * n[a])]
             a = a[bounds(columns[8], n, a, a + 1) >= least_shared(n[a], n[a + 1])]
-            found = list(zip(node[a].tolist(), node[a + 1].tolist()))
+            found = [zip(node[a].tolist(), node[a + 1].tolist())]
             for low, high in zip(cuts[:-1][size > 2].tolist(), cuts[1:][size > 2].tolist()):
                 part = slice(low, high)
-                found += pairs_within(node[part], root[part], n[part], columns[8].slice(low, high - low), own[part], bool(i[low] == j[low]))
+                found.append(pairs_within(node[part], root[part], n[part], columns[8].slice(low, high - low), own[part], bool(i[low] == j[low])))
             out = []
-            for a, b in found:
+            for a, b in chain.from_iterable(found):
                 pair = (a, b) if a < b else (b, a)
                 if pair not in sent:
                     sent.add(pair)
                     out.append(pair)
-            if len(sent) > 200_000:
-                sent.clear()
+                if len(out) >= 100_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
+                    out = []
+                if len(sent) > 200_000:
+                    sent.clear()
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
 
@@ -387,8 +394,8 @@ def pairs_within(node, root, n, counts: pa.Array, own, same: bool):
                         yield int(node[q]), int(node[p])
 
 
-def classes(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row."""
+def prepared(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The rows with their nodes, one text per node, the neighbourhoods, and the points in them."""
     spark = docs.sparkSession
     made = work_dir(spark, "shingle-sets")
     counted = stored(sets_of(docs), "shingle-sets", made)
@@ -398,7 +405,20 @@ def classes(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     forget(spark, made)
     members = stored(neighbourhoods(texts, *common), "members")
     free_shuffles(spark)
-    at = points(texts, members.select("node").distinct())
+    return rows, texts, members, points(texts, members.select("node").distinct())
+
+
+def links(texts: DataFrame, members: DataFrame, at: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``a, b``: every pair of nodes whose sets are similar enough, once."""
+    alone = texts.sparkSession.createDataFrame([], "node long, root long")
+    found = stored(searched(members, alone, at, block), "found")
+    free_shuffles(texts.sparkSession)
+    return stored(verified(found, sets_for(texts, found)), "links")
+
+
+def spanning(texts: DataFrame, members: DataFrame, at: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``a, b``: as many linked pairs of nodes as the components need, not all of them."""
+    spark = texts.sparkSession
     led = stored(bounded(led_pairs(members), at), "led")
     free_shuffles(spark)
     sets = sets_for(texts, led)
@@ -412,16 +432,42 @@ def classes(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     tried = led.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     found = stored(searched(members, roots, at, block).join(tried, ["a", "b"], "left_anti"), "found")
     free_shuffles(spark)
-    links = links.unionByName(stored(verified(found, sets_for(texts, found)), "links"))
+    return links.unionByName(stored(verified(found, sets_for(texts, found)), "links"))
+
+
+def membership(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id, node`` of every row; without words the node is null."""
     roots = stored(components(links), "roots")
     named = rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).join(roots, "node", "left") \
         .select("node", "least", F.coalesce("root", "node").alias("root"))
     named = stored(named, "nodes")
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
     by_node = named.join(ids, "root").select("node", "component_id")
-    linked = rows.filter("node is not null").join(by_node, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    linked = rows.filter("node is not null").join(by_node, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "node")
     return linked.unionByName(rows.filter("node is null").select(
-        "doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+        "doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), "node"))
+
+
+def classes(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``doc_id, n_shingles, component_id, n_links`` of every row.
+
+    ``n_links`` is the number of other rows that the row is linked with, those of equal sets
+    included.
+    """
+    rows, texts, members, at = prepared(docs)
+    found = links(texts, members, at, block)
+    copies = stored(rows.filter("node is not null").groupBy("node").agg(F.count("*").alias("copies")), "copies")
+    both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    beyond = both.join(copies.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("beyond"))
+    counts = copies.join(beyond, "node", "left").select("node", (F.col("copies") - 1 + F.coalesce("beyond", F.lit(0))).alias("n_links"))
+    return membership(rows, found).join(counts, "node", "left").select(
+        "doc_id", "n_shingles", "component_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def groups(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row, without looking for links inside components."""
+    rows, *parts = prepared(docs)
+    return membership(rows, spanning(*parts, block)).drop("node")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
@@ -429,5 +475,5 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Rows equal in id and text are one document. Null ids stay.
     """
-    gone = classes(docs).filter("component_id < doc_id").select("doc_id").distinct()
+    gone = groups(docs).filter("component_id < doc_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns).dropDuplicates(["doc_id", "text"])
