@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import work_dir
+
 # Up to this many rows one task merges a top-k; beyond it the rank is computed from bucket
 # counts. Both give the same rows: the levels of a limit are prefixes of its order.
 TOP_K_LIMIT = 100_000
@@ -51,6 +53,31 @@ def bucketed_rank(
     return ranked.select(*df.columns, (start + F.col("_row")).alias(name), *extra)
 
 
+def ordered_rank(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
+    """Add the 1-based rank in ``order`` over the whole table, which is written once, sorted.
+
+    The table is parted into ranges of the order, each sorted by one task. A row's rank is
+    its place in its range plus the rows of the ranges before, of which there is one number
+    per shuffle partition. ``order`` should tell all rows apart: equal rows share a range.
+    The input is read twice, once for the ranges, so it should be a table or cheap.
+    """
+    spark = df.sparkSession
+    path, parts = work_dir(spark, "ranked"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # The place holds the number of the range above its 33 bits for rows.
+    placed = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id())
+    placed.write.parquet(path)
+    written = spark.read.schema(placed.schema).parquet(path)
+    counts = written.groupBy(F.shiftright("_place", 33).alias("part")).count().collect()  # a row per shuffle partition
+    before, offsets = 0, {}
+    for part, n in sorted((r["part"], r["count"]) for r in counts):
+        offsets[part] = before
+        before += n
+    start = spark.createDataFrame(list(offsets.items()), "_part long, _before long")
+    ranked = written.withColumn("_part", F.shiftright("_place", 33)).join(F.broadcast(start), "_part")
+    row = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    return ranked.select(*df.columns, (F.col("_before") + row + 1).alias(name))
+
+
 def join_null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     """Inner join in which nulls are equal; the columns of ``on`` come once."""
     named = right.select(*[F.col(c).alias(f"_right_{c}") if c in on else F.col(c) for c in right.columns])
