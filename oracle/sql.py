@@ -294,6 +294,34 @@ BODIES |= {
         LEFT JOIN reflists r ON r.entry_id = x.id LEFT JOIN topnames nm ON nm.entry_id = x.id JOIN spaces s ON s.entry_id = x.id""",
 }
 
+# The feed with deletes. Of each third the last change of a user counts; an upsert always takes effect, a delete
+# only after an upsert. The odd changes of the last landing: another version at the same time, and one that is
+# late unless nothing was ever seen of its user.
+LIFE = """WITH ev AS (SELECT user_id, upper(md5('event:' || event_id::VARCHAR)) AS etag, ts, event_type = 'error' AS del, event_id,
+        CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 0 WHEN ts < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END AS slice FROM events),
+    thirds AS (SELECT user_id, etag, ts, del, slice FROM ev QUALIFY row_number() OVER (PARTITION BY user_id, slice ORDER BY ts DESC, del DESC, etag DESC) = 1),
+    lasts AS (SELECT * FROM ev QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, del DESC, etag DESC) = 1),
+    steps AS (SELECT * FROM thirds
+        UNION ALL SELECT user_id, upper(md5('again:' || event_id::VARCHAR)), ts, false, 3 FROM lasts WHERE user_id % 10 = 3
+        UNION ALL SELECT user_id, upper(md5('late:' || event_id::VARCHAR)), TIMESTAMP '2023-12-01', false, 3 FROM lasts WHERE user_id % 10 = 4
+            AND user_id NOT IN (SELECT user_id FROM thirds WHERE NOT del)),
+    turns AS (SELECT *, lag(del) OVER w AS del_before, lag(etag) OVER w AS etag_before FROM steps WINDOW w AS (PARTITION BY user_id ORDER BY slice)),
+    accepted AS (SELECT user_id, del, ts, CASE WHEN del THEN etag_before ELSE etag END AS version,
+        row_number() OVER (PARTITION BY user_id ORDER BY slice) AS number FROM turns WHERE NOT del OR coalesce(NOT del_before, false)),
+    final AS (SELECT *, upper(md5('contact:' || user_id::VARCHAR)) AS uuid FROM accepted QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY number DESC) = 1)"""
+
+BODIES |= {
+    "stream_deletes": f"""{LIFE} SELECT uuid AS source_uuid, version AS last_seen_version, {TIME.format('ts')} AS last_seen_changed,
+        (del OR user_id % 10 = 7)::BIGINT AS is_missing, CASE WHEN del OR user_id % 10 = 7 THEN version END AS delete_version FROM final""",
+    "stream_state": f"""{LIFE} SELECT uuid AS source_uuid, version AS source_version, 'contact' AS collection_key,
+        CASE WHEN del THEN 'delete' ELSE 'upsert' END AS job_type, {TIME.format('ts')} AS changed, number FROM final""",
+    # What was held back counts if it is later than the latest change landed before it, less twelve days.
+    "stream_dedup": f"""SELECT upper(md5('contact:' || user_id::VARCHAR)) AS uuid, upper(md5('event:' || event_id::VARCHAR)) AS etag,
+        {TIME.format('ts')} AS changed, (event_type = 'error')::BIGINT AS deleted FROM events
+        WHERE ts >= TIMESTAMP '2024-01-11' OR event_id % 7 <> 0 OR ts > (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 12 DAY FROM events
+            WHERE ts < TIMESTAMP '2024-01-21' AND (ts >= TIMESTAMP '2024-01-11' OR event_id % 7 <> 0))""",
+}
+
 
 def _statement(body: str) -> str:
     sql = with_views(body)

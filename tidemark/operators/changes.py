@@ -186,11 +186,18 @@ def merge_seen(seen: DataFrame, accepted: DataFrame, now: str) -> DataFrame:
 
 
 def mark_missing(seen: DataFrame, vanished: DataFrame, now: str) -> DataFrame:
-    """Set ``missing_since`` of the vanished entries where it is not set."""
-    gone = vanished.select("source_uuid", F.lit(True).alias("_gone"))
-    mark = F.when(F.col("_gone") & F.col("missing_since").isNull(), timestamp(now)).otherwise(F.col("missing_since"))
-    return seen.join(gone, "source_uuid", "left").select(*[
-        mark.alias(c) if c == "missing_since" else F.col(c) for c in columns(SEEN)])
+    """Set ``missing_since`` of the vanished entries where it is not set.
+
+    If ``vanished`` tells when an entry ``changed``, that becomes the time it was last seen at
+    a change.
+    """
+    time = F.col("changed") if "changed" in vanished.columns else F.lit(None).cast("timestamp_ntz")
+    gone = vanished.select("source_uuid", F.lit(True).alias("_gone"), time.alias("_changed"))
+    marked = {
+        "missing_since": F.when(F.col("_gone") & F.col("missing_since").isNull(), timestamp(now)).otherwise(F.col("missing_since")),
+        "last_seen_changed": F.coalesce("_changed", "last_seen_changed"),
+    }
+    return seen.join(gone, "source_uuid", "left").select(*[marked.get(c, F.col(c)).alias(c) for c in columns(SEEN)])
 
 
 def link_delete_jobs(seen: DataFrame, vanished: DataFrame, jobs: DataFrame) -> DataFrame:

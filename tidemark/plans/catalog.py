@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions import text
 from tidemark.operators import changes, chunks, embed, enrich, items, payload, ranking, vectors, worklist
@@ -625,3 +626,73 @@ def stream_seen(r: Records) -> DataFrame:
     """Per-entry state after the feed."""
     return _stream(r).read("seen", SEEN).select(
         "source_uuid", "last_seen_version", "last_seen_changed", "last_seen_collection_key", "missing_since")
+
+
+def _event_changes(r: Records) -> DataFrame:
+    """Events as changes of the contact of their user; an error deletes it. ``slice`` is the third of the month."""
+    ts = F.col("ts")
+    third = F.when(ts < F.lit("2024-01-11").cast("timestamp_ntz"), 0).when(ts < F.lit("2024-01-21").cast("timestamp_ntz"), 1).otherwise(2)
+    return r.table("events").select(
+        F.upper(F.md5(F.concat(F.lit("contact:"), F.col("user_id").cast("string")))).alias("uuid"),
+        F.upper(F.md5(F.concat(F.lit("event:"), F.col("event_id").cast("string")))).alias("etag"),
+        ts.alias("changed"), F.lit("contact").alias("type_alias"), (F.col("event_type") == "error").alias("deleted"),
+        "user_id", "event_id", third.alias("slice"))
+
+
+def _life_slices(r: Records) -> list[DataFrame]:
+    """Three thirds of the changes, then odd ones: another version at the time of the last, one that comes late, a repeat."""
+    rows = _event_changes(r)
+    last = rows.groupBy("user_id").agg(F.max(F.struct("changed", "deleted", "etag", "uuid", "type_alias", "event_id")).alias("c")).select("user_id", "c.*")
+
+    def version(word: str) -> Column:
+        return F.upper(F.md5(F.concat(F.lit(f"{word}:"), F.col("event_id").cast("string"))))
+
+    kind = F.col("user_id") % 10
+    odd = last.filter(kind.isin(3, 4, 5)).select(
+        "uuid", F.when(kind == 3, version("again")).when(kind == 4, version("late")).otherwise(F.col("etag")).alias("etag"),
+        F.when(kind == 4, F.lit("2023-12-01").cast("timestamp_ntz")).otherwise(F.col("changed")).alias("changed"), "type_alias",
+        (F.col("deleted") & (kind == 5)).alias("deleted"))
+    return [*(rows.filter(F.col("slice") == i) for i in range(3)), odd]
+
+
+def _landing(r: Records, slices: list[DataFrame], purpose: str, run: Callable[[str], StreamingQuery]) -> str:
+    """Lands the slices one after the other under a new folder; the feed takes each before the next one lands."""
+    base = work_dir(r.spark, purpose)
+    for i, rows in enumerate(slices):
+        rows.select("uuid", "etag", "changed", "type_alias", "deleted").write.parquet(f"{base}/changes/{i}")
+        run(base).awaitTermination()
+    return base
+
+
+@query
+def stream_deletes(r: Records) -> DataFrame:
+    """Per-entry state after a feed with delete marks and, at its end, a look for entries that are gone."""
+    entries = f"{work_dir(r.spark, 'snapshot')}/entries"
+    _event_changes(r).filter("user_id % 10 <> 7").select("uuid").distinct().write.parquet(entries)
+    base = _landing(r, _life_slices(r), "deletes", lambda base: feed.watch(
+        r.spark, f"{base}/changes/*", SnapshotStore(r.spark, f"{base}/tables"), f"{base}/checkpoint", now=NOW, entries=entries, sweep_every=4))
+    store = SnapshotStore(r.spark, f"{base}/tables")
+    jobs = store.read("jobs", JOB).select(F.col("job_id").alias("delete_job_id"), F.col("source_version").alias("delete_version"))
+    return store.read("seen", SEEN).join(jobs, "delete_job_id", "left").select(
+        "source_uuid", "last_seen_version", "last_seen_changed", F.col("missing_since").isNotNull().alias("is_missing"), "delete_version")
+
+
+@query
+def stream_state(r: Records) -> DataFrame:
+    """The last request of every entry, from a log that the state store keeps free of repeats."""
+    base = _landing(r, _life_slices(r), "state", lambda base: feed.follow(
+        r.spark, f"{base}/changes/*", f"{base}/log", f"{base}/checkpoint"))
+    return feed.latest_requests(r.spark.read.schema(feed.REQUEST_LOG).parquet(f"{base}/log"))
+
+
+@query
+def stream_dedup(r: Records) -> DataFrame:
+    """Changes that come up to three times, and some that come after their time."""
+    rows = _event_changes(r)
+    first, held = rows.filter("slice = 0 AND event_id % 7 <> 0"), rows.filter("slice = 0 AND event_id % 7 = 0")
+    slices = [
+        first, rows.filter("slice = 1").unionByName(first.filter("event_id % 3 = 0")),
+        rows.filter("slice = 2").unionByName(first.filter("event_id % 5 = 0")).unionByName(held)]
+    base = _landing(r, slices, "repeats", lambda base: feed.collect_changes(
+        r.spark, f"{base}/changes/*", f"{base}/table", f"{base}/checkpoint", "12 days"))
+    return r.spark.read.schema(feed.CHANGE).parquet(f"{base}/table").select("uuid", "etag", "changed", "deleted")

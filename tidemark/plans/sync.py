@@ -78,12 +78,17 @@ def enqueue_run(
     return {"skipped": False, "changed": last["changed"], "deleted": last["deleted"]}
 
 
-def settle_requests(store: SnapshotStore, found: DataFrame, now: str, policy: str, run: str) -> None:
-    """Write the requests down once, then bring work list and seen table up to them."""
+def settle_requests(
+    store: SnapshotStore, found: DataFrame, now: str, policy: str, run: str, deletes_move_time: bool = False
+) -> None:
+    """Write the requests down once, then bring work list and seen table up to them.
+
+    With ``deletes_move_time`` the time of a delete request becomes the entry's last time.
+    """
     store.write("requests", found, run=run)
     requests = store.read("requests", REQUEST)
     store.write("jobs", next_jobs(store.read("jobs", JOB), requests, now, policy), by="state", run=run)
-    store.write("seen", next_seen(store.read("seen", SEEN), requests, store.read("jobs", JOB), now), run=run)
+    store.write("seen", next_seen(store.read("seen", SEEN), requests, store.read("jobs", JOB), now, deletes_move_time), run=run)
 
 
 def next_jobs(jobs: DataFrame, requests: DataFrame, now: str, policy: str = "reference") -> DataFrame:
@@ -91,11 +96,11 @@ def next_jobs(jobs: DataFrame, requests: DataFrame, now: str, policy: str = "ref
     return changes.insert_if_absent(changes.supersede_pending(jobs, requests, now, policy), requests, now)
 
 
-def next_seen(seen: DataFrame, requests: DataFrame, jobs: DataFrame, now: str) -> DataFrame:
+def next_seen(seen: DataFrame, requests: DataFrame, jobs: DataFrame, now: str, deletes_move_time: bool = False) -> DataFrame:
     accepted = requests.filter("job_type = 'upsert'").select(
         F.col("source_uuid").alias("uuid"), F.col("source_version").alias("etag"), "changed", "collection_key")
     gone = requests.filter("job_type = 'delete'").select(
-        "source_uuid", F.col("source_version").alias("last_seen_version"), "collection_key")
+        "source_uuid", F.col("source_version").alias("last_seen_version"), "collection_key", *(["changed"] if deletes_move_time else []))
     marked = changes.mark_missing(changes.merge_seen(seen, accepted, now), gone, now)
     return changes.link_delete_jobs(marked, gone, jobs)
 
