@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import time
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -21,6 +22,18 @@ CHUNK_BYTES = 1_000_000
 SETTLE_SECONDS = 0.5
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int = BATCH_ROWS):
+    """Arrow batches of at most ``rows`` for what is run inside."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def documents(df: DataFrame) -> DataFrame:
     """``doc_id`` and ``text`` of the input; other columns, whatever their names, are left out."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))

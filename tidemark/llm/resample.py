@@ -30,14 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrow import row_ids, stored
+from tidemark.llm.arrow import batches_of, row_ids, stored
 from tidemark.llm.terms import common
 from tidemark.operators.ranking import ordered_rank
 
 # Most words, and most pairs, that are sent to every task.
-HEAD = 1 << 17
+HEAD = 1 << 16
 # Distinct features that a task gathers before it hands on the repeated ones, and how often those must have come.
-GATHERED, OFTEN = 200_000, 4
+GATHERED, OFTEN = 100_000, 4
 # Range of the noise: the first eight hex digits of a hash.
 SPAN = 1 << 32
 
@@ -139,16 +139,22 @@ def frequent(texts: DataFrame, longest: int, most: int) -> tuple[list[bytes], li
 
 def totals(texts: DataFrame, head, longest: int, buckets: int) -> np.ndarray:
     """Features per bucket over all texts: one vector per task, summed."""
+    def add(sums, found, known):
+        at = np.fromiter(map(known.bucket, found), np.int64, len(found))
+        np.add.at(sums, at, np.fromiter(found.values(), np.int64, len(found)))
+
     def task(batches):
         known, sums = head.value, np.zeros(buckets, np.int64)
         for batch in batches:
+            found: Counter = Counter()
             for text in batch.column(0):
                 words = words_of(text.as_py())
-                found = Counter(words)
+                found.update(words)
                 found.update(longer_runs(words, longest))
-                if found:
-                    at = np.fromiter(map(known.bucket, found), np.int64, len(found))
-                    np.add.at(sums, at, np.fromiter(found.values(), np.int64, len(found)))
+                if len(found) > GATHERED:
+                    add(sums, found, known)
+                    found.clear()
+            add(sums, found, known)
         used = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(sums[used])], names=["bucket", "n"])
 
@@ -205,9 +211,10 @@ def resample(
     no rank.
     """
     texts, wanted = raw_texts(docs), raw_texts(target)
-    head = docs.sparkSession.sparkContext.broadcast(Head(*frequent(texts, longest, most), buckets))
-    gains = gains_of(totals(texts, head, longest, buckets), totals(wanted, head, longest, buckets))
-    rows = stored(weighed(docs, head, gains, longest, seed), "weighed")
+    with batches_of(docs.sparkSession):
+        head = docs.sparkSession.sparkContext.broadcast(Head(*frequent(texts, longest, most), buckets))
+        gains = gains_of(totals(texts, head, longest, buckets), totals(wanted, head, longest, buckets))
+        rows = stored(weighed(docs, head, gains, longest, seed), "weighed")
     fit = F.col("n_words") >= least_words
     drawn = rows.filter(fit).count() * percent // 100
     ranked = ordered_rank(rows, [fit.desc(), F.col("score").desc(), F.col("doc_id").asc_nulls_last(), F.col("row")])
