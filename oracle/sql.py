@@ -97,7 +97,7 @@ FRESH = f"""SELECT (SELECT max(job_id) FROM jobs) + row_number() OVER (ORDER BY
     LEFT JOIN jobs j ON j.source_uuid = w.source_uuid AND j.source_version = w.source_version
         AND j.collection_key = w.collection_key AND j.job_type = w.job_type WHERE j.job_id IS NULL"""
 
-CLAIMABLE = f"""SELECT job_id FROM jobs WHERE state = 'pending' AND (locked_until IS NULL OR locked_until < {NOW})
+CLAIMABLE = f"""SELECT job_id FROM claim_list WHERE state = 'pending' AND (locked_until IS NULL OR locked_until < {NOW})
     ORDER BY priority DESC, job_id"""
 
 
@@ -106,7 +106,7 @@ def _claim(chosen: str) -> str:
         CASE WHEN c.job_id IS NULL THEN {TIME.format('locked_until')} ELSE '2024-02-01 00:10:00' END AS locked_until,
         attempts + (c.job_id IS NOT NULL)::BIGINT AS attempts,
         CASE WHEN c.job_id IS NULL THEN {TIME.format('updated_at')} ELSE {NOW_TEXT} END AS updated_at
-        FROM jobs j LEFT JOIN ({chosen}) c ON c.job_id = j.job_id"""
+        FROM claim_list j LEFT JOIN ({chosen}) c ON c.job_id = j.job_id"""
 
 
 def _supersede(extra: str) -> str:
@@ -118,6 +118,13 @@ def _supersede(extra: str) -> str:
 
 POINT = "content_uuid, chunk_index, hash, text_md5"
 
+ITEM_COLUMNS = f"""b.job_id, 'upsert' AS action, b.collection_key, sha256(b.collection_key || ':' || b.source_uuid || ':' || coalesce(b.source_version, '')) AS hash,
+    'application/x-xrm-sysentry-json' AS content_type, b.source_uuid AS content_uuid, b.source_version AS content_version, b.alias AS type_alias,
+    b.archive, CASE WHEN p.entry_id IS NULL THEN 0 ELSE 1 END AS public, t.tags, r.ref_uuids, n.name, b.entry_id, {ts('b.changed')},
+    b.entry_etag AS etag, b.alias AS type_table"""
+ITEM_TABLES = """LEFT JOIN publics p ON p.entry_id = b.entry_id LEFT JOIN taglists t ON t.entry_id = b.entry_id
+    LEFT JOIN reflists r ON r.entry_id = b.entry_id LEFT JOIN topnames n ON n.entry_id = b.entry_id"""
+
 BODIES: dict[str, str] = {
     "payload_rows": PAYLOADS,
     "enqueue_changed": f"SELECT uuid, etag, {ts('changed')}, collection_key FROM moved",
@@ -173,12 +180,8 @@ BODIES: dict[str, str] = {
     "retention_seen": """SELECT s.source_uuid, NULL::VARCHAR AS deleted_at FROM seen s
         WHERE NOT EXISTS (SELECT 1 FROM jobs j WHERE j.job_type = 'delete' AND j.source_uuid = s.source_uuid
         AND trim(j.collection_key) = s.last_seen_collection_key)""",
-    "item_build": f"""SELECT b.job_id, 'upsert' AS action, b.collection_key, sha256(b.collection_key || ':' || b.source_uuid || ':' || coalesce(b.source_version, '')) AS hash,
-        'application/x-xrm-sysentry-json' AS content_type, b.source_uuid AS content_uuid, b.source_version AS content_version, b.alias AS type_alias,
-        b.archive, CASE WHEN p.entry_id IS NULL THEN 0 ELSE 1 END AS public, t.tags, r.ref_uuids, n.name, b.entry_id, {ts('b.changed')},
-        b.entry_etag AS etag, b.alias AS type_table
-        FROM built b LEFT JOIN publics p ON p.entry_id = b.entry_id LEFT JOIN taglists t ON t.entry_id = b.entry_id
-        LEFT JOIN reflists r ON r.entry_id = b.entry_id LEFT JOIN topnames n ON n.entry_id = b.entry_id""",
+    "item_build": f"SELECT {ITEM_COLUMNS} FROM built b {ITEM_TABLES}",
+    "item_build_claimed": f"SELECT {ITEM_COLUMNS} FROM built b JOIN ({CLAIMABLE} LIMIT 1000) c ON c.job_id = b.job_id {ITEM_TABLES}",
     "item_size": f"""SELECT b.job_id, strlen('{{"sysentry":' || json_object('id', b.entry_id, 'uuid', b.source_uuid, 'type_id', b.type_id,
             'changed', {TIME.format('b.changed')}, 'created', {TIME.format('b.created')}, 'etag', b.entry_etag)::VARCHAR
         || ',"type":' || json_object('id', b.type_id, 'alias', b.alias, 'table', b.alias)::VARCHAR
@@ -248,6 +251,34 @@ BODIES: dict[str, str] = {
 }
 
 
+BODIES |= {
+    "embed_failures": """SELECT sha256('bag-of-words-64'::BLOB || '\\x00'::BLOB || encode(text)) AS cache_key,
+        CASE WHEN n % 7 = 0 OR n % 11 = 0 OR n % 13 = 0 THEN NULL ELSE 4 END AS dims,
+        CASE WHEN n % 7 = 0 THEN 'Embedding: refused' WHEN n % 11 = 0 THEN 'Embedding: empty vector'
+            WHEN n % 13 = 0 THEN 'Embedding: vector of 3 values where 4 are expected' END AS error
+        FROM (SELECT DISTINCT text, length(text) AS n FROM chunks)""",
+    "search_frame": """SELECT query_id, point_id, round(s, 4) AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, point_id) AS rank FROM
+        (SELECT q.point_id::VARCHAR AS query_id, p.point_id::VARCHAR AS point_id, round(list_cosine_similarity(p.v, q.v), 12) AS s
+            FROM embedding_points p, embedding_points q WHERE p.public = 1 AND p.archive = 0)) WHERE rank <= 5""",
+    "search_index_all": """SELECT query_id, point_id, round(s, 4) AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, point_id) AS rank FROM
+        (SELECT q.point_id::VARCHAR AS query_id, p.point_id::VARCHAR AS point_id, round(list_cosine_similarity(p.v, q.v), 12) AS s
+            FROM embedding_points p, embedding_points q WHERE q.point_id % 5 = 0)) WHERE rank <= 5""",
+    "lookup_many_hashes": "SELECT content_uuid, chunk_index, hash FROM points WHERE doc_id % 100 = 0",
+    "name_index_lookup": """SELECT p_name AS query_id, entry_id FROM (SELECT DISTINCT p_name, string_split(p_name, ' ') AS words FROM part) q,
+        (SELECT entry_id, regexp_extract_all(lower(name), '[\\p{L}\\p{N}]+') AS tokens FROM topnames) t WHERE list_has_all(tokens, words)""",
+    "name_index_prefix": """SELECT short AS query_id, entry_id FROM (SELECT DISTINCT left(split_part(p_name, ' ', 1), 2) || ' ' || left(split_part(p_name, ' ', 2), 2) AS short,
+            left(split_part(p_name, ' ', 1), 2) AS a, left(split_part(p_name, ' ', 2), 2) AS b FROM part) q,
+        (SELECT entry_id, regexp_extract_all(lower(name), '[\\p{L}\\p{N}]+') AS tokens FROM topnames) t
+        WHERE len(list_filter(tokens, lambda x: starts_with(x, a))) > 0 AND len(list_filter(tokens, lambda x: starts_with(x, b))) > 0""",
+    "cleanup_run": f"""WITH kept AS (SELECT CASE WHEN state = 'running' AND locked_until < {NOW} THEN 'pending' ELSE state END AS state FROM jobs
+            WHERE NOT (state = 'superseded' AND updated_at < {NOW} - INTERVAL 7 DAY)
+            AND NOT (state = 'done' AND updated_at < {NOW} - INTERVAL 30 DAY) AND NOT (state = 'error' AND updated_at < {NOW} - INTERVAL 90 DAY))
+        SELECT state, count(*) AS n, (SELECT count(*) FROM jobs) - (SELECT count(*) FROM kept) AS jobs,
+            (SELECT count(*) FROM seen s WHERE EXISTS (SELECT 1 FROM jobs j WHERE j.job_type = 'delete' AND j.source_uuid = s.source_uuid
+                AND trim(j.collection_key) = s.last_seen_collection_key)) AS seen,
+            (SELECT count(*) FROM jobs WHERE state = 'running' AND locked_until < {NOW}) AS freed FROM kept GROUP BY state""",
+}
+
 # The latest event per user is the state of the contact with that number.
 FEED = """SELECT upper(md5('contact:' || user_id::VARCHAR)) AS source_uuid, upper(md5('event:' || event_id::VARCHAR)) AS version, ts
     FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, upper(md5('event:' || event_id::VARCHAR)) DESC) AS r FROM events) WHERE r = 1"""

@@ -81,6 +81,15 @@ VIEWS: dict[str, str] = {
         1 + k % 3 AS priority, k % 7 AS attempts,
         CASE WHEN k % 4 = 1 THEN TIMESTAMP '2024-01-15 00:00:00' WHEN k % 4 = 3 THEN TIMESTAMP '2024-02-01 00:05:00' END AS locked_until,
         changed AS created_at, changed AS updated_at, CASE WHEN k % 10 = 7 THEN 'failed before' END AS error_message FROM every_entry""",
+    # The work list again with what a claim needs only: keys straight from the base tables.
+    "claim_keys": """SELECT 1 AS type_id, s_suppkey AS k FROM supplier UNION ALL SELECT 2, n_nationkey FROM nation JOIN region ON n_regionkey = r_regionkey
+        UNION ALL SELECT 3, c_custkey FROM customer UNION ALL SELECT 4, event_id FROM events UNION ALL SELECT 5, page_id FROM pages
+        UNION ALL SELECT 6, p_partkey FROM part UNION ALL SELECT 7, o_orderkey FROM orders UNION ALL SELECT 8, vec_id FROM embeddings
+        UNION ALL SELECT 9, r_regionkey FROM region UNION ALL SELECT DISTINCT 10, l_orderkey FROM lineitem UNION ALL SELECT 11, doc_id FROM documents""",
+    "claim_list": """SELECT type_id * 100000000::BIGINT + k AS job_id, 1 + k % 3 AS priority, k % 7 AS attempts,
+        CASE WHEN k % 10 < 5 THEN 'pending' WHEN k % 10 = 5 THEN 'running' WHEN k % 10 = 6 THEN 'done' WHEN k % 10 = 7 THEN 'error' ELSE 'superseded' END AS state,
+        CASE WHEN k % 4 = 1 THEN TIMESTAMP '2024-01-15 00:00:00' WHEN k % 4 = 3 THEN TIMESTAMP '2024-02-01 00:05:00' END AS locked_until,
+        TIMESTAMP '2024-01-01 00:00:00' + to_minutes((k % 40000)::INT) AS updated_at FROM claim_keys""",
     "moved": """SELECT e.uuid, e.etag, e.changed, coalesce(nullif(trim(t.alias), ''), 'default') AS collection_key
         FROM sysentry e JOIN systype t ON t.id = e.type_id WHERE e.changed > TIMESTAMP '2024-01-02 00:00:00'""",
     "gone": """SELECT s.source_uuid, s.last_seen_version, s.last_seen_collection_key AS collection_key

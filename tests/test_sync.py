@@ -277,3 +277,48 @@ def test_exhausted_jobs_go_on_request(spark):
     jobs = jobs.select("*", *(F.lit(None).cast(t.split()[1]).alias(t.split()[0]) for t in schemas.JOB.split(", ") if t.split()[0] not in jobs.columns))
     kept = worklist.retire(jobs, "2024-01-01 00:00:00", drop_exhausted=True).collect()
     assert sorted(r.job_id for r in kept) == [2, 3]
+
+
+def test_counters_are_kept_with_what_was_written(spark, store):
+    rows = spark.range(10).withColumn("part", F.col("id") % 2)
+    store.write("t", rows, by="part", run="one", counts={"rows": F.count("*"), "sum": F.sum("id")}, dims=7)
+    assert store.counts("t") == {"rows": 10, "sum": 45} and store.fact("t", "dims") == 7
+    store.write("t", rows.limit(1), by="part", run="one", counts={"rows": F.count("*")})
+    assert store.counts("t") == {"rows": 10, "sum": 45}
+    store.write("t", rows.limit(0), by="part", run="two", counts={"rows": F.count("*")})
+    assert store.counts("t") == {"rows": 0} and store.fact("t", "dims") == 7 and store.counts("none") == {}
+
+
+def test_vectors_of_another_length_fail_their_text(spark, store):
+    src = sources(spark, [(1, 1, 1, 10), (2, 2, 1, 10)])
+    sync.enqueue_run(store, src, "2024-02-01 00:00:00")
+    model = embed.bag_of_words(16)
+    sync.worker_run(store, src, "2024-02-01 01:00:00", model, MODEL, limits=BUCKETS, dims=16)
+    assert store.fact("vectors", "dims") == 16 and store.read("vectors", vectors.POINT).count() == 2
+    src = sources(spark, [(1, 1, 2, 20), (2, 2, 2, 20)])
+    sync.enqueue_run(store, src, "2024-02-01 02:00:00")
+    # Another model, with another length: the table's own length counts.
+    got = sync.worker_run(store, src, "2024-02-01 03:00:00", embed.bag_of_words(8), "other", limits=BUCKETS)
+    assert got == {"num_items_done": 0, "num_items_failed": 2, "num_chunks": 2, "num_vectors": 0}
+    messages = {r.error_message for r in store.read("jobs", schemas.JOB).filter("error_message IS NOT NULL").collect()}
+    assert messages == {"Embedding: vector of 8 values where 16 are expected"}
+
+
+def test_an_outage_of_the_model_is_no_ones_failure(spark):
+    def out(texts):
+        raise ConnectionError("no way to the model")
+
+    texts = spark.createDataFrame([("k", "some text")], "cache_key string, text string")
+    with pytest.raises(Exception, match="no way to the model"):
+        embed.embed_results(texts, out, MODEL).collect()
+
+
+def test_small_claims_read_their_payloads_only(spark, store):
+    src = sources(spark, [(n, 1 + (n + 1) % 2, 1, 10 + n) for n in range(1, 30)])
+    sync.enqueue_run(store, src, "2024-02-01 00:00:00")
+    got = work(store, src, "2024-02-01 01:00:00", claim=4)
+    assert got == {"num_items_done": 4, "num_items_failed": 0, "num_chunks": got["num_chunks"], "num_vectors": got["num_chunks"]}
+    assert {k[0] for k in points_of(store)} == {uid(n) for n in (1, 2, 3, 4)}
+    # A claim of jobs that no longer have an entry finds nothing to read.
+    gone = dataclasses.replace(src, entries=src.entries.filter("id > 20"))
+    assert work(store, gone, "2024-02-01 02:00:00", claim=3)["num_items_failed"] == 3

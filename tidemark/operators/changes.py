@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
-from tidemark.operators.ranking import bucketed_rank, take_first
+from tidemark.operators.ranking import ordered_rank, take_first
 from tidemark.sources.schemas import JOB, JOB_KEY, SEEN, columns
 
 MIN_INTERVAL_SECONDS = 900
@@ -142,14 +142,13 @@ def new_jobs(jobs: DataFrame, requests: DataFrame, now: str) -> DataFrame:
     """The requests not yet in the work list, as pending jobs with the next ids.
 
     A request without a version never equals an existing one. Ids follow the order of
-    change.
+    change: the new requests are written once, sorted, and an id is the place in a range
+    plus the rows of the ranges before.
     """
     fresh = requests.groupBy(*JOB_KEY).agg(F.min("changed").alias("changed"))
     fresh = fresh.join(jobs.select(*JOB_KEY), JOB_KEY, "left_anti")
-    ranked = bucketed_rank(
-        fresh,
-        changed_levels("source_uuid"),
-        [F.col("changed"), F.col("source_uuid"), F.col("source_version"), F.col("collection_key"), F.col("job_type")])
+    ranked = ordered_rank(
+        fresh, [F.col("changed"), F.col("source_uuid"), F.col("source_version"), F.col("collection_key"), F.col("job_type")])
     last_id = jobs.agg(F.coalesce(F.max("job_id"), F.lit(0).cast("bigint"))).scalar()
     none_ts = F.lit(None).cast("timestamp_ntz")
     return ranked.select(

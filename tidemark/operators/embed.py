@@ -16,10 +16,14 @@ Embedder = Callable[[list[str]], "list[list[float]] | np.ndarray"]
 CACHE = "cache_key string, model string, vector array<float>"
 RESULT = f"{CACHE}, error string"
 
-# What is said of a text that the model returns nothing for.
+# What is said of a text that the model returns nothing for, or a vector of another length.
 EMPTY_VECTOR = "Embedding: empty vector"
+WRONG_LENGTH = "Embedding: vector of {found} values where {wanted} are expected"
 ERROR_CHARS = 1000
 
+# Errors of the way to the model, not of a text: the task fails and Spark tries it again; no item is charged.
+OUTAGES = (ConnectionError, TimeoutError)
+
 _WORD = re.compile(r"[A-Za-z0-9]+")
 
 
@@ -60,26 +64,33 @@ def cache_misses(chunks: DataFrame, cache: DataFrame, model: str) -> DataFrame:
     return keyed.groupBy("cache_key").agg(F.first("text").alias("text")).join(known, "cache_key", "left_anti")
 
 
-def _vectors(embedder: Embedder, texts: list[str]) -> list[tuple[np.ndarray | None, str | None]]:
-    """Vector or error of each text. If a batch fails, its texts are tried one by one."""
+def _vectors(embedder: Embedder, texts: list[str], dims: int | None) -> list[tuple[np.ndarray | None, str | None]]:
+    """Vector or error of each text. If a batch fails, its texts are tried one by one; an outage is passed on."""
     try:
         found = [np.asarray(x, dtype=np.float32) for x in embedder(texts)]
         if len(found) != len(texts):
             raise ValueError(f"{len(found)} vectors for {len(texts)} texts")
-        return [(x, None) if x.size else (None, EMPTY_VECTOR) for x in found]
+    except OUTAGES:
+        raise
     except Exception as error:  # of any model: it is the text's failure, not the run's
         if len(texts) == 1:
             return [(None, f"Embedding: {error}"[:ERROR_CHARS])]
-        return [out for text in texts for out in _vectors(embedder, [text])]
+        return [out for text in texts for out in _vectors(embedder, [text], dims)]
+    return [
+        (None, EMPTY_VECTOR) if not x.size else
+        (x, None) if dims in (None, x.size) else (None, WRONG_LENGTH.format(found=x.size, wanted=dims)) for x in found]
+
 
+def embed_results(texts: DataFrame, embedder: Embedder, model: str, batch_size: int = 256, dims: int | None = None) -> DataFrame:
+    """Embed ``(cache_key, text)`` rows in Arrow batches; a text has a vector or an error.
 
-def embed_results(texts: DataFrame, embedder: Embedder, model: str, batch_size: int = 256) -> DataFrame:
-    """Embed ``(cache_key, text)`` rows in Arrow batches; a text has a vector or an error."""
+    With ``dims`` a vector of another length is an error of its text.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, batch_size):
                 part = batch.slice(start, batch_size)
-                vectors, errors = zip(*_vectors(embedder, part.column(1).to_pylist()))
+                vectors, errors = zip(*_vectors(embedder, part.column(1).to_pylist(), dims))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),

@@ -66,10 +66,14 @@ def delete_items(jobs: DataFrame) -> DataFrame:
         F.col("source_uuid").alias("content_uuid"), F.col("source_version").alias("content_version"))
 
 
-def _with_payload(jobs: DataFrame, entries: DataFrame, types: DataFrame, payloads: DataFrame, how: str) -> DataFrame:
-    upserts = jobs.filter("job_type = 'upsert'")
-    found = entries_of(upserts, entries, types).filter("entry_id > 0 AND dbtable <> ''")
-    return found.join(payloads, ["dbtable", "entry_id"], how)
+def _wanted(jobs: DataFrame, entries: DataFrame, types: DataFrame) -> DataFrame:
+    """Upsert jobs with their entry, where a payload row can be looked for."""
+    return entries_of(jobs.filter("job_type = 'upsert'"), entries, types).filter("entry_id > 0 AND dbtable <> ''")
+
+
+def claimed_entries(jobs: DataFrame, entries: DataFrame, types: DataFrame) -> DataFrame:
+    """``(dbtable, entry_id)`` of the payload rows that the upsert jobs of a claim need."""
+    return _wanted(jobs, entries, types).select("dbtable", "entry_id").distinct()
 
 
 def missing_payload(jobs: DataFrame, entries: DataFrame, types: DataFrame, keys: DataFrame) -> DataFrame:
@@ -77,7 +81,7 @@ def missing_payload(jobs: DataFrame, entries: DataFrame, types: DataFrame, keys:
 
     ``keys`` are the ``(dbtable, entry_id)`` pairs that have a payload row.
     """
-    built = _with_payload(jobs, entries, types, keys, "left_semi")
+    built = _wanted(jobs, entries, types).join(keys, ["dbtable", "entry_id"], "left_semi")
     return jobs.filter("job_type = 'upsert'").join(built.select("job_id"), "job_id", "left_anti")
 
 
@@ -99,7 +103,10 @@ def upsert_items(
     grouped. Leave it out when most entries are claimed: the cut would cost more than
     it saves.
     """
-    base = _with_payload(jobs, entries, types, payloads, "inner")
+    # The entry id alone names a payload row but for the table; joined on it, this join and those of
+    # the side tables share one partitioning, and the payload is moved once.
+    named = payloads.withColumnRenamed("dbtable", "_table")
+    base = _wanted(jobs, entries, types).join(named, "entry_id").filter("dbtable = _table").drop("_table")
 
     def of_batch(rows: DataFrame) -> DataFrame:
         return rows if batch is None else rows.join(batch, "entry_id", "left_semi")

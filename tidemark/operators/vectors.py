@@ -29,6 +29,13 @@ MODES = ("skip", "append", "replace")
 
 # A batch of query vectors travels with every task, so its size is bounded.
 QUERY_BYTES = 64 * 1024 * 1024
+# Values of one lookup that are pushed down to the scan one by one.
+PUSHED_VALUES = 500
+# What the files of the table are written with, so that a lookup by hash or entry reads few row groups.
+LOOKUP_OPTIONS = {
+    "parquet.bloom.filter.enabled#hash": "true", "parquet.bloom.filter.enabled#content_uuid": "true",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+}
 # Groups of tasks whose best rows of a query are merged before the last step.
 MERGE_GROUPS = 64
 
@@ -113,6 +120,26 @@ def visible(table: DataFrame, spec: dict | None = None) -> DataFrame:
 # -- lookups
 
 
+def pushed_equals(column: str, values: list) -> Column:
+    """``column`` is one of ``values``, as comparisons that each reach the files' statistics and bloom filters."""
+    tests = [F.col(column) == v for v in values] or [F.lit(False)]
+    while len(tests) > 1:
+        tests = [a | b for a, b in zip(tests[::2], tests[1::2])] + ([tests[-1]] if len(tests) % 2 else [])
+    return tests[0]
+
+
+def rows_with(table: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """The rows of a stored table whose ``column`` holds one of the values of ``wanted``.
+
+    Up to a bound the values are pushed down one by one, and most row groups are not read;
+    more of them are joined. Both give the same rows.
+    """
+    values = [r[0] for r in wanted.select(column).distinct().limit(PUSHED_VALUES + 1).collect()]
+    if len(values) > PUSHED_VALUES:
+        return table.join(wanted.select(column).distinct(), column, "left_semi").select(*table.columns)
+    return table.filter(pushed_equals(column, [v for v in values if v is not None]))
+
+
 def exists_by_hash(hashes: DataFrame, table: DataFrame) -> DataFrame:
     """Each distinct hash and whether the table holds it."""
     stored = table.select("hash").distinct().withColumn("_stored", F.lit(True))

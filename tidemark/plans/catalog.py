@@ -14,10 +14,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions import text
-from tidemark.operators import changes, chunks, embed, enrich, items, payload, ranking, vectors, worklist
+from tidemark.operators import (
+    changes, chunks, embed, enrich, items, names, payload, ranking, similarity, vectors, worklist)
 from tidemark.plans import sync
 from tidemark.session import work_dir
-from tidemark.sources.payloads import payload_keys, payload_union
+from tidemark.sources.payloads import of_claim, payload_keys, payload_union
 from tidemark.sources.schemas import JOB, SEEN
 from tidemark.sources.store import SnapshotStore
 from tidemark.sources.views import TYPES, Records
@@ -51,6 +52,13 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """A table written once to the shared folder and read back."""
+    path = work_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # -- sources
 
 
@@ -211,10 +219,7 @@ def _usable(r: Records) -> DataFrame:
     return worklist.accepted(r.jobs)
 
 
-@query
-def item_build(r: Records) -> DataFrame:
-    built = items.upsert_items(
-        _usable(r), r.sysentry, r.systype, payload_union(r.payloads), r.access, r.names, r.tags, r.links)
+def _item_columns(built: DataFrame) -> DataFrame:
     return built.select(
         "job_id", "action", "collection_key", "hash", "content_type", "content_uuid", "content_version",
         "type_alias", "archive", "public", "tags", "ref_uuids", "name",
@@ -222,6 +227,23 @@ def item_build(r: Records) -> DataFrame:
         F.col("content.sysentry.etag").alias("etag"), F.col("content.type.table").alias("type_table"))
 
 
+@query
+def item_build(r: Records) -> DataFrame:
+    return _item_columns(items.upsert_items(
+        _usable(r), r.sysentry, r.systype, payload_union(r.payloads), r.access, r.names, r.tags, r.links))
+
+
+@query
+def item_build_claimed(r: Records) -> DataFrame:
+    """The items of a claim of a thousand jobs, from the payload rows of that claim only."""
+    ids = worklist.claimable(r.jobs, NOW, 1000)
+    batch = written(worklist.accepted(r.jobs.join(ids, "job_id", "left_semi")), "batch")
+    claimed = written(items.claimed_entries(batch, r.sysentry, r.systype), "claimed")
+    payloads = payload_union(of_claim(r.payloads, claimed))
+    return _item_columns(items.upsert_items(
+        batch, r.sysentry, r.systype, payloads, r.access, r.names, r.tags, r.links, claimed.select("entry_id")))
+
+
 @query
 def item_size(r: Records) -> DataFrame:
     built = items.upsert_items(
@@ -365,6 +387,21 @@ def embed_chunks(r: Records) -> DataFrame:
         "cache_key", F.size("vector").alias("dims"), used.alias("buckets"), F.round(square, 3).alias("square"))
 
 
+def moody(texts: list[str]) -> list[list[float]]:
+    """A model that refuses some texts, gives nothing for others, and a shorter vector for a few."""
+    if any(len(t) % 7 == 0 for t in texts):
+        raise ValueError("refused")
+    return [[] if len(t) % 11 == 0 else [1.0] * (3 if len(t) % 13 == 0 else 4) for t in texts]
+
+
+@query
+def embed_failures(r: Records) -> DataFrame:
+    """Every distinct chunk under a model that fails on some: a vector or the reason why not."""
+    rows = chunks.chunk_rows(r.table("documents").select("doc_id", "text"))
+    found = embed.embed_results(embed.cache_misses(rows, r.spark.createDataFrame([], embed.CACHE), MODEL), moody, MODEL, dims=4)
+    return found.select("cache_key", F.size("vector").alias("dims"), "error")
+
+
 # -- payload rows
 
 
@@ -546,6 +583,59 @@ def search_many(r: Records) -> DataFrame:
     return found.select("query_id", "point_id", F.round("score", 4).alias("score"), "rank")
 
 
+@query
+def search_frame(r: Records) -> DataFrame:
+    """The best five visible points for every vector of the table."""
+    asked = r.table("embeddings").select(F.col("vec_id").cast("string").alias("query_id"), F.col("embedding").alias("vector"))
+    found = similarity.search_frame(embedding_points(r), asked, 5, 64, spec=vectors.VISIBLE)
+    return found.select("query_id", F.col("id").alias("point_id"), F.round("score", 4).alias("score"), "rank")
+
+
+@query
+def search_index_all(r: Records) -> DataFrame:
+    """The best five for every fifth vector by the inverted file, asking all of its lists."""
+    path = f"{work_dir(r.spark, 'index')}/lists"
+    centers = similarity.build_index(embedding_points(r), path, 16, 64)
+    asked = r.table("embeddings").filter("vec_id % 5 = 0").select(F.col("vec_id").cast("string").alias("query_id"), F.col("embedding").alias("vector"))
+    found = similarity.search_index(r.spark, path, centers, asked, 5, 64, probes=16)
+    return found.select("query_id", F.col("id").alias("point_id"), F.round("score", 4).alias("score"), "rank")
+
+
+@query
+def lookup_many_hashes(r: Records) -> DataFrame:
+    """The stored points of every hundredth document, by hash, from files laid out for that."""
+    path = f"{work_dir(r.spark, 'points')}/rows"
+    table = points(r)
+    table.repartitionByRange("content_uuid").sortWithinPartitions("content_uuid", "chunk_index").write.options(**vectors.LOOKUP_OPTIONS).parquet(path)
+    stored = r.spark.read.schema(table.schema).parquet(path)
+    entry = r.every_entry.filter("alias = 'text' AND k % 100 = 0")
+    wanted = entry.select(text.item_hash(F.lit("text"), F.col("uuid"), F.col("etag")).alias("hash"))
+    return vectors.rows_with(stored, "hash", wanted).select("content_uuid", "chunk_index", "hash")
+
+
+def _name_index(r: Records) -> str:
+    path = work_dir(r.spark, "names")
+    names.build_name_index(items.display_names(r.names), path, "entry_id")
+    return path
+
+
+@query
+def name_index_lookup(r: Records) -> DataFrame:
+    """All entries whose name holds all words of a product name, for every product name."""
+    asked = r.table("part").select(F.col("p_name").alias("query_id"), F.col("p_name").alias("query")).distinct()
+    found = names.lookup_names(r.spark, _name_index(r), asked)
+    return found.select("query_id", F.col("id").cast("long").alias("entry_id"))
+
+
+@query
+def name_index_prefix(r: Records) -> DataFrame:
+    """The same by the first two letters of each word."""
+    short = F.regexp_replace("p_name", r"([a-z]{2})[a-z]*", "$1")
+    asked = r.table("part").select(short.alias("query_id"), short.alias("query")).distinct()
+    found = names.lookup_names(r.spark, _name_index(r), asked, prefix=True)
+    return found.select("query_id", F.col("id").cast("long").alias("entry_id"))
+
+
 # -- whole runs
 
 
@@ -594,6 +684,17 @@ def run_summary(r: Records) -> DataFrame:
     return sync.run_summary(*_job_outcomes(r))
 
 
+@query
+def cleanup_run(r: Records) -> DataFrame:
+    """The counters of a cleanup, and what it leaves."""
+    store = SnapshotStore(r.spark, f"{work_dir(r.spark, 'cleanup')}/tables")
+    store.write("jobs", r.jobs, by="state")
+    store.write("seen", worklist.mark_deleted(r.seen, r.jobs.filter("job_type = 'delete'"), "2023-01-01 00:00:00"))
+    done = sync.cleanup_run(store, NOW)
+    left = store.read("jobs", JOB).groupBy("state").count()
+    return left.select("state", F.col("count").alias("n"), *[F.lit(done[c]).alias(c) for c in ("jobs", "seen", "freed")])
+
+
 # -- streaming
 
 

@@ -11,17 +11,18 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import changes, chunks, embed, enrich, items, payload, vectors, worklist
-from tidemark.sources.payloads import payload_keys, table_aliases
+from tidemark.sources.payloads import of_claim, payload_keys, table_aliases
 from tidemark.sources.schemas import JOB, SEEN
 from tidemark.sources.store import SnapshotStore, bucket_of
 from tidemark.sources.views import Sources
 
 REQUEST = "source_uuid string, source_version string, collection_key string, job_type string, changed timestamp_ntz"
+CLAIMED = "dbtable string, entry_id bigint"
 OUTCOME = "job_id bigint, ok boolean, message string, retry boolean"
 
 # A day between two cleanups.
@@ -38,7 +39,7 @@ class Limits:
     changed: int | None = None
     deleted: int | None = None
     claim: int | None = None
-    # Claims up to this size cut the side tables to the claimed entries first.
+    # Claims up to this size cut payload and side tables to the claimed entries first; their ids are broadcast.
     small_claim: int = 1_000_000
     buckets: int = 256
 
@@ -108,18 +109,22 @@ def next_seen(seen: DataFrame, requests: DataFrame, jobs: DataFrame, now: str, d
 # -- work off
 
 
-def enriched(src: Sources) -> DataFrame:
-    return enrich.enriched_union(src.payloads, table_aliases(src.types))
+def claim_tables(src: Sources, claimed: DataFrame | None) -> dict[str, DataFrame]:
+    """The payload tables, cut to a claim if there is one; a claim of nothing leaves empty tables."""
+    if claimed is None:
+        return src.payloads
+    return of_claim(src.payloads, claimed) or {name: rows.limit(0) for name, rows in src.payloads.items()}
 
 
-def item_rows(batch: DataFrame, src: Sources, small: bool = False) -> DataFrame:
-    """Enriched items of a batch of guarded upsert jobs."""
-    ids = None
-    if small:
-        wanted = batch.select(F.col("source_uuid").alias("uuid"))
-        ids = src.entries.withColumn("uuid", F.upper("uuid")).join(wanted, "uuid", "left_semi").select(F.col("id").alias("entry_id"))
-    return items.upsert_items(
-        batch, src.entries, src.types, enriched(src), src.access, src.names, src.tags, src.links, ids)
+def item_rows(batch: DataFrame, src: Sources, claimed: DataFrame | None = None) -> DataFrame:
+    """Enriched items of a batch of guarded upsert jobs.
+
+    ``claimed`` is the written table of ``items.claimed_entries`` of a small claim: with it,
+    payload and side tables are cut to the claim where they are scanned.
+    """
+    ids = None if claimed is None else claimed.select("entry_id")
+    payloads = enrich.enriched_union(claim_tables(src, claimed), table_aliases(src.types))
+    return items.upsert_items(batch, src.entries, src.types, payloads, src.access, src.names, src.tags, src.links, ids)
 
 
 def chunk_items(rows: DataFrame) -> DataFrame:
@@ -176,8 +181,14 @@ def worker_run(
     model: str,
     mode: str = "replace",
     limits: Limits = Limits(),
+    dims: int | None = None,
 ) -> dict:
-    """Claim jobs, carry them out on the vector table, and settle them; returns counters."""
+    """Claim jobs, carry them out on the vector table, and settle them; returns counters.
+
+    All vectors of the table have one length: the one remembered with it, else ``dims``. A
+    text that the model gives another length for has failed. The counters are taken as the
+    rows are written.
+    """
     if mode not in vectors.MODES:
         raise ValueError(f"mode must be one of {', '.join(vectors.MODES)}")
     run = f"work {now} {store.version('requests')}"
@@ -190,15 +201,18 @@ def worker_run(
     seen = store.read("seen", SEEN)
     flagged = worklist.flag_stale(worklist.accepted(batch), seen)
     live = flagged.filter("NOT is_stale").drop("is_stale")
-    small = limits.claim is not None and limits.claim <= limits.small_claim
+    claimed = None
+    if limits.claim is not None and limits.claim <= limits.small_claim:
+        store.write("claimed", items.claimed_entries(live, src.entries, src.types), run=run)
+        claimed = store.read("claimed", CLAIMED)
 
-    rows = item_rows(live, src, small)
+    rows = item_rows(live, src, claimed)
     skipped = live.select("job_id").limit(0)
     if mode == "skip":
         known = store.read("vectors", vectors.POINT).select("hash").distinct()
         skipped, rows = rows.join(known, "hash", "left_semi").select("job_id"), rows.join(known, "hash", "left_anti")
     cut = chunk_items(rows)
-    store.write("chunks", cut, run=run)
+    store.write("chunks", cut, run=run, counts={"num_chunks": F.count("*")})
     if mode == "skip":
         store.write("skipped", skipped, run=run)
         skipped = store.read("skipped", "job_id bigint")
@@ -206,31 +220,36 @@ def worker_run(
 
     misses = embed.cache_misses(cut, store.read("cache", embed.CACHE), model)
     part = f"{store.version('cache') + 1:08d}"
-    store.write("embedded", embed.embed_results(misses, embedder, model), run=run)
+    dims = store.fact("vectors", "dims") or dims
+    store.write("embedded", embed.embed_results(misses, embedder, model, dims=dims), run=run)
     results = store.read("embedded", embed.RESULT)
     fresh = results.filter("vector IS NOT NULL").drop("error").withColumn("part", F.lit(part))
     store.write("cache", fresh, by="part", touched=[part], run=run)
     embedded = embed.attach_vectors(cut, store.read("cache", embed.CACHE), model)
+    if dims:  # the cache may hold vectors of the model's older lengths
+        embedded = embedded.filter(F.size("vector") == dims)
     # Several steps below need these rows: they are made once.
     made = vectors.with_point_ids(payload.build_payload(embedded))
-    store.write("stored", made, run=run)
+    store.write("stored", made, run=run, counts={"num_vectors": F.count("*")})
     stored = store.read("stored", made.schema)
 
     deletes = items.delete_items(live)
     final = stored.join(lasting_upserts(live, mode), "job_id", "left_semi")
-    store_points(store, final, deletes, mode, limits.buckets, run)
+    store_points(store, final, deletes, mode, limits.buckets, run, dims)
 
-    missing = items.missing_payload(live, src.entries, src.types, payload_keys(src.payloads))
+    missing = items.missing_payload(live, src.entries, src.types, payload_keys(claim_tables(src, claimed)))
     upserts = live.filter("job_type = 'upsert'").select("job_id").join(missing.select("job_id"), "job_id", "left_anti")
     upserts = upserts.join(skipped, "job_id", "left_anti")
-    store.write("outcomes", outcomes_of(worklist.rejected(batch), missing, deletes, upserts, skipped, stored, embed.item_errors(cut, results, model)), run=run)
+    ended = outcomes_of(worklist.rejected(batch), missing, deletes, upserts, skipped, stored, embed.item_errors(cut, results, model))
+    store.write("outcomes", ended, run=run, counts={
+        "num_items_done": F.count_if("ok"), "num_items_failed": F.count_if(~F.col("ok"))})
     settled = store.read("outcomes", OUTCOME)
 
     running = worklist.drop_stale(store.read("jobs", JOB), flagged.filter("is_stale"), now)
     store.write("jobs", worklist.apply_outcomes(running, settled, now), by="state", run=f"{run} settle")
     acknowledged = live.filter("job_type = 'delete'").select("source_uuid", "collection_key")
     store.write("seen", worklist.mark_deleted(seen, acknowledged, now), run=run)
-    return run_summary(settled, cut, stored).first().asDict()
+    return {**store.counts("outcomes"), **store.counts("chunks"), **store.counts("stored")}
 
 
 # -- clean up
@@ -247,14 +266,20 @@ def cleanup_run(
     if not changes.should_run(last, now, min_seconds):
         return {"skipped": True, "jobs": 0, "seen": 0, "freed": 0}
     run = f"cleanup {last} {now}"
-    jobs, seen = store.read("jobs", JOB), store.read("seen", SEEN)
-    before = {"jobs": jobs.count(), "seen": seen.count(), "freed": jobs.filter("state = 'running'").count()}
-    store.write("jobs", worklist.retire(jobs, now, drop_exhausted=drop_exhausted), by="state", run=run)
-    store.write("seen", worklist.retire_seen(seen, now, deleted_days), run=run)
-    kept = store.read("jobs", JOB)
-    after = {"jobs": kept.count(), "seen": store.read("seen", SEEN).count(), "freed": kept.filter("state = 'running'").count()}
+    tables = {
+        "jobs": (JOB, lambda rows: worklist.retire(rows, now, drop_exhausted=drop_exhausted), "state",
+                 {"rows": F.count("*"), "running": F.count_if(F.col("state") == "running")}),
+        "seen": (SEEN, lambda rows: worklist.retire_seen(rows, now, deleted_days), None, {"rows": F.count("*")}),
+    }
+    gone = {}
+    for table, (schema, step, by, counts) in tables.items():
+        before = Observation()
+        rows = store.read(table, schema).observe(before, *[c.alias(name) for name, c in counts.items()])
+        store.write(table, step(rows), by=by, run=run, counts=counts, observed={"before_": before})
+        found = store.counts(table)
+        gone[table] = {name: found[f"before_{name}"] - found[name] for name in counts}
     store.save_cleanup(now)
-    return {"skipped": False, **{k: before[k] - after[k] for k in before}}
+    return {"skipped": False, "jobs": gone["jobs"]["rows"], "seen": gone["seen"]["rows"], "freed": gone["jobs"]["running"]}
 
 
 def lasting_upserts(jobs: DataFrame, mode: str) -> DataFrame:
@@ -271,10 +296,12 @@ def lasting_upserts(jobs: DataFrame, mode: str) -> DataFrame:
 
 
 def store_points(
-    store: SnapshotStore, rows: DataFrame, deletes: DataFrame, mode: str, buckets: int, run: str
+    store: SnapshotStore, rows: DataFrame, deletes: DataFrame, mode: str, buckets: int, run: str, dims: int | None = None
 ) -> None:
     """Write points into the buckets they and the deletes touch; other buckets stay as they are.
 
+    Files are sorted by entry and carry bloom filters, so that lookups skip row groups.
+
     The number of buckets is the table's own; ``buckets`` counts for a new table only. The
     write is rebalanced: a bucket with a hot entry is split over many tasks, small buckets
     share one.
@@ -293,4 +320,5 @@ def store_points(
     out = vectors.upsert(
         vectors.delete_matching(table, deletes), rows.select(*columns), "append" if mode == "skip" else mode)
     out = out.withColumn("bucket", bucket).hint("rebalance", F.col("bucket"))
-    store.write("vectors", out.sortWithinPartitions("bucket", "content_uuid", "chunk_index"), by="bucket", touched=names, run=run, buckets=buckets)
+    store.write("vectors", out.sortWithinPartitions("bucket", "content_uuid", "chunk_index"), by="bucket", touched=names, run=run, buckets=buckets,
+                options=vectors.LOOKUP_OPTIONS, **({"dims": dims} if dims else {}))

@@ -15,7 +15,7 @@ import json
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,19 +97,31 @@ class SnapshotStore:
         touched: list[str] | None = None,
         run: str | None = None,
         buckets: int | None = None,
+        counts: dict[str, Column] | None = None,
+        observed: dict[str, Observation] | None = None,
+        options: dict[str, str] | None = None,
+        **facts: object,
     ) -> int:
         """Write the next snapshot and swap the pointer.
 
         ``touched`` names the partitions that ``rows`` replaces; ``None`` replaces all.
         ``run`` names the caller's step: writing the same step again changes nothing.
-        ``buckets`` is remembered with the table if its partitions are numbered buckets.
+        ``buckets`` is remembered with the table if its partitions are numbered buckets, and so
+        are further ``facts`` of the table. ``counts`` are aggregates of the rows, taken as they
+        are written, and ``observed`` further ones that the caller attached to what the rows are
+        made from; ``self.counts`` gives them back, also when the step is repeated.
+        ``options`` go to the Parquet writer.
         """
         current = self.pointer(table) or {"version": 0, "paths": {}, "by": by, "runs": []}
         if run is not None and run in current["runs"]:
             return current["version"]
         version = current["version"] + 1
         base = f"{self.root}/{table}/v{version:08d}"
-        writer = rows.write.mode("overwrite")
+        seen = dict(observed or {})
+        if counts:
+            seen[""] = Observation()
+            rows = rows.observe(seen[""], *[c.alias(name) for name, c in counts.items()])
+        writer = rows.write.mode("overwrite").options(**(options or {}))
         (writer.partitionBy(by) if by else writer).parquet(base)
         if by:
             paths = {} if touched is None else {
@@ -121,10 +133,22 @@ class SnapshotStore:
         runs = [*current["runs"], run][-REMEMBERED_RUNS:] if run else current["runs"]
         self._write_json(
             f"{self.root}/{table}/current.json",
-            {"version": version, "paths": paths, "by": by, "runs": runs, "buckets": buckets or current.get("buckets")},
+            {
+                "version": version, "paths": paths, "by": by, "runs": runs, "buckets": buckets or current.get("buckets"),
+                "facts": {**current.get("facts", {}), **facts},
+                "counts": {f"{prefix}{name}": n for prefix, o in seen.items() for name, n in o.get.items()},
+            },
         )
         return version
 
+    def counts(self, table: str) -> dict[str, int]:
+        """The aggregates that were taken when the current snapshot was written."""
+        return (self.pointer(table) or {}).get("counts", {})
+
+    def fact(self, table: str, name: str):
+        """What was remembered with the table under this name."""
+        return (self.pointer(table) or {}).get("facts", {}).get(name)
+
     def _partition_paths(self, base: str, by: str) -> dict[str, str]:
         fs, target = self._fs(base)
         found = {}
