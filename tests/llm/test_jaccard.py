@@ -116,6 +116,43 @@ def test_every_link_is_counted(spark, block):
             items.append((len(items), " ".join(text)))
     items += [(100, None), (101, ""), (102, "alone in the world it stands"), (None, items[0][1]), (3, items[50][1])]
     df = spark.createDataFrame(items, "doc_id long, text string").repartition(5)
-    found = jaccard.classes(df, block)
-    assert sorted(((r.doc_id, r.n_links) for r in found.collect()), key=str) == brute_links(items)
-    assert got(jaccard.groups(df, block)) == brute(items)
+    found = jaccard.classes(df, block, jaccard.INNER if block > 7 else 9).collect()
+    assert sorted(((r.doc_id, r.n_links) for r in found), key=str) == brute_links(items)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found), key=str) == brute(items)
+
+
+def test_sets_of_all_lengths_are_held_against_each_other():
+    rng = np.random.default_rng(8)
+    sets = []
+    for size in (5, 60, 250, 300, 1100, 5000):
+        base = rng.integers(0, 1 << 64, size, dtype=np.uint64)
+        sets += [np.unique(np.concatenate([rng.choice(base, int(size * share), replace=False), rng.integers(0, 1 << 64, size // 20, dtype=np.uint64)]))
+                 for share in rng.uniform(0.9, 1, 9)]
+    copies = rng.integers(1, 5, len(sets))
+    linked = np.array([[i != j and 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b)) for j, b in enumerate(sets)] for i, a in enumerate(sets)])
+    assert linked.sum() > 50
+    assert (jaccard.linked_rows(sets, copies, None) == linked @ copies).all()
+    asks = rng.random(len(sets)) < 0.5
+    apart = linked & (asks[:, None] != asks[None, :])
+    assert (jaccard.linked_rows(sets, copies, asks) == apart @ copies).all()
+
+
+def test_one_document_stays_whatever_its_id(spark):
+    """Rows are known by id and text: unrelated texts under one id, and texts without an id."""
+    rng = random.Random(2)
+    a, b = " ".join(prose(rng, 50)), " ".join(prose(rng, 50))
+    near = a + " x"
+    rows_ = [(1, a), (2, near), (2, b), (None, a), (None, near), (None, "alone without any other text here"), (3, b), (3, b), (None, None), (None, None), (4, None), (4, "")]
+    df = spark.createDataFrame(rows_, "doc_id long, text string").repartition(3)
+    kept = sorted(((r.doc_id, r.text) for r in jaccard.keep_one(df).collect()), key=str)
+    assert kept == sorted([(1, a), (2, b), (None, "alone without any other text here"), (None, None), (4, None), (4, "")], key=str)
+    names = spark.createDataFrame([(1, a, 5, 6, "n"), (2, a, 7, 8, "m")], "doc_id int, text string, key long, node long, first string")
+    assert [tuple(r) for r in jaccard.keep_one(names).collect()] == [(1, a, 5, 6, "n")]
+
+
+def test_text_key_is_the_hash_of_the_column(spark):
+    from pyspark.sql import functions as F
+
+    texts = ["", "a", "é中😀", "x" * 999, None]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(F.xxhash64("t").alias("h")).collect()
+    assert [r.h for r in got][:4] == [jaccard.text_key(t) for t in texts[:4]] and jaccard.text_key(None) is None

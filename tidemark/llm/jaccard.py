@@ -7,19 +7,25 @@ finds the pairs that may be similar enough, and their sets decide.
 
 Neighbourhoods come from prefixes: under any one order of all shingles, two sets that are
 similar enough share one of their first ``n - ceil(0.8 n) + 1``. The order puts shingles
-first that are not known to be frequent. Equal sets are one node. ``links`` searches every
-neighbourhood by tree, in pairs of blocks where it is large, and finds every linked pair:
-its cost and its result grow with the square of a crowd of near copies.
+first that are not known to be frequent. Equal sets are one node.
 
-``keep_one`` needs components only. First each node is held against one node of each of its
-neighbourhoods, a different one in each: the most likely one, then the others that are not
-in its component yet. Where that joins a whole neighbourhood nothing is left to search. The
-rest is searched for pairs between the components so far. So a crowd of near copies costs
-about its number of shingles there, and no link between components is lost.
+Components come first. Each node is held against one node of each of its neighbourhoods, a
+different one in each: the most likely one, then the others that are not in its component
+yet. Where that joins a whole neighbourhood nothing is left to search. The rest is searched
+by tree, in pairs of blocks where it is large, for pairs between the components so far. So a
+crowd of near copies costs about its number of shingles there, and no link between
+components is lost.
+
+All links lie inside components. ``classes`` counts them there: the sets of a component, or
+of two of its blocks, meet in one task, a tree gives each the ones it may be linked with,
+and the sets decide. Every pair meets once, so only a number per set and task goes out and
+no pair is ever a row. That count compares a crowd of near copies with itself.
 
 Documents without words are linked with nothing. A null id is larger than all others: a
-component of null ids only has none. Rows with equal ids are documents of their own. Sets
-are told apart by a 64-bit hash. An empty table gives an empty result.
+component of null ids only has none. Rows with equal ids are documents of their own; rows
+equal in id and text stay or go together. Sets are told apart by a 64-bit hash. An empty
+table gives an empty result. Columns other than ``doc_id`` and ``text`` are never looked at,
+whatever they are called.
 """
 
 from __future__ import annotations
@@ -30,10 +36,11 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrow import chunks, documents, forget, free_shuffles, per_document, stored
+from tidemark.llm.arrow import batches_of, chunks, documents, forget, free_shuffles, per_document, stored
 from tidemark.llm.graph import components
 from tidemark.llm.repeats import partitions, whole_groups
 from tidemark.llm.shingles import mixed, shingle_sets
@@ -53,6 +60,12 @@ COUNTED_BYTES = 2_000_000
 FREQUENT, OFTEN = 1 << 17, 4
 # Nodes of one block of a neighbourhood; points of one leaf.
 BLOCK, LEAF = 4096, 32
+# Rows of neighbourhoods with one first node that share a task.
+TASK_ROWS = 2000
+# Nodes of one block of a component, and shingles of one.
+INNER, INNER_SHINGLES = 512, 500_000
+# Shingles that are held against a set at once; pairs of sets of one Arrow batch.
+HELD, VERIFIED_ROWS = 500_000, 100
 
 
 def prefix_size(n: int) -> int:
@@ -71,13 +84,19 @@ def node_of(found: np.ndarray) -> int:
     return int(mixed(mixed(x[:1]) + y + x[1:]).astype(np.int64)[0])
 
 
+def text_key(text: str | None) -> int | None:
+    """What ``F.xxhash64`` gives for a text."""
+    h = xxhash.xxh64_intdigest((text or "").encode(), seed=42)
+    return None if text is None else h - (1 << 64) if h >> 63 else h
+
+
 def sets_of(docs: DataFrame) -> DataFrame:
-    """``doc_id, n, node, text`` per row, and rows of ``hash, times`` with the shingles that are frequent in a chunk.
+    """``doc_id, n, node, text, key`` per row, and rows of ``hash, times`` with the shingles that are frequent in a chunk.
 
-    The text is there once per set and task.
+    The text is there once per set and task. The key is its hash in every row.
     """
-    names = ["doc_id", "n", "node", "text", "hash", "times"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
+    names = ["doc_id", "n", "node", "text", "hash", "times", "key"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
 
     def task(batches):
         seen: set[int] = set()
@@ -90,10 +109,11 @@ def sets_of(docs: DataFrame) -> DataFrame:
             h, times = np.unique(np.concatenate(sets), return_counts=True)
             h, times = h[times >= OFTEN].astype(np.int64), times[times >= OFTEN]
             blank, none = [None] * len(h), [None] * len(ids)
-            columns = [*([*c, *blank] for c in (ids, [len(s) for s in sets], nodes, fresh)), [*none, *h.tolist()], [*none, *times.tolist()]]
+            columns = [*([*c, *blank] for c in (ids, [len(s) for s in sets], nodes, fresh)), [*none, *h.tolist()], [*none, *times.tolist()],
+                       [*map(text_key, texts), *blank]]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
-    return documents(docs).mapInArrow(task, "doc_id long, n long, node long, text string, hash long, times long")
+    return documents(docs).mapInArrow(task, "doc_id long, n long, node long, text string, hash long, times long, key long")
 
 
 def frequent(found: DataFrame, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
@@ -293,15 +313,15 @@ def bounded(pairs: DataFrame, at: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, at: DataFrame) -> DataFrame:
-    """The pairs whose sets are similar enough; ``at`` holds ``node, shingles``."""
+    """The pairs whose sets are similar enough, written; ``at`` holds ``node, shingles``."""
     left = pairs.select("a", "b").join(at.select(F.col("node").alias("a"), F.col("shingles").alias("s_a")), "a")
     both = left.join(at.select(F.col("node").alias("b"), F.col("shingles").alias("s_b")), "b").select("a", "b", "s_a", "s_b")
 
     def task(batches):
         for batch in batches:
             kept = []
-            for i, (x, y) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 if len(x) > len(y):
                     x, y = y, x
                 shared = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
@@ -309,7 +329,8 @@ def verified(pairs: DataFrame, at: DataFrame) -> DataFrame:
                     kept.append(i)
             yield pa.RecordBatch.from_arrays([batch.column(i).take(pa.array(kept, pa.int64())) for i in (0, 1)], names=["a", "b"])
 
-    return both.mapInArrow(task, "a long, b long")
+    with batches_of(pairs.sparkSession, VERIFIED_ROWS):
+        return stored(both.mapInArrow(task, "a long, b long"), "links")
 
 
 def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -325,7 +346,11 @@ def searched(members: DataFrame, roots: DataFrame, at: DataFrame, block: int = B
         members.select("sign", "node").join(roots, "node", "left").select("sign", "node", F.coalesce("root", "node").alias("root")), "placed")
     split = placed.groupBy("sign").agg(
         F.min("root").alias("least"), F.max("root").alias("most"), F.min("node").alias("first"),
-        F.ceil(F.count("*") / block).cast("int").alias("blocks")).filter("least <> most").select("sign", "first", "blocks")
+        F.ceil(F.count("*") / block).cast("int").alias("blocks"), F.count("*").alias("size")).filter("least <> most")
+    # Neighbourhoods with the same first node share many pairs: a task sends each of them once. Where they
+    # have many rows, all of them are cut into the same blocks, so that this still holds.
+    shares = split.groupBy("first").agg(F.ceil(F.sqrt(F.sum("size") * 2 / TASK_ROWS)).cast("int").alias("shares"))
+    split = split.join(shares, "first").select("sign", "first", F.greatest("blocks", "shares").alias("blocks"))
     rows = placed.join(split, "sign").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn(
         "with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.join(at.select("node", "n", "counts"), "node").select(
@@ -362,7 +387,6 @@ def searched(members: DataFrame, roots: DataFrame, at: DataFrame, block: int = B
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
 
-    # Neighbourhoods with the same first node share many pairs: one task sends each of them once.
     return rows.repartition(partitions(at), "task").sortWithinPartitions("key").mapInArrow(task, "a long, b long").distinct()
 
 
@@ -399,7 +423,7 @@ def prepared(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFram
     spark = docs.sparkSession
     made = work_dir(spark, "shingle-sets")
     counted = stored(sets_of(docs), "shingle-sets", made)
-    rows = stored(counted.filter("hash is null").select("doc_id", "n", "node"), "rows")
+    rows = stored(counted.filter("hash is null").select("doc_id", "n", "node", "key"), "rows")
     common = frequent(counted)
     texts = distinct_texts(counted)
     forget(spark, made)
@@ -408,14 +432,6 @@ def prepared(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFram
     return rows, texts, members, points(texts, members.select("node").distinct())
 
 
-def links(texts: DataFrame, members: DataFrame, at: DataFrame, block: int = BLOCK) -> DataFrame:
-    """``a, b``: every pair of nodes whose sets are similar enough, once."""
-    alone = texts.sparkSession.createDataFrame([], "node long, root long")
-    found = stored(searched(members, alone, at, block), "found")
-    free_shuffles(texts.sparkSession)
-    return stored(verified(found, sets_for(texts, found)), "links")
-
-
 def spanning(texts: DataFrame, members: DataFrame, at: DataFrame, block: int = BLOCK) -> DataFrame:
     """``a, b``: as many linked pairs of nodes as the components need, not all of them."""
     spark = texts.sparkSession
@@ -423,57 +439,133 @@ def spanning(texts: DataFrame, members: DataFrame, at: DataFrame, block: int = B
     free_shuffles(spark)
     sets = sets_for(texts, led)
     first = stored(led.groupBy("a").agg(F.max_by("b", F.struct("near", "b")).alias("b")), "first")
-    links = stored(verified(first, sets), "links")
+    links = verified(first, sets)
     roots = stored(components(links), "roots")
     others = led.join(first, ["a", "b"], "left_anti")
-    links = links.unionByName(stored(verified(apart(others, roots), sets), "links"))
+    links = links.unionByName(verified(apart(others, roots), sets))
     roots = stored(components(links), "roots")
     # Pairs that were held against each other before need not be again.
     tried = led.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     found = stored(searched(members, roots, at, block).join(tried, ["a", "b"], "left_anti"), "found")
     free_shuffles(spark)
-    return links.unionByName(stored(verified(found, sets_for(texts, found)), "links"))
+    return links.unionByName(verified(found, sets_for(texts, found)))
+
 
+def inner_links(texts: DataFrame, named: DataFrame, inner: int = INNER) -> DataFrame:
+    """``node, beyond``: the rows of other sets that each node of a component is linked with.
 
-def membership(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, node`` of every row; without words the node is null."""
+    ``named`` holds ``node, root, copies, n`` of all nodes with links. A component is cut into
+    blocks; each pair of blocks is one task's work, so that each pair of nodes meets once.
+    """
+    cut = named.groupBy("root").agg(
+        F.greatest(F.ceil(F.count("*") / inner), F.ceil(F.sum("n") / INNER_SHINGLES)).cast("int").alias("blocks"))
+    placed = named.join(cut, "root").select("node", "root", "copies", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), "blocks")
+
+    def sets(ids, found):
+        return ids, [s.tobytes() for s in shingle_sets(found)]
+
+    made = per_document(texts.join(named.select("node"), "node", "left_semi").select(F.col("node").alias("doc_id"), "text"), sets, "node long, shingles binary")
+    met = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    rows = made.join(placed, "node").withColumn("with", met).select(
+        F.xxhash64("root", F.least("block", "with"), F.greatest("block", "with")).alias("key"),
+        (F.col("block") == F.col("with")).alias("same"), (F.col("block") < F.col("with")).alias("asks"), "node", "copies", "shingles")
+    # A component of one block meets itself; of several, each block meets itself and every other one.
+    def task(batches):
+        for columns in whole_groups(batches, INNER_SHINGLES * 16):
+            key, same, asks, node, copies = (columns[k].to_numpy(zero_copy_only=False) for k in range(5))
+            cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
+            for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                own = [np.frombuffer(columns[5][i].as_buffer(), np.uint64) for i in range(low, high)]
+                beyond = linked_rows(own, copies[low:high], None if same[low] else asks[low:high])
+                some = np.flatnonzero(beyond)
+                if len(some):
+                    yield pa.RecordBatch.from_arrays([pa.array(node[low:high][some]), pa.array(beyond[some])], names=["node", "beyond"])
+
+    with batches_of(texts.sparkSession, VERIFIED_ROWS):
+        found = stored(rows.repartition(partitions(texts), "key").sortWithinPartitions("key").mapInArrow(task, "node long, beyond long"), "beyond")
+    return found.groupBy("node").agg(F.sum("beyond").alias("beyond"))
+
+
+def linked_rows(sets: list[np.ndarray], copies: np.ndarray, asks: np.ndarray | None) -> np.ndarray:
+    """For each set the copies of all sets that it is linked with; ``asks`` marks the sets of the first of two blocks."""
+    n = np.array([len(s) for s in sets], np.int64)
+    counts = [count_vector(s) for s in sets]
+    groups = np.array([2 * len(c) for c in counts])
+    places = {int(g): np.flatnonzero(groups == g) for g in np.unique(groups)}
+    matrices = {g: unpacked(b"".join(counts[p].tobytes() for p in at.tolist()), len(at)) for g, at in places.items()}
+    trees: dict[tuple[int, int], Tree] = {}
+    out = np.zeros(len(sets), np.int64)
+    for mine, at in places.items():
+        ask = np.arange(len(at)) if asks is None else np.flatnonzero(asks[at])
+        for other in {mine // 2, mine, mine * 2} & places.keys() if len(ask) else ():
+            low, there = min(mine, other), places[other]
+            if (other, low) not in trees:
+                trees[other, low] = Tree(folded(matrices[other], low), n[there], there)
+            vectors = folded(matrices[mine][ask], low)
+            for q, vector in zip(at[ask].tolist(), vectors):
+                near = there[trees[other, low].near(vector, int(n[q]), q)]
+                near = near[near > q] if asks is None else near[~asks[near]]
+                for part in np.array_split(near, int(n[near].sum()) // HELD + 1):
+                    if not len(part):
+                        continue
+                    all_ = np.concatenate([sets[p] for p in part.tolist()])
+                    hits = sets[q][np.minimum(np.searchsorted(sets[q], all_), len(sets[q]) - 1)] == all_
+                    shared = np.add.reduceat(hits, np.concatenate([[0], np.cumsum(n[part])[:-1]]), dtype=np.int64)
+                    linked = part[shared >= least_shared(n[q], n[part])]
+                    out[q] += copies[linked].sum()
+                    out[linked] += copies[q]
+    return out
+
+
+def named_nodes(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """``node, root, n, copies, first``: the nodes with their component and the first row of each, smallest id first."""
     roots = stored(components(links), "roots")
-    named = rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).join(roots, "node", "left") \
-        .select("node", "least", F.coalesce("root", "node").alias("root"))
-    named = stored(named, "nodes")
-    ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_node = named.join(ids, "root").select("node", "component_id")
-    linked = rows.filter("node is not null").join(by_node, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "node")
-    return linked.unionByName(rows.filter("node is null").select(
-        "doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), "node"))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    found = rows.filter("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.count("*").alias("copies"), F.min(first).alias("first"))
+    return stored(found.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "n", "copies", "first"), "nodes")
+
+
+def membership(rows: DataFrame, named: DataFrame) -> DataFrame:
+    """``doc_id, key, n_shingles, component_id, first, node`` of every row; without words the node is null."""
+    firsts = named.groupBy("root").agg(F.min("first").alias("first"))
+    by_node = named.select("node", "root").join(firsts, "root").select("node", "first")
+    linked = rows.filter("node is not null").join(by_node, "node").select(
+        "doc_id", "key", F.col("n").alias("n_shingles"), F.col("first.doc_id").alias("component_id"), "first", "node")
+    alone = rows.filter("node is null").select(
+        "doc_id", "key", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"),
+        F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key").alias("first"), "node")
+    return linked.unionByName(alone)
 
 
-def classes(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+def classes(docs: DataFrame, block: int = BLOCK, inner: int = INNER) -> DataFrame:
     """``doc_id, n_shingles, component_id, n_links`` of every row.
 
     ``n_links`` is the number of other rows that the row is linked with, those of equal sets
     included.
     """
-    rows, texts, members, at = prepared(docs)
-    found = links(texts, members, at, block)
-    copies = stored(rows.filter("node is not null").groupBy("node").agg(F.count("*").alias("copies")), "copies")
-    both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    beyond = both.join(copies.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("beyond"))
-    counts = copies.join(beyond, "node", "left").select("node", (F.col("copies") - 1 + F.coalesce("beyond", F.lit(0))).alias("n_links"))
-    return membership(rows, found).join(counts, "node", "left").select(
+    rows, texts, *parts = prepared(docs)
+    named = named_nodes(rows, spanning(texts, *parts, block))
+    several = named.groupBy("root").count().filter("count > 1").select("root")
+    free_shuffles(docs.sparkSession)
+    beyond = inner_links(texts, stored(named.join(several, "root", "left_semi"), "inner"), inner)
+    counts = named.join(beyond, "node", "left").select("node", (F.col("copies") - 1 + F.coalesce("beyond", F.lit(0))).alias("n_links"))
+    return membership(rows, named).join(counts, "node", "left").select(
         "doc_id", "n_shingles", "component_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def groups(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row, without looking for links inside components."""
-    rows, *parts = prepared(docs)
-    return membership(rows, spanning(*parts, block)).drop("node")
+    """``doc_id, key, n_shingles, component_id, first, node`` of every row, without counting links."""
+    rows, texts, *parts = prepared(docs)
+    return membership(rows, named_nodes(rows, spanning(texts, *parts, block)))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each component, that of the smallest id, with all its columns.
 
-    Rows equal in id and text are one document. Null ids stay.
+    A row is known by its id and its text, so repeated and null ids make no difference: a
+    null id comes after all others. Rows equal in id and text are one document.
     """
-    gone = groups(docs).filter("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    here = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    gone = groups(docs).filter(here != F.col("first")).select(F.col("doc_id").alias("_gone_id"), F.col("key").alias("_gone_key")).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_gone_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_gone_key"))
+    return docs.join(gone, same, "left_anti").select(*docs.columns).dropDuplicates(["doc_id", "text"])
