@@ -1,5 +1,7 @@
 import zlib
 
+import numpy as np
+
 from tests.conftest import SF_SMALL
 from tests.llm.cases import empty, frame
 from tidemark.llm import langid
@@ -38,3 +40,37 @@ def test_empty_and_unlabelled(spark):
     plain = spark.createDataFrame([(1, "words", None)], "doc_id long, text string, lang string")
     assert [(r.lang_pred, r.score) for r in langid.identify(plain).collect()] == [("und", 0.0)]
     assert langid.keep_known(plain).count() == 1
+
+
+def test_folded_matrix_equals_plain_kernel_ridge(spark):
+    """With every learned text as a landmark the map is exact: the same outputs as kernel ridge on the whole kernel."""
+    docs = spark.read.parquet(SF_SMALL + "/documents.parquet").filter("n_chars between 40 and 1800").select("doc_id", "text", "lang").collect()
+    names, matrix = langid.fit(spark.createDataFrame(docs, "doc_id long, text string, lang string"), landmarks=10_000)
+    learned = [d for d in docs if zlib.crc32(str(d.doc_id).encode()) % 4 != 2]
+
+    def grams(text):
+        """The hashed n-grams of a text, one by one."""
+        raw = f" {langid.OTHER.sub(' ', text.lower())} ".encode()
+        out = set()
+        for n in langid.SPECTRUM:
+            for i in range(len(raw) - n + 1):
+                code = 1
+                for b in raw[i:i + n]:
+                    code = (code << 8) | b
+                out.add((code * int(langid.MIX) & (1 << 64) - 1) >> 64 - langid.BITS)
+        return out
+
+    sets = {d.text: grams(d.text) for d in docs}
+
+    def kernel(a, b):
+        return np.array([[len(sets[x.text] & sets[y.text]) / np.sqrt(len(sets[x.text]) * len(sets[y.text])) for y in b] for x in a])
+
+    sizes = {n: sum(d.lang == n for d in learned) for n in names}
+    weight = np.array([sizes[d.lang] for d in learned], float)
+    y = np.array([[1.0 if d.lang == n else -1.0 for n in names] for d in learned])
+    solved = np.linalg.solve(kernel(learned, learned) + 1 + np.diag(weight) * langid.RIDGE * len(names) / len(learned), y)
+    asked = docs[:60]
+    want = (kernel(asked, learned) + 1) @ solved
+    got = langid.normalised(langid.presence([d.text for d in asked])) @ matrix[:-1] + matrix[-1]
+    assert len(learned) > 40 and np.abs(got - want).max() < 0.02
+    assert (got.argmax(axis=1) == want.argmax(axis=1)).all()

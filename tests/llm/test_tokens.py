@@ -63,6 +63,25 @@ def test_offsets_of_split_characters():
     assert own.decode(part) == "\U0001f9ff".encode()[:len(own.decode(part))]
 
 
+def test_offsets_of_every_row(spark):
+    lib = reference()
+    found = bpe.encode_with_offsets(frame(spark), RANKS, P.PATTERN).collect()
+    assert sorted(str(r.doc_id) for r in found) == sorted(str(i) for i, *_ in rows())
+    texts = {}
+    for i, t, *_ in rows():
+        texts.setdefault(i, []).append(t or "")
+    for r in found:
+        raw = [t for t in texts[r.doc_id] if np.array(lib.encode_ordinary(t), "<u4").tobytes() == bytes(r.ids)]
+        text, at = raw[0], r.byte_offsets
+        assert len(at) == r.n_tokens + 1 and at[0] == 0 and at[-1] == len(text.encode())
+        ids = np.frombuffer(r.ids, "<u4").tolist()
+        assert [text.encode()[a:b] for a, b in zip(at[:-1], at[1:])] == [lib.decode_single_token_bytes(i) for i in ids]
+        for low, high, a, b in zip(r.char_starts, r.char_ends, at[:-1], at[1:]):
+            # The least run of characters that holds the token's bytes.
+            assert len(text[:low].encode()) <= a < len(text[:low + 1].encode()) and len(text[:high - 1].encode()) < b <= len(text[:high].encode())
+    assert bpe.encode_with_offsets(empty(spark), RANKS, P.PATTERN).collect() == []
+
+
 def test_best_fit_by_tree_equals_search():
     rng = random.Random(2)
     sizes = [rng.randrange(1, 65) for _ in range(500)]

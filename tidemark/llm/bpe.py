@@ -6,7 +6,8 @@ of a character only: ``char_offsets`` then covers the whole character, and ``dec
 joins the bytes before it reads them as text.
 
 A null or empty text has no ids and decodes to the empty text. Rows with equal or null
-ids are coded each on its own. An empty table gives an empty result.
+ids are coded each on its own. An empty table gives an empty result. Columns other than
+``doc_id`` and ``text`` are left out, whatever they are called.
 """
 
 from __future__ import annotations
@@ -118,12 +119,16 @@ class Coder:
         """Start byte of each token and, last, the end of the text."""
         return np.concatenate([[0], np.cumsum(self.widths[np.frombuffer(ids, "<u4")])])
 
-    def char_offsets(self, text: str, ids: bytes) -> list[tuple[int, int]]:
-        """Code-point span of each token; parts of one character share its span."""
+    def char_spans(self, text: str, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and last code point (exclusive) of each token, given its byte offsets; parts of one character share its span."""
         raw = np.frombuffer(text.encode(), np.uint8)
         starts = np.cumsum((raw & 0xC0) != 0x80)
-        at = self.offsets(ids)
-        return [(int(starts[a]) - 1, int(starts[b - 1])) for a, b in zip(at[:-1], at[1:])]
+        return starts[at[:-1]] - 1, starts[at[1:] - 1]
+
+    def char_offsets(self, text: str, ids: bytes) -> list[tuple[int, int]]:
+        """Code-point span of each token."""
+        low, high = self.char_spans(text, self.offsets(ids))
+        return list(zip(low.tolist(), high.tolist()))
 
 
 @lru_cache(maxsize=2)
@@ -142,6 +147,24 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     return per_document(docs, work, "doc_id long, n_tokens long, ids binary")
 
 
+def encode_with_offsets(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """``encode`` with the place of every token: ``doc_id, n_tokens, ids, byte_offsets, char_starts, char_ends``.
+
+    ``byte_offsets`` are the first byte of each token and, last, the length of the text; the
+    spans count code points, and a token that holds a part of a character covers all of it.
+    """
+
+    def work(ids, texts):
+        bpe = coder(path, pattern)
+        out = [bpe.encode(t or "") for t in texts]
+        at = [bpe.offsets(x) for x in out]
+        spans = [bpe.char_spans(t or "", a) for t, a in zip(texts, at)]
+        return ids, [len(x) // 4 for x in out], out, at, [low for low, _ in spans], [high for _, high in spans]
+
+    return per_document(
+        docs, work, "doc_id long, n_tokens long, ids binary, byte_offsets array<long>, char_starts array<long>, char_ends array<long>")
+
+
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     """``doc_id, n_tokens, ids, decoded``: the bytes of the ids."""
 
