@@ -9,7 +9,7 @@ smallest ids, and equal queries are searched once, so a crowd of equal rows is n
 Null vectors have no code: they are neither found nor do they find. Shorter vectors are
 filled with zero bits. Rows with equal ids are distinct neighbours of others; a query never
 finds rows with its own id. Fewer than k other rows give fewer neighbours. An empty table
-gives an empty result.
+gives an empty result. Columns other than those named are left out, whatever they are called.
 """
 
 from __future__ import annotations

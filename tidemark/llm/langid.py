@@ -9,7 +9,9 @@ into one matrix, and a batch of whole texts is scored by one matrix product.
 The model is fitted on a bounded sample of labelled rows (``TRAIN_DOCS``), parted evenly
 between the languages. A text that is null or has no letter is ``und`` with score 0; so is
 everything if nothing could be learned. Rows with equal or null ids are predicted each on
-its own; null ids are not learned from. An empty table gives an empty result.
+its own; null ids are not learned from. Of equal scores the language first in order is taken.
+An empty table gives an empty result. Columns other than ``doc_id``, ``text`` and ``lang`` are
+not looked at, whatever they are called.
 """
 
 from __future__ import annotations
