@@ -69,7 +69,7 @@ def test_both_forms_equal_the_plain_version(spark, tmp_path, seed):
     batches = awkward()
     if seed:
         rng = random.Random(seed)
-        batches = [[(uid(rng.randrange(9)), rng.choice("ABC"), rng.randrange(8), rng.random() < 0.3) for _ in range(12)] for _ in range(4)]
+        batches = [[(uid(rng.randrange(9)), rng.choice("ABC"), rng.randrange(8), rng.random() < 0.3) for _ in range(12)] for _ in range(3)]
     known, requests = plain(batches)
     store = SnapshotStore(spark, str(tmp_path / "tables"))
     changes = f"{tmp_path}/changes/*"
