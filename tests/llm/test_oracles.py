@@ -9,7 +9,7 @@ from tidemark.llm.catalog import ORACLES, QUERIES
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_oracle(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark", "embeddings"):
+    for table in ("documents", "benchmark", "embeddings", "pages"):
         con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF_SMALL}/{table}.parquet'")
     cur = con.execute(ORACLES[name])
     columns = [d[0] for d in cur.description]

@@ -36,6 +36,6 @@ def test_stages_take_empty_tables_and_return_documents(spark):
 
 def test_registered(spark):
     names = set(queries())
-    assert {f"op{n}" for n in range(1, 11)} <= {n.split("_")[0] for n in names} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {n.split("_")[0] for n in names} and "pipeline" in names
     assert "op3_benchmark_decontamination" in oracle_sql() and "pipeline" not in oracle_sql()
     assert P.PATTERN and empty(spark).count() == 0
