@@ -25,6 +25,9 @@ REQUEST = "source_uuid string, source_version string, collection_key string, job
 CLAIMED = "dbtable string, entry_id bigint"
 OUTCOME = "job_id bigint, ok boolean, message string, retry boolean"
 
+# The states that a claim takes jobs from and puts them in.
+CLAIM_STATES = ["pending", "running"]
+
 # A day between two cleanups.
 CLEANUP_SECONDS = 86_400
 
@@ -196,7 +199,9 @@ def worker_run(
     taken = jobs.join(worklist.claimable(jobs, now, limits.claim), "job_id", "left_semi")
     store.write("batch", worklist.mark_claimed(taken, taken, now), run=run)
     batch = store.read("batch", JOB)
-    store.write("jobs", worklist.mark_claimed(jobs, batch, now), by="state", run=f"{run} claim")
+    # A claim moves jobs between two states only; the others stay where they are.
+    active = jobs.filter(F.col("state").isin(*CLAIM_STATES))
+    store.write("jobs", worklist.mark_claimed(active, batch, now), by="state", touched=CLAIM_STATES, run=f"{run} claim")
 
     seen = store.read("seen", SEEN)
     flagged = worklist.flag_stale(worklist.accepted(batch), seen)
