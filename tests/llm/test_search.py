@@ -18,7 +18,8 @@ def test_containment_equals_brute_force(spark):
             at = rng.randrange(len(text) + 1)
             text[at:at] = part
         docs.append((d, " ".join(text).upper() if d % 3 == 0 else " ".join(text)))
-    docs += [(200, "two words"), (201, None), (202, ""), (5, docs[5][1]), (None, docs[5][1])]
+    docs += [(200, "two words"), (201, None), (202, ""), (5, docs[5][1]), (None, docs[5][1]), (200, "clean words under the same id"), (None, None),
+             (None, items[59][1]), (None, "clean words without an id")]
     want = set()
     for d, text in docs:
         have = shingles(text)
@@ -32,9 +33,12 @@ def test_containment_equals_brute_force(spark):
         found = decontaminate.matches(docs_df, items_df, block=block).collect()
         assert len(found) == len(want) and set(map(tuple, found)) == want
     assert any(d == 200 for d, *_ in want)
-    kept = decontaminate.clean(docs_df, items_df)
-    assert kept.columns == docs_df.columns
-    assert {r.doc_id for r in kept.collect()} == {d for d, _ in docs} - {d for d, *_ in want if d is not None}
+    for block in (decontaminate.BLOCK_SHINGLES, 300):
+        kept = decontaminate.clean(docs_df, items_df, block=block)
+        assert kept.columns == docs_df.columns
+        # Every row by its own text: ids repeat, with the same and with other texts, and are null.
+        assert sorted(map(str, map(tuple, kept.collect()))) == sorted(
+            str(row) for row in docs if not any(s and 10 * len(s & shingles(row[1])) >= 8 * len(s) for s in (shingles(t) for _, t in items)))
 
 
 def test_empty_sides(spark):

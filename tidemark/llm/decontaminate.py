@@ -8,15 +8,17 @@ verified by exact containment. Items are sent to the tasks in blocks of bounded
 
 An item without words matches nothing; one with fewer than five words is one shingle. Null
 or empty texts hold no item. Repeated documents and items are matched each on its own;
-rows with equal pairs of ids come once. An empty table on either side gives an empty result.
+rows with equal pairs of ids come once, so ties are all there. An empty table on either side
+gives an empty result, and ``clean`` all documents. Other columns are not looked at, whatever
+they are called.
 """
 
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,8 @@ from tidemark.llm.shingles import shingle_sets
 SHARE = 0.8
 # Shingles of items that are sent to the tasks at once.
 BLOCK_SHINGLES = 1_000_000
+# Texts whose sets are made at once.
+ROWS = 100
 
 SCHEMA = "doc_id long, item_id long, n_item long, n_shared long"
 
@@ -69,9 +73,9 @@ class Index:
         return out
 
 
-def matches(docs: DataFrame, items: DataFrame, share: float = SHARE, block: int = BLOCK_SHINGLES) -> DataFrame:
-    """``doc_id, item_id, n_item, n_shared``: every document that holds at least ``share`` of an item's shingles."""
-    spark = docs.sparkSession
+def indexes(items: DataFrame, share: float, block: int) -> list:
+    """Broadcast indexes over all items, in blocks of a bounded number of shingles; at least one."""
+    spark = items.sparkSession
 
     def sets(ids, texts):
         found = shingle_sets(texts)
@@ -82,22 +86,39 @@ def matches(docs: DataFrame, items: DataFrame, share: float = SHARE, block: int
         .filter("n > 0").distinct(), "items")
     total = held.agg(F.sum("n")).first()[0] or 0
     blocks = max(1, math.ceil(2 * total / block))
-    return reduce(DataFrame.unionByName, [
-        _scan(docs, spark, held.filter(F.pmod(F.xxhash64("shingles"), F.lit(blocks)) == i), share) for i in range(blocks)
-    ]).distinct()
+    out = []
+    for i in range(blocks):
+        rows = held.filter(F.pmod(F.xxhash64("shingles"), F.lit(blocks)) == i).orderBy("doc_id", "shingles").collect()
+        out.append(spark.sparkContext.broadcast(Index([(r["doc_id"], np.frombuffer(bytes(r["shingles"]), np.uint64)) for r in rows], share)))
+    return out
 
 
-def _scan(docs: DataFrame, spark, block: DataFrame, share: float) -> DataFrame:
-    items = [(r["doc_id"], np.frombuffer(bytes(r["shingles"]), np.uint64)) for r in block.orderBy("doc_id", "shingles").collect()]
-    sent = spark.sparkContext.broadcast(Index(items, share))
+def matches(docs: DataFrame, items: DataFrame, share: float = SHARE, block: int = BLOCK_SHINGLES) -> DataFrame:
+    """``doc_id, item_id, n_item, n_shared``: every document that holds at least ``share`` of an item's shingles."""
+    sent = indexes(items, share, block)
 
     def work(ids, texts):
-        rows = [(i, *m) for i, s in zip(ids, shingle_sets(texts)) if len(s) for m in sent.value.matches(s)]
+        rows = [(i, *m) for i, s in zip(ids, shingle_sets(texts)) if len(s) for index in sent for m in index.value.matches(s)]
         return list(zip(*rows)) if rows else [[], [], [], []]
 
-    return per_document(docs, work, SCHEMA)
+    return per_document(docs, work, SCHEMA).distinct()
+
+
+def clean(docs: DataFrame, items: DataFrame, share: float = SHARE, block: int = BLOCK_SHINGLES) -> DataFrame:
+    """The documents that hold no item, with all their columns.
+
+    Each row is decided by its own text where it is read, so repeated and null ids make no
+    difference and nothing is joined.
+    """
+    sent, at = indexes(items, share, block), docs.columns.index("text")
 
+    def task(batches):
+        for batch in batches:
+            texts, kept = batch.column(at), []
+            # The sets of a few texts at a time, as a batch may hold many long ones.
+            for low in range(0, batch.num_rows, ROWS):
+                found = shingle_sets(texts.slice(low, ROWS).to_pylist())
+                kept += [low + i for i, s in enumerate(found) if not any(len(s) and index.value.matches(s) for index in sent)]
+            yield batch.take(pa.array(kept, pa.int64()))
 
-def clean(docs: DataFrame, items: DataFrame, share: float = SHARE) -> DataFrame:
-    """The documents that hold no item, with all their columns; those with a null id stay."""
-    return docs.join(matches(docs, items, share).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    return docs.mapInArrow(task, docs.schema)
