@@ -63,7 +63,7 @@ def changed_entries(
         after |= (F.col("changed") == timestamp(cursor)) & (F.col("uuid") > cursor_uuid)
     found = (
         entries.filter(after)
-        .join(types.select(F.col("id").alias("type_id"), F.col("alias").alias("type_alias")), "type_id")
+        .join(F.broadcast(types.select(F.col("id").alias("type_id"), F.col("alias").alias("type_alias"))), "type_id")  # a short row per type
         .select("uuid", "etag", "changed", "type_alias"))
     order = [F.col("changed"), F.col("uuid")]
     return take_first(found, order, changed_levels(), order, limit)
