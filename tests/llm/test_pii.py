@@ -119,3 +119,17 @@ def test_awkward_rows(spark):
 def test_no_python_in_the_plan(spark):
     plan = pii.digest(pii.detect(corpus(spark)))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_trees_and_thresholds_come_from_every_candidate(spark, monkeypatch):
+    df = corpus(spark).unionByName(corpus(spark).selectExpr("doc_id + 1000 AS doc_id", "text"))
+    every = {(r.kind, r.label): r.n for r in pii.examples(pii.candidates(pii.with_base(df))).groupBy("kind", "label").count().withColumnRenamed("count", "n").collect()}
+    learned, judged = [], []
+    plain_fit, plain_calibrated = pii.GBTClassifier.fit, pii.calibrated
+    monkeypatch.setattr(pii.GBTClassifier, "fit", lambda self, rows: (learned.append(
+        {(r.kind, r.label): r.n for r in rows.groupBy("kind", "label").sum(self.getWeightCol()).toDF("kind", "label", "n").collect()}), plain_fit(self, rows))[1])
+    monkeypatch.setattr(pii, "calibrated", lambda levels: (judged.append(levels), plain_calibrated(levels))[1])
+    pii.fit(df)
+    assert learned[-1] == every
+    counted = {kind: (sum(r["good"] for r in levels), sum(r["all"] for r in levels)) for kind, levels in zip(pii.KINDS, judged)}
+    assert counted == {k: (every.get((k, 1.0), 0), every.get((k, 1.0), 0) + every.get((k, 0.0), 0)) for k in pii.KINDS}

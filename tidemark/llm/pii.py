@@ -1,12 +1,11 @@
 """Personal data in texts: base spans by pattern, further ones by boosted trees.
 
-Everything is column code on the row of the text: no rows are moved but a bounded sample
-of candidates to learn from. Patterns give the base spans, which always stay. Wider
-generators propose candidates that may overlap; their format and surroundings are the
+Everything is column code on the row of the text: no rows are moved but the counts of
+equal candidates. Patterns give the base spans, which always stay. Wider generators propose candidates that may overlap; their format and surroundings are the
 features of gradient-boosted trees, which learn from the base matches that pass or fail
 their kind's rule and from digits inside longer strings. The trees are read back as one
-column expression; each kind has a threshold calibrated on candidates held out from the
-fit. Of overlapping picks the best one stays, and none may touch a base span.
+column expression; each kind has a threshold. Both come from all candidates of the table:
+the thresholds from how trees score the fold of candidates that they did not learn from. Of overlapping picks the best one stays, and none may touch a base span.
 
 Work grows with a text and its matches, not with their square: positions and overlaps come
 from running sums and maxima over sorted spans, taken in runs, and a long text is read at
@@ -51,8 +50,8 @@ GENERATORS = {
 }
 CUE = r"(?i)(?:mail|phone|tel|call|fax|mobile|card|visa|ip|host|addr|contact)\W*$"
 
-# Candidates that the trees are fitted on, and the share held out to set thresholds by.
-TRAIN_CANDIDATES, CALIBRATION_FOLDS = 20_000, 4
+# Folds of the candidates; thresholds are set on each as seen by trees fitted on the others.
+CALIBRATION_FOLDS = 4
 TREES, DEPTH = 12, 3
 PRECISION, LEAST_SCORE = 0.99, 0.8
 AROUND = 16
@@ -275,27 +274,36 @@ class Model:
         return reduce(lambda rest, k: F.when(kind == k, self.thresholds[k]).otherwise(rest), self.thresholds, F.lit(2.0))
 
 
-def fit(docs: DataFrame, most: int = TRAIN_CANDIDATES) -> Model:
-    """Fit on at most about ``most`` candidates, drawn by a hash; thresholds on those held out."""
-    table = stored(examples(candidates(with_base(docs))), "pii-examples")
-    counts = {r["label"]: r["count"] for r in table.groupBy("label").count().collect()}
-    if len(counts) < 2:
-        return Model()
-    share = F.when(F.col("label") == 1, min(1.0, most / 2 / counts[1.0])).otherwise(min(1.0, most / 2 / counts[0.0]))
-    sample = table.filter(F.col("draw") / float(1 << 30) < share).withColumn("fold", F.col("draw") % CALIBRATION_FOLDS).coalesce(2)
-    sample = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(sample)
-    learn = sample.filter("fold > 0")
-    if learn.select("label").distinct().count() < 2:
+def grouped(table: DataFrame) -> DataFrame:
+    """Examples that agree in everything as one row with their number ``n``, by fold: no example is left out.
+
+    Features are small numbers and flags, so the rows are few, however many examples there are.
+    """
+    fold = F.pmod("draw", F.lit(CALIBRATION_FOLDS)).alias("fold")
+    return table.groupBy("kind", "label", *FEATURES, fold).agg(F.count("*").alias("n"))
+
+
+def fit(docs: DataFrame) -> Model:
+    """Fit on every example; thresholds on every example, too, each scored by trees that learned without its fold."""
+    table = stored(grouped(examples(candidates(with_base(docs)))), "pii-examples")
+    seen = {(r["fold"], r["label"]) for r in table.select("fold", "label").distinct().collect()}
+    folds = [k for k in range(CALIBRATION_FOLDS) if len({label for fold, label in seen if fold != k}) == 2]
+    if not folds:
         return Model()
-    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, checkpointInterval=-1).fit(learn)
-    held = trees.transform(sample.filter("fold = 0")).select(
-        "kind", "label", F.floor(vector_to_array("probability")[1] * 100).alias("level"))
-    levels = held.groupBy("kind", "level").agg(F.sum("label").alias("good"), F.count("*").alias("all")).collect()  # 101 a kind
-    return Model(trees, {k: calibrated([r for r in levels if r["kind"] == k]) for k in KINDS})
+    table = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(table)
+    learner = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, checkpointInterval=-1, weightCol="n")
+
+    def held(k: int) -> DataFrame:
+        return learner.fit(table.filter(F.col("fold") != k)).transform(table.filter(F.col("fold") == k))
+
+    levels = reduce(DataFrame.unionByName, [held(k) for k in folds if any(fold == k for fold, _ in seen)]).groupBy(
+        "kind", F.floor(vector_to_array("probability")[1] * 100).alias("level")).agg(
+        F.sum(F.col("label") * F.col("n")).alias("good"), F.sum("n").alias("all")).collect()  # 101 a kind
+    return Model(learner.fit(table), {k: calibrated([r for r in levels if r["kind"] == k]) for k in KINDS})
 
 
 def calibrated(levels: list) -> float:
-    """The least score from which on the held-out candidates are right often enough."""
+    """The least score from which on the candidates, scored by trees that did not learn from them, are right often enough."""
     best, good, total = 1.0, 0.0, 0
     for r in sorted(levels, key=lambda r: -r["level"]):
         good, total = good + r["good"], total + r["all"]
