@@ -6,7 +6,7 @@ from contextlib import contextmanager
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
-from tidemark.operators import items
+from tidemark.operators import items, similarity
 from tidemark.sources.payloads import payload_union
 
 
@@ -63,3 +63,23 @@ def test_references_are_the_first_of_equal_ids_in_order(spark):
     assert got == {7: [c, b, a], 6: [a], None: [b]}
     with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
         assert len(re.findall("Exchange hashpartitioning", plan_of(items.entry_refs(links, entries)))) == 4
+
+
+def test_blocks_are_never_longer_than_asked(spark):
+    rows = spark.range(0, 1000, 1, 1).selectExpr("0 AS key", "cast(id AS string) AS id", "array(cast(id AS float), 1f) AS vector")
+    got = similarity.blocks(rows, 2, 64).selectExpr("size(ids) AS n", "length(unit) AS bytes").collect()
+    assert sorted(r.n for r in got) == [40] + [64] * 15 and all(r.bytes == r.n * 16 for r in got)
+
+
+def test_exact_search_shuffles_in_proportion(spark):
+    """Blocks of rows are not repeated for blocks of queries before they move."""
+    rows = spark.range(600).selectExpr("cast(id AS string) AS point_id", "array(cast(id % 97 AS float), cast(id % 13 AS float)) AS vector").withColumn("query_id", F.col("point_id"))
+    seen, plain = [], similarity.meet
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        try:
+            similarity.meet = lambda both, *a: (seen.append(plan_of(both)), plain(both, *a))[1]
+            got = similarity.search_frame(rows, rows.select("query_id", "vector"), 3, 2, query_block=32, row_block=16)
+        finally:
+            similarity.meet = plain
+    assert "CartesianProduct" in seen[0] and "Generate" not in seen[0] and seen[0].count("Exchange RoundRobin") == 2
+    assert got.count() == 1800

@@ -1,10 +1,11 @@
 """Cosine search for a frame of queries, exact or by an inverted file of centroids.
 
-Queries and rows are packed into blocks that share a key; a join brings the blocks of a key
-together, one matrix product scores them, and a task keeps its best rows per query. The
+Queries and rows are packed into blocks; a product of partitions, or a join on the key that
+blocks share, brings them together, one matrix product scores them, and a task keeps its best rows per query. The
 best of all tasks are merged in two steps. Neither queries nor rows go through the driver.
 
-Exact search gives every block of rows every block of queries. The index keeps the rows by
+Exact search gives every block of rows every block of queries; the number of products is the
+square of the data, what is shuffled is in proportion to it. The index keeps the rows by
 their nearest centroid; a query asks only the lists of its nearest centroids, and the rows
 there are scored exactly. Asking all lists is the exact search again.
 
@@ -29,6 +30,8 @@ from tidemark.session import work_dir
 QUERY_BLOCK, ROW_BLOCK = 1024, 4096
 # Blocks of one Arrow batch.
 BATCH_BLOCKS = 4
+# Exact search: parts of the rows, and blocks of queries that a task holds; they change no result.
+ROW_PARTS, GROUP_BLOCKS = 8, 16
 # Decimal places of a score: equal vectors tie, wherever in a block they stand.
 PLACES = 12
 # Vectors that centroids are fitted on: a bound of the sample, whatever the size of the table.
@@ -53,9 +56,9 @@ def matrix_of(column: pa.Array, dims: int) -> np.ndarray:
 
 
 def blocks(rows: DataFrame, dims: int, size: int) -> DataFrame:
-    """``key, ids, unit``: the vectors of ``key, id, vector`` rows as matrices of unit rows.
+    """``key, ids, unit``: the vectors of ``key, id, vector`` rows as matrices of at most ``size`` unit rows.
 
-    A task holds one open block per key; where many keys are open, the blocks it closes are small.
+    Two blocks make a matrix of scores, so none may be longer, however many rows a batch has. A task holds one open block per key; where many keys are open, the blocks it closes are small.
     """
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, tuple[list, list]] = {}
@@ -76,11 +79,13 @@ def blocks(rows: DataFrame, dims: int, size: int) -> DataFrame:
             order = np.argsort(keys, kind="stable")
             for part in np.split(order, np.flatnonzero(np.diff(keys[order])) + 1) if len(order) else ():
                 key = int(keys[part[0]])
-                names, parts = held.setdefault(key, ([], []))
-                names += ids.take(pa.array(part)).to_pylist()
-                parts.append(vectors[part])
-                if len(names) >= size:
-                    yield from out([key])
+                while len(part):
+                    names, parts = held.setdefault(key, ([], []))
+                    fits, part = part[: size - len(names)], part[size - len(names):]
+                    names += ids.take(pa.array(fits)).to_pylist()
+                    parts.append(vectors[fits])
+                    if len(names) >= size:
+                        yield from out([key])
             count += len(keys)
             if count >= 8 * size:
                 yield from out(list(held))
@@ -108,8 +113,8 @@ def _best(scores: np.ndarray, ids: np.ndarray, limit: int) -> tuple[np.ndarray,
     return scores[order], ids[order]
 
 
-def meet(rows: DataFrame, queries: DataFrame, dims: int, limit: int, min_score: float | None) -> DataFrame:
-    """``query_id, id, score``: the best rows per task of every query, over blocks with equal keys.
+def by_key(rows: DataFrame, queries: DataFrame) -> DataFrame:
+    """Pairs of blocks with equal keys.
 
     How the blocks are joined is left to Spark: a small frame of queries is broadcast, a
     large one meets the rows by shuffle. Where there are fewer keys than partitions the rows
@@ -120,8 +125,24 @@ def meet(rows: DataFrame, queries: DataFrame, dims: int, limit: int, min_score:
     salted = rows.withColumn("salt", F.pmod(F.xxhash64(F.col("ids")[0], F.size("ids")), F.lit(shares)))
     asked = queries.select("key", F.col("ids").alias("query_ids"), F.col("unit").alias("query_unit")).withColumn(
         "salt", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
-    both = salted.join(asked, ["key", "salt"]).select("ids", "unit", "query_ids", "query_unit")
+    return salted.join(asked, ["key", "salt"]).select("ids", "unit", "query_ids", "query_unit")
 
+
+def every_pair(rows: DataFrame, queries: DataFrame) -> DataFrame:
+    """All pairs of blocks, as a product of partitions: both sides are shuffled once, and no pair is.
+
+    Rows lie in a fixed number of parts, so that a query has so many lists of best rows at
+    most; the queries of a part are held by a task, which reads the rows of a part past them.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    groups = max(-(-parts // ROW_PARTS), -(-queries.count() // GROUP_BLOCKS))
+    asked = queries.select(F.col("ids").alias("query_ids"), F.col("unit").alias("query_unit"))
+    # The hint names the product of partitions, so that neither side is broadcast by a guess of its size.
+    return rows.select("ids", "unit").repartition(ROW_PARTS).hint("shuffle_replicate_nl").crossJoin(asked.repartition(groups))
+
+
+def meet(both: DataFrame, dims: int, limit: int, min_score: float | None) -> DataFrame:
+    """``query_id, id, score``: the best rows per task of every query, over pairs of blocks."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -137,7 +158,8 @@ def meet(rows: DataFrame, queries: DataFrame, dims: int, limit: int, min_score:
             for ids, raw, names, asked_raw in zip(*(batch.column(i) for i in range(4))):
                 ids, names = np.array(ids.as_py(), object), names.as_py()
                 table = np.frombuffer(raw.as_buffer(), np.float64).reshape(-1, dims)
-                product = np.round(np.frombuffer(asked_raw.as_buffer(), np.float64).reshape(-1, dims) @ table.T, PLACES)
+                product = np.frombuffer(asked_raw.as_buffer(), np.float64).reshape(-1, dims) @ table.T
+                np.round(product, PLACES, out=product)
                 for name, scores in zip(names, product):
                     found = ids
                     if min_score is not None:
@@ -190,8 +212,7 @@ def search_frame(
     packed_queries = _written(blocks(keyed.repartition("key"), dims, query_block), "queries")
     wanted = table.filter(filter_spec(table, spec)).select(F.lit(0).alias("key"), F.col(id_col).alias("id"), "vector")
     packed = _written(blocks(wanted, dims, row_block), "rows")
-    spread = packed.drop("key").withColumn("key", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(number - 1).cast("long"))))
-    return merged(_with_batches(spark, lambda: meet(spread, packed_queries, dims, limit, min_score)), limit)
+    return merged(_with_batches(spark, lambda: meet(every_pair(packed, packed_queries), dims, limit, min_score)), limit)
 
 
 # -- inverted file
@@ -260,4 +281,4 @@ def search_index(
     rows = spark.read.schema(INDEX).parquet(path).filter(F.col("list").isin(wanted))
     packed = _written(blocks(rows.select(F.col("list").alias("key"), "id", "vector"), dims, row_block), "rows")
     packed_queries = _written(blocks(asked.select(F.col("list").alias("key"), "id", "vector").repartition("key"), dims, query_block), "queries")
-    return merged(_with_batches(spark, lambda: meet(packed, packed_queries, dims, limit, min_score)), limit)
+    return merged(_with_batches(spark, lambda: meet(by_key(packed, packed_queries), dims, limit, min_score)), limit)
