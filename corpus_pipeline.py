@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, decontaminate, jaccard, langid, pii
+from tidemark.llm.arrow import stored
 from tidemark.session import work_dir
 
 
@@ -37,7 +38,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and the text that they decode to."""
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    coded = bpe.decode(bpe.encode(docs, path, pattern), path, pattern)
+    # Written in between: in one plan each task would hold a worker that encodes and one that decodes.
+    coded = bpe.decode(stored(bpe.encode(docs, path, pattern), "byte-bpe"), path, pattern)
     return coded.select("doc_id", "n_tokens", "ids", F.decode("decoded", "utf-8").alias("text"))
 
 

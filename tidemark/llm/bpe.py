@@ -46,6 +46,19 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
 
 
+def token_table(path: str) -> list[bytes]:
+    """The bytes of every id: all that decoding needs."""
+    ranks = read_ranks(path)
+    table = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        table[rank] = token
+    return table
+
+
+def joined(table: list[bytes], ids: bytes) -> bytes:
+    return b"".join([table[i] for i in np.frombuffer(ids, "<u4").tolist()])
+
+
 class Coder:
     """The ids of pre-tokens, by the tokenizers library, and the bytes of ids."""
 
@@ -54,10 +67,9 @@ class Coder:
         chars = byte_characters()
         self.pattern = regex.compile(pattern)
         self.shown = {b: chars[b] for b in range(256)}
-        self.token_bytes: list[bytes] = [b""] * (max(ranks.values()) + 1)
+        self.token_bytes = token_table(path)
         text = {}
-        for token, rank in ranks.items():
-            self.token_bytes[rank] = token
+        for token in ranks:
             text[token] = "".join(chars[b] for b in token)
         # Any two tokens that make up a third may merge; the third one's rank is the order.
         merges = [
@@ -112,8 +124,7 @@ class Coder:
         return self.pieces(first) + b"".join([known.get(w) or word(w) for w in rest])
 
     def decode(self, ids: bytes) -> bytes:
-        table = self.token_bytes
-        return b"".join([table[i] for i in np.frombuffer(ids, "<u4").tolist()])
+        return joined(self.token_bytes, ids)
 
     def offsets(self, ids: bytes) -> np.ndarray:
         """Start byte of each token and, last, the end of the text."""
@@ -136,6 +147,11 @@ def coder(path: str, pattern: str) -> Coder:
     return Coder(path, pattern)
 
 
+@lru_cache(maxsize=2)
+def decoder(path: str) -> list[bytes]:
+    return token_table(path)
+
+
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``doc_id, n_tokens, ids``: ids as little-endian unsigned 32-bit integers in one binary."""
 
@@ -166,12 +182,15 @@ def encode_with_offsets(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
-    """``doc_id, n_tokens, ids, decoded``: the bytes of the ids."""
+    """``doc_id, n_tokens, ids, decoded``: the bytes of the ids.
+
+    The workers that decode hold the bytes of the tokens only, not the model that encodes.
+    """
 
     def task(batches):
         for batch in batches:
-            bpe = coder(path, pattern)
-            plain = pa.array([bpe.decode(x or b"") for x in batch.column(2).to_pylist()], pa.binary())
+            table = decoder(path)
+            plain = pa.array([joined(table, x or b"") for x in batch.column(2).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, plain], names=["doc_id", "n_tokens", "ids", "decoded"])
 
     return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(
