@@ -59,10 +59,13 @@ def ordered_rank(df: DataFrame, order: list[Column], name: str = "rank") -> Data
     The table is parted into ranges of the order, each sorted by one task. A row's rank is
     its place in its range plus the rows of the ranges before, of which there is one number
     per shuffle partition. ``order`` should tell all rows apart: equal rows share a range.
-    The input is read twice, once for the ranges, so it should be a table or cheap.
+    The ranges need a first pass over the rows, so these are written down before and made once.
     """
     spark = df.sparkSession
     path, parts = work_dir(spark, "ranked"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    unsorted = work_dir(spark, "unranked")
+    df.write.parquet(unsorted)
+    df = spark.read.schema(df.schema).parquet(unsorted)
     # The place holds the number of the range above its 33 bits for rows.
     placed = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id())
     placed.write.parquet(path)
