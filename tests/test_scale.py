@@ -6,7 +6,7 @@ from contextlib import contextmanager
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
-from tidemark.operators import items, similarity
+from tidemark.operators import items, names, ranking, similarity
 from tidemark.sources.payloads import payload_union
 
 
@@ -83,3 +83,36 @@ def test_exact_search_shuffles_in_proportion(spark):
             similarity.meet = plain
     assert "CartesianProduct" in seen[0] and "Generate" not in seen[0] and seen[0].count("Exchange RoundRobin") == 2
     assert got.count() == 1800
+
+
+def test_the_name_dictionary_holds_each_word_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(names, "RANGE_ROWS", 100)
+    table = spark.range(1000).selectExpr("cast(id % 900 AS string) AS point_id", "concat('shared name of entry', id % 900, ' shared') AS name")
+    names.build_name_index(table, str(tmp_path))
+    postings, words = (spark.read.parquet(f"{tmp_path}/{x}") for x in ("postings", "words"))
+    assert words.count() == 903 and postings.count() == 900 * 4
+    assert len(postings.inputFiles()) > 20  # 4,000 rows in ranges of a hundred
+    asked = spark.createDataFrame([("a", "entry89 sh"), ("b", "na of"), ("c", "entry8999"), ("d", "")], "query_id string, query string")
+    got = names.lookup_names(spark, str(tmp_path), asked, prefix=True).groupBy("query_id").count().collect()
+    assert {r.query_id: r["count"] for r in got} == {"a": 11, "b": 900}
+
+
+def test_rows_are_made_once_for_their_ranks(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(x):
+        made.add(1)
+        return x
+
+    rows = spark.range(500).select(F.udf(seen, "long")("id").alias("id"))
+    ranked = ranking.ordered_rank(rows, [F.col("id").desc()])
+    assert {r.id: r["rank"] for r in ranked.collect()} == {i: 500 - i for i in range(500)} and made.value == 500
+
+
+def test_encoding_and_decoding_do_not_share_a_task(spark):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(1, "some words"), (2, None)], "doc_id long, text string")
+    coded = corpus_pipeline.byte_bpe(spark, docs, "")
+    assert plan_of(coded).count("MapInArrow") == 1
+    assert {r.doc_id: r.text for r in coded.collect()} == {1: "some words", 2: ""}
