@@ -6,8 +6,10 @@ from contextlib import contextmanager
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
-from tidemark.operators import items, names, ranking, similarity
-from tidemark.sources.payloads import payload_union
+from tidemark.operators import chunks, enrich, items, names, ranking, similarity
+from tidemark.plans import sync
+from tidemark.sources.payloads import payload_union, table_aliases
+from tidemark.sources.views import Sources
 
 
 @contextmanager
@@ -65,6 +67,57 @@ def test_references_are_the_first_of_equal_ids_in_order(spark):
         assert len(re.findall("Exchange hashpartitioning", plan_of(items.entry_refs(links, entries)))) == 4
 
 
+def test_texts_are_cut_above_the_join_that_picks_them(spark):
+    texts = spark.createDataFrame([(1, "ab cd ef"), (2, "   "), (3, None), (4, ""), (5, "abc")], "id long, text string")
+    picked = spark.createDataFrame([(i,) for i in (1, 2, 3, 4, 5, 6)], "id long")
+    cut = chunks.chunk_rows(texts.join(picked, "id"), max_length=3, min_length=1, overlap=0)
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" in plan and "regexp_extract_all" not in plan[plan.index("Join Inner"):]
+    got = sorted((r.id, r.chunk_index, r.num_chunks, r.text) for r in cut.collect())
+    assert got == [(1, 0, 3, "ab "), (1, 1, 3, "cd "), (1, 2, 3, "ef"), (5, 0, 1, "abc")]
+
+
+def test_a_large_claim_cuts_payloads_and_side_tables_and_keeps_every_item(spark, tmp_path):
+    ts = "timestamp_ntz'2024-01-01 00:00:00'"
+    jobs = spark.sql("SELECT 1L AS job_id, 'AA' AS source_uuid, cast(null AS string) AS source_version, 'k' AS collection_key, 'upsert' AS job_type "
+                     "UNION ALL SELECT 2L, 'BB', 'v', 'k', 'upsert' UNION ALL SELECT 3L, 'CC', 'v', 'k', 'upsert' UNION ALL SELECT 3L, 'CC', 'v', 'k', 'upsert' "
+                     "UNION ALL SELECT 4L, 'DD', 'v', 'k', 'delete' UNION ALL SELECT null, 'EE', 'v', 'k', 'upsert'")
+    entries = spark.sql(f"SELECT id, uuid, t AS type_id, etag, 0 AS archive, {ts} AS created, {ts} AS changed FROM VALUES "
+                        "(5L, 'aa', 'e', 1), (6L, 'bb', null, 1), (7L, 'CC', 'E', 2), (7L, 'CC', 'E', 2), (8L, 'DD', 'E', 1), (9L, 'EE', 'E', 2), (null, 'AA', 'x', 1), (4L, null, 'x', 1) AS t(id, uuid, etag, t)")
+    types = spark.createDataFrame([(1, "tag", "t1"), (2, "text", "t2"), (3, "file", "t3")], "id int, alias string, dbtable string")
+    payloads = {
+        "t1": spark.sql("SELECT * FROM VALUES (5L, ' x '), (7L, 'wrong'), (8L, 'y'), (null, 'z'), (1L, 'unclaimed') AS t(id, tag)"),
+        "t2": spark.sql("SELECT * FROM VALUES (7L, 'one'), (7L, 'one'), (9L, null), (6L, 'wrong') AS t(id, text)"),
+        "t3": spark.sql("SELECT 7L AS id, 'f' AS filename")}
+    sides = [spark.sql(q) for q in (
+        "SELECT * FROM VALUES (5L, 1, 'visitor'), (5L, 1, 'visitor'), (1L, 1, 'visitor'), (null, 1, 'visitor') AS t(entry_id, user_id, mode)",
+        "SELECT * FROM VALUES (5L, 1, 'n'), (5L, 2, ' m '), (7L, 1, null), (1L, 1, 'o') AS t(entry_id, lang_id, name)",
+        "SELECT * FROM VALUES (7L, ' T'), (7L, 't'), (null, 'u'), (1L, 'v') AS t(entry_id, tag)",
+        "SELECT * FROM VALUES (5L, 7L), (5L, 7L), (1L, 5L), (null, 5L) AS t(entry_id, peer_id)")]
+    src = Sources(entries, types, payloads, *sides)
+    path = str(tmp_path / "wanted")
+    items.wanted_jobs(jobs, entries, types).write.parquet(path)
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        rows = sync.wanted_rows(spark.read.parquet(path), src)
+        whole = items.upsert_items(jobs, entries, types, enrich.enriched_union(payloads, table_aliases(types)), *sides)
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("LeftSemi") >= 5 and plan.index("to_variant_object") < plan.index("LeftSemi")
+        assert len(re.findall("BroadcastHashJoin", plan_of(rows))) == 0  # its ids may be too many to send to every task
+        columns = [c for c in whole.columns if c != "content"] + [F.to_json("content").alias("content")]
+        got, want = (sorted(map(str, df.select(*columns).collect())) for df in (rows, whole))
+    assert got == want and len(want) == 10
+    assert sync.wanted_rows(spark.read.parquet(path).limit(0), src).count() == 0
+
+
+def test_letters_and_ids_are_folded_as_before(spark):
+    values = ["aB-c9", "AbCdEf0123456789" * 2, "abc", "A B", "\u212a\u0130X", "Äz", "", " ", "g", "0\n", None]
+    rows = spark.createDataFrame([(v,) for v in values], "v string")
+    got = rows.select("v", text.lower(F.col("v")).alias("l"), text.upper_hex(F.col("v")).alias("h")).collect()
+    fold = str.maketrans(text.UPPER, text.LOWER)
+    assert [r.l for r in got] == [v if v is None else v.translate(fold) for v in values]
+    assert [r.h for r in got] == [v if v is None else re.sub("[^0-9a-fA-F]", "", v).upper() for v in values]
+
+
 def test_blocks_are_never_longer_than_asked(spark):
     rows = spark.range(0, 1000, 1, 1).selectExpr("0 AS key", "cast(id AS string) AS id", "array(cast(id AS float), 1f) AS vector")
     got = similarity.blocks(rows, 2, 64).selectExpr("size(ids) AS n", "length(unit) AS bytes").collect()

@@ -36,7 +36,7 @@ def chunk_texts(text: Column, max_length: int = MAX_LENGTH, min_length: int = MI
 
     # The lambda binds the pieces once; writing them out twice would match twice.
     cut_once = F.element_at(F.transform(F.array(pieces), cut), 1)
-    return F.when(length == 0, F.array(text)).otherwise(cut_once)
+    return F.when(length <= max_length, F.array(text)).otherwise(cut_once)
 
 
 def chunk_rows(rows: DataFrame, text_col: str = "text", **limits: int) -> DataFrame:
@@ -48,7 +48,10 @@ def chunk_rows(rows: DataFrame, text_col: str = "text", **limits: int) -> DataFr
     kept = [c for c in rows.columns if c != text_col]
     raw = F.filter(chunk_texts(F.col(text_col), **limits), lambda c: t.trim(c) != "")
     cut = rows.select(*kept, raw.alias("_chunks"))
-    out = cut.select(*kept, F.size("_chunks").alias("num_chunks"), F.posexplode("_chunks").alias("chunk_index", "text"))
+    # An inner explode makes Spark filter on the size of the list, and that filter, the whole cutting, moves below
+    # every join to all rows that may be joined. The outer one leaves it here.
+    out = cut.select(
+        *kept, F.size("_chunks").alias("num_chunks"), F.posexplode_outer("_chunks").alias("chunk_index", "text")).filter("chunk_index IS NOT NULL")
     if "metadata" in kept:
         out = out.withColumn("metadata", F.col("metadata").withField("num_chunks", F.col("num_chunks")))
     return out

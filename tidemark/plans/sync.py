@@ -112,11 +112,11 @@ def next_seen(seen: DataFrame, requests: DataFrame, jobs: DataFrame, now: str, d
 # -- work off
 
 
-def claim_tables(src: Sources, claimed: DataFrame | None) -> dict[str, DataFrame]:
+def claim_tables(src: Sources, claimed: DataFrame | None, bounded: bool = True) -> dict[str, DataFrame]:
     """The payload tables, cut to a claim if there is one; a claim of nothing leaves empty tables."""
     if claimed is None:
         return src.payloads
-    return of_claim(src.payloads, claimed) or {name: rows.limit(0) for name, rows in src.payloads.items()}
+    return of_claim(src.payloads, claimed, bounded) or {name: rows.limit(0) for name, rows in src.payloads.items()}
 
 
 def item_rows(batch: DataFrame, src: Sources, claimed: DataFrame | None = None) -> DataFrame:
@@ -130,6 +130,17 @@ def item_rows(batch: DataFrame, src: Sources, claimed: DataFrame | None = None)
     return items.upsert_items(batch, src.entries, src.types, payloads, src.access, src.names, src.tags, src.links, ids)
 
 
+def wanted_rows(wanted: DataFrame, src: Sources) -> DataFrame:
+    """Enriched items of a claim of any size.
+
+    ``wanted`` is the written table of ``items.wanted_jobs``. Payload and side tables are cut to its
+    entries by joins before anything is made of them, so that typed metadata and lists are not made for the others.
+    """
+    payloads = enrich.enriched_union(claim_tables(src, wanted, bounded=False), table_aliases(src.types))
+    return items.wanted_items(
+        wanted, src.entries, payloads, src.access, src.names, src.tags, src.links, wanted.select("entry_id"))
+
+
 def chunk_items(rows: DataFrame) -> DataFrame:
     """Typed chunk rows of enriched items, ready to become payload rows."""
     metadata = F.struct(
@@ -210,8 +221,11 @@ def worker_run(
     if limits.claim is not None and limits.claim <= limits.small_claim:
         store.write("claimed", items.claimed_entries(live, src.entries, src.types), run=run)
         claimed = store.read("claimed", CLAIMED)
-
-    rows = item_rows(live, src, claimed)
+        rows = item_rows(live, src, claimed)
+    else:
+        wanted = items.wanted_jobs(live, src.entries, src.types)
+        store.write("wanted", wanted, run=run)
+        rows = wanted_rows(store.read("wanted", wanted.schema), src)
     skipped = live.select("job_id").limit(0)
     if mode == "skip":
         known = store.read("vectors", vectors.POINT).select("hash").distinct()
