@@ -56,7 +56,17 @@ def presence(texts: list[str]) -> np.ndarray:
 
 def normalised(found: np.ndarray) -> np.ndarray:
     rows = found.astype(np.float32)
-    return rows / np.sqrt(np.maximum(rows.sum(axis=1, keepdims=True), 1))
+    rows /= np.sqrt(np.maximum(rows.sum(axis=1, keepdims=True), 1))
+    return rows
+
+
+def unpacked(bits: np.ndarray) -> np.ndarray:
+    return normalised(np.unpackbits(bits, axis=1))
+
+
+def kernel(bits: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """The kernel of rows given as packed bits with the landmarks; few rows are unpacked at once."""
+    return np.vstack([unpacked(bits[at:at + ROWS]) @ marks.T for at in range(0, len(bits), ROWS)])
 
 
 def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, landmarks: int = LANDMARKS) -> tuple[list[str], np.ndarray]:
@@ -77,11 +87,11 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, landmarks: int = LANDMARK
     def work(ids, texts):
         return ids, [np.packbits(p).tobytes() for p in presence([t or "" for t in texts])]
 
-    bits = per_document(sample, work, "doc_id long, bits binary")
+    packed = per_document(sample, work, "doc_id long, bits binary")
     langs = sample.select("doc_id", "lang")
-    rows = bits.join(langs, "doc_id").distinct().orderBy(F.xxhash64("doc_id"), "lang").limit(2 * train_docs).collect()
-    x = normalised(np.unpackbits(
-        np.frombuffer(b"".join(bytes(r["bits"]) for r in rows), np.uint8).reshape(len(rows), -1), axis=1))
+    rows = packed.join(langs, "doc_id").distinct().orderBy(F.xxhash64("doc_id"), "lang").limit(2 * train_docs).collect()
+    # Unpacked, the sample would take 64 KB a row of the driver's memory; packed, it takes 2.
+    bits = np.frombuffer(b"".join(bytes(r["bits"]) for r in rows), np.uint8).reshape(len(rows), -1)
     names = sorted({r["lang"] for r in rows})
     y = np.where(np.array([[r["lang"] == n for n in names] for r in rows]), 1.0, -1.0)
     # Landmarks: as many of each language.
@@ -90,11 +100,11 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, landmarks: int = LANDMARK
     for i, r in enumerate(rows):
         rank[i] = seen.get(r["lang"], 0)
         seen[r["lang"]] = rank[i] + 1
-    marks = x[np.argsort(rank, kind="stable")[:landmarks]]
+    marks = unpacked(bits[np.argsort(rank, kind="stable")[:landmarks]])
     values, vectors = np.linalg.eigh((marks @ marks.T).astype(np.float64))
     kept = values > 1e-6 * values.max()
     root = vectors[:, kept] / np.sqrt(values[kept])
-    phi = (x @ marks.T).astype(np.float64) @ root
+    phi = kernel(bits, marks).astype(np.float64) @ root
     phi1 = np.hstack([phi, np.ones((len(phi), 1))])
     balance = np.array([1.0 / seen[r["lang"]] for r in rows])[:, None]
     gram = (phi1 * balance).T @ phi1
