@@ -6,8 +6,8 @@ from contextlib import contextmanager
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
-from tidemark.operators import chunks, enrich, items, names, ranking, similarity
-from tidemark.plans import sync
+from tidemark.operators import chunks, enrich, items, names, ranking, similarity, worklist
+from tidemark.plans import catalog, sync
 from tidemark.sources.payloads import payload_union, table_aliases
 from tidemark.sources.views import Sources
 
@@ -34,6 +34,62 @@ def test_packed_texts_come_back(spark):
     assert len(got[0].p) == 17
 
 
+def test_bare_packed_texts_and_ids_come_back(spark):
+    h, g = "0123456789ABCDEF" * 2, "F" * 32
+    values = [h, h.lower(), h + "\n", "x" * 14, "x" * 15, "x" * 16, "\x00" + "x" * 15, "\x00" + "x" * 14, "\x01" + "x" * 14, "\x01" + "x" * 15, "\x02", "", "-", ",", "é" * 8, "\U0001f600" * 4, "\U0001f600" * 3 + "abc", None]
+    rows = spark.createDataFrame([(v,) for v in values], "v string").select("v", text.packed(F.col("v"), bare=True).alias("p"))
+    got = rows.select("v", "p", text.unpacked(F.col("p"), bare=True).alias("again")).collect()
+    assert [r.again for r in got] == values and len({r.p and bytes(r.p) for r in got}) == len(values)
+    assert [len(r.p) for r in got if r.v == h] == [16] and all(r.p is None or len(r.p) != 16 for r in got if r.v != h)
+
+    threes = [(u, v, e) for u in values if u is not None for v in [*values, g] for e in [*values, g]]
+    rows = spark.createDataFrame(threes, "u string, v string, e string")
+    rows = rows.select("*", text.packed_ids(*[text.packed(F.col(c), bare=True) for c in ("u", "v", "e")]).alias("p"))
+    got = rows.select("u", "v", "e", "p", *[c.alias(f"a{i}") for i, c in enumerate(text.unpacked_ids(F.col("p")))]).collect()
+    assert all((r.u, r.v, r.e) == (r.a0, r.a1, r.a2) for r in got) and len({bytes(r.p) for r in got}) == len(threes)
+    assert {len(r.p) for r in got if r.u == h and r.v == r.e == g} == {33}
+
+
+def test_items_move_no_names_of_types(spark):
+    """Types are joined to rows that have met their payload; rows of unknown types and of repeated ones stay as they were."""
+    ts = "timestamp_ntz'2024-01-01 00:00:00'"
+    jobs = spark.sql("SELECT id AS job_id, cast(id AS string) AS source_uuid, 'v' AS source_version, 'k' AS collection_key, 'upsert' AS job_type FROM range(1, 6)")
+    entries = spark.sql(f"SELECT id, cast(id AS string) AS uuid, cast(id AS int) AS type_id, 'v' AS etag, 0 AS archive, {ts} AS created, {ts} AS changed FROM range(1, 6)")
+    types = spark.createDataFrame([(1, "file", "t1"), (2, "", ""), (3, "text", "t1"), (3, "text", "t1"), (5, None, None)], "id int, alias string, dbtable string")
+    payloads = payload_union({"t1": spark.sql("SELECT id, 'x' AS a FROM range(1, 6)")})
+    none = [spark.sql(q) for q in ("SELECT 1L AS entry_id, 1 AS user_id, 'visitor' AS mode", "SELECT 1L AS entry_id, 1 AS lang_id, 'n' AS name", "SELECT 1L AS entry_id, 'T' AS tag", "SELECT 1L AS entry_id, 7L AS peer_id")]
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        built = items.upsert_items(jobs, entries, types, payloads, *none)
+        plan = built._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted((r.job_id, r.type_alias) for r in built.collect()) == [(1, "file"), (3, "text"), (3, "text")]
+    kinds = next(x for x in plan.split("\n") if "strategy=broadcast" in x)
+    payload = next(x for x in plan.split("\n") if "Join Inner" in x and "entry_id" in x)
+    assert kinds.index("Join") < payload.index("Join")  # above it, so later
+
+
+def test_items_are_built_from_listed_references(spark, records):
+    """What lists them is shuffled in an earlier step, and their join moves them no more."""
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        built = catalog.QUERIES["item_build"](spark, records.sf_dir)
+        plan = plan_of(built)
+        assert "REPARTITION_BY_COL" not in plan and "collect_set" not in plan
+        assert "Bucketed: true" in plan and re.search(r"refs_[0-9a-f]{32}", plan)
+        want = items.upsert_items(
+            worklist.accepted(records.jobs), records.sysentry, records.systype, payload_union(records.payloads), records.access, records.names, records.tags, records.links)
+        got, want = ({r.job_id: r for r in df.collect()} for df in (built, catalog.plain(catalog._item_columns(want))))
+        assert got == want and any(r.ref_uuids for r in got.values())
+
+
+def test_tables_in_buckets_are_joined_in_place(spark):
+    rows = spark.sql("SELECT id AS entry_id, array(cast(id AS string)) AS ref_uuids FROM range(500) UNION ALL SELECT null, array('x')")
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        kept = catalog.in_buckets(rows, "kept", "entry_id")
+        assert sorted(map(str, kept.collect())) == sorted(map(str, rows.collect()))
+        assert all(".zstd." in f for f in kept.inputFiles())
+        both = spark.range(300).withColumnRenamed("id", "entry_id").join(kept, "entry_id", "left")
+        assert plan_of(both).count("Exchange hashpartitioning") == 1 and both.filter("ref_uuids[0] = cast(entry_id AS string)").count() == 300
+
+
 def test_items_are_moved_once_and_as_bytes(spark, records):
     r = records
     with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
